@@ -21,10 +21,6 @@ from ..schema import DEFAULT_RATING, RATING_CLIP
 from .similarity import cosine_similarity, top_neighbors
 
 
-def _by_sim():
-    return [F.col("similarity").desc(), F.col("neighbor_id").asc()]
-
-
 @dataclass
 class KNNModel:
     """M4 parameters + the two fitted tables."""
@@ -212,7 +208,6 @@ def user_level_neighbors(cells: DataFrame, user_split: DataFrame, k_max: int) ->
     n_train = train_users.count()
     k = min(k_max, n_train)
     pos = cosine_similarity(te, tr, top_k=k)
-    pos = top_n_per_group(pos, ["user_id"], _by_sim(), k)
     pad = _pad_neighbors(test_users, pos, _smallest_ids(train_users, "user_id", 2 * k), k, False)
     return pos.unionByName(pad)
 

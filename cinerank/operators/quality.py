@@ -174,7 +174,8 @@ def rating_filter(df: DataFrame, lo: float = SIMPLE_RANGE[0], hi: float = SIMPLE
 def soft_range_count(df: DataFrame, lo: float = SOFT_RANGE[0], hi: float = SOFT_RANGE[1]) -> DataFrame:
     """V9: how many ratings fall outside [lo, hi] (a warning, nothing removed)."""
     r = F.col("rating")
-    return df.agg(F.count_if((r < lo) | (r > hi)).cast("bigint").alias("n_outside"),
+    # NaN compares false in pandas; Spark orders NaN above everything.
+    return df.agg(F.count_if(~F.isnan(r) & ((r < lo) | (r > hi))).cast("bigint").alias("n_outside"),
                   F.count(F.lit(1)).cast("bigint").alias("n_rows"))
 
 

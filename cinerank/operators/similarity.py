@@ -158,7 +158,8 @@ def cosine_similarity(cells: DataFrame, right: DataFrame | None = None, *,
 
     Returns (user_id, neighbor_id, similarity) for pairs with similarity > 0,
     or — with ``top_k`` — each user's ``top_k`` best by (similarity desc,
-    neighbor_id asc), pruned inside every cell before the shuffle.
+    neighbor_id asc) with their ``rank``, pruned inside every cell before the
+    shuffle.
     """
     spark = cells.sparkSession
     left = cells.select("user_id", "movie_id", F.col("rating").cast("double"))
@@ -190,11 +191,17 @@ def cosine_similarity(cells: DataFrame, right: DataFrame | None = None, *,
         rrep = r.withColumn("_bj", blk).withColumn("_bi", other).withColumn("_side", F.lit(1))
         cols = ["_bi", "_bj", "_side", "user_id", "movie_id", "rating"]
         rep = lrep.select(*cols).unionByName(rrep.select(*cols))
+    # The kernel is CPU-bound Python: give the cells their own tasks instead of
+    # letting AQE pack them by bytes (an explicit partition count is kept).
+    n_cells = g * (g + 1) // 2 if symmetric else g * g
+    par = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+              2 * spark.sparkContext.defaultParallelism)
+    rep = rep.repartition(min(n_cells, par), "_bi", "_bj")
     sims = rep.groupBy("_bi", "_bj").applyInPandas(_cell_kernel(symmetric, top_k), SIM_SCHEMA)
     if top_k is not None:
+        # Each cell already kept its users' top_k; one ranked window merges the cells.
         sims = top_n_per_group(sims, ["user_id"],
-                               [F.col("similarity").desc(), F.col("neighbor_id").asc()],
-                               top_k).drop("rank")
+                               [F.col("similarity").desc(), F.col("neighbor_id").asc()], top_k)
     return sims
 
 
@@ -210,6 +217,6 @@ def top_neighbors(cells: DataFrame, k: int, sims: DataFrame | None = None) -> Da
     """F7 for every user: (user_id, neighbor_id, similarity, rank) with
     rank 1..k by (similarity desc, neighbor_id asc), positive similarity only."""
     if sims is None:
-        sims = cosine_similarity(cells, top_k=k)
+        return cosine_similarity(cells, top_k=k)
     return top_n_per_group(sims, ["user_id"],
                            [F.col("similarity").desc(), F.col("neighbor_id").asc()], k)

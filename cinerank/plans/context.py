@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.ranking import reliable_checkpoint
 from ..operators import features as Fe
 from ..operators import knn, quality as Q, split as S
 from ..sources import derive
@@ -30,7 +31,14 @@ def r2_clean(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def r1_cells(spark: SparkSession, sf: str) -> DataFrame:
-    return Fe.rating_cells(r1_clean(spark, sf))
+    """Matrix cells, materialised once in the shared checkpoint folder: the
+    model reads them four to five times (similarity, rated set, catalogue,
+    counts) and must not redo the scan + dedup each time."""
+    return reliable_checkpoint(Fe.rating_cells(r1_clean(spark, sf)))
+
+
+def r2_cells(spark: SparkSession, sf: str) -> DataFrame:
+    return reliable_checkpoint(Fe.rating_cells(r2_clean(spark, sf)))
 
 
 def r1_split(spark: SparkSession, sf: str):
@@ -50,7 +58,8 @@ def scored_val(spark: SparkSession, sf: str, k: int = K_DEFAULT, weighted: bool
     """Validation rows with the K-NN prediction: (user_id, movie_id, rating, prediction)."""
     cells, nbrs, train, val = model_parts(spark, sf, k)
     p = knn.predict(val.select("user_id", "movie_id", "rating"), nbrs, train, k, weighted)
-    return p.select("user_id", "movie_id", "rating", "prediction")
+    # Predicted once, materialised, then every metric is an aggregate over it.
+    return reliable_checkpoint(p.select("user_id", "movie_id", "rating", "prediction"))
 
 
 def user_split(spark: SparkSession, sf: str) -> DataFrame:

@@ -300,7 +300,7 @@ def oracle_sql() -> dict[str, str]:
     o["validation_report"] = _validation_report(RDC)
     o["validation_report_abort"] = _validation_report(RDXC)
     o["rating_filter_1_5"] = _with(R1_RAW) + "SELECT * FROM r1_raw WHERE rating BETWEEN 1.0 AND 5.0"
-    o["soft_range_count"] = _with(R1_RAW) + ("SELECT CAST(count_if(rating < 0.5 OR rating > 5.5) AS BIGINT) AS n_outside, "
+    o["soft_range_count"] = _with(R1_RAW) + ("SELECT CAST(count_if(NOT isnan(rating) AND (rating < 0.5 OR rating > 5.5)) AS BIGINT) AS n_outside, "
                                              "CAST(count(*) AS BIGINT) AS n_rows FROM r1_raw")
     nc = " UNION ALL ".join(
         f"SELECT '{c}' AS column_name, CAST(count_if({cond}) AS BIGINT) AS null_count, count_if({cond}) > 0 AS has_nulls FROM rdc"

@@ -116,7 +116,7 @@ def matrix_density(spark, sf):
 
 
 def user_similarity(spark, sf):
-    return Fe.user_similarity(Fe.rating_cells(C.r2_clean(spark, sf)))
+    return Fe.user_similarity(C.r2_cells(spark, sf))
 
 
 def user_similarity_full(spark, sf):
@@ -124,7 +124,7 @@ def user_similarity_full(spark, sf):
 
 
 def similar_users(spark, sf):
-    return Fe.similar_users(Fe.rating_cells(C.r2_clean(spark, sf)), 5)
+    return Fe.similar_users(C.r2_cells(spark, sf), 5)
 
 
 def user_vector(spark, sf):
