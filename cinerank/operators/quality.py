@@ -118,6 +118,15 @@ def drop_nulls(df: DataFrame, rules=RATING_RULES) -> DataFrame:
 
 # --- V7: full validation ----------------------------------------------------
 
+def row_is_valid(rules=RATING_RULES) -> Column:
+    """True when a coerced row passes the range and null rules (V5 + V6)."""
+    in_all = reduce(lambda a, b: a & b, [_in_range(r) for r in rules])
+    not_null = reduce(lambda a, b: a & b, [
+        (~is_missing(r.name) if r.dtype == "float64" else F.col(r.name).isNotNull())
+        for r in rules if not r.nullable])
+    return in_all & not_null
+
+
 def validated_rows(coerced: DataFrame, rules=RATING_RULES) -> DataFrame:
     """Rows kept by V7 after coercion: range filter then null filter."""
     return drop_nulls(range_filter(coerced, rules), rules)

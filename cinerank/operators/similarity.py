@@ -14,10 +14,12 @@ by a third of all users would put (N/3)^2 rows into one task.  Instead:
 4. only pairs with a positive similarity leave the task, optionally already
    cut to each user's top-k inside the cell.
 
-A hot movie or a prolific user is spread over all cells of its block row, and
-each cell's memory is bounded by the vectors of two user blocks (a user's
-vector is bounded by the catalogue).  Shuffle volume is ``G`` times the
-ratings — the price of an exact all-pairs product, paid evenly.
+A hot movie is spread over all cells of its raters' blocks; each cell's
+memory is bounded by the vectors of two user blocks.  If one user's vector is
+too long for a task (a user holding a large share of all rows), the movies
+are hashed into ``H`` blocks as a third grid dimension and cells emit partial
+dot products, summed by one more aggregation.  Shuffle volume is ``G`` times
+the ratings — the price of an exact all-pairs product, paid evenly.
 
 Ratings are non-negative (schema minimum 0.5), so a positive dot product
 means a shared movie and missing pairs have similarity 0.
@@ -41,6 +43,7 @@ DENSE_CELL_LIMIT = 1 << 24      # dense accumulator entries (128 MB of doubles)
 PAIR_CHUNK = 1 << 22            # co-rating products expanded at a time
 BLOCK_USERS = 2048              # target users per block
 CELL_ROWS = 2_000_000           # target rating rows per cell
+USER_SLICE_ROWS = 1_000_000     # most ratings of one user a cell may hold
 
 
 def _sparse_dot(lu, lm, lr, nl, ru, rm, rr, nr):
@@ -106,7 +109,10 @@ _EMPTY = pd.DataFrame({"user_id": np.zeros(0, np.int64), "neighbor_id": np.zeros
                        "similarity": np.zeros(0)})
 
 
-def _cell_kernel(symmetric: bool, top_k: int | None):
+def _cell_kernel(symmetric: bool, top_k: int | None, partial: bool):
+    """Kernel for one grid cell.  ``partial``: the cell holds one movie block
+    of the vectors only, so it returns partial dot products (summed later)
+    instead of finished similarities."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         side = pdf["_side"].to_numpy()
         users = pdf["user_id"].to_numpy(np.int64)
@@ -118,11 +124,19 @@ def _cell_kernel(symmetric: bool, top_k: int | None):
         lid, linv = np.unique(users[lmask], return_inverse=True)
         rid, rinv = np.unique(users[rmask], return_inverse=True)
         if len(lid) == 0 or len(rid) == 0:
-            return _EMPTY.copy()
-        ln2 = np.bincount(linv, weights=vals[lmask] ** 2, minlength=len(lid))
-        rn2 = np.bincount(rinv, weights=vals[rmask] ** 2, minlength=len(rid))
+            return (_EMPTY_DOT if partial else _EMPTY).copy()
         li, ri, dot = _sparse_dot(linv, movies[lmask], vals[lmask], len(lid),
                                   rinv, movies[rmask], vals[rmask], len(rid))
+        if partial:
+            keep = dot != 0
+            if diagonal:
+                keep &= li != ri
+            u, v, d = lid[li[keep]], rid[ri[keep]], dot[keep]
+            if symmetric and not diagonal:
+                u, v, d = np.r_[u, v], np.r_[v, u], np.r_[d, d]
+            return pd.DataFrame({"user_id": u, "neighbor_id": v, "dot": d})
+        ln2 = np.bincount(linv, weights=vals[lmask] ** 2, minlength=len(lid))
+        rn2 = np.bincount(rinv, weights=vals[rmask] ** 2, minlength=len(rid))
         # Same operation order as the SQL definition: dot / (sqrt(n2u) * sqrt(n2v)).
         sim = dot / (np.sqrt(ln2[li]) * np.sqrt(rn2[ri]))
         pos = sim > 0
@@ -136,18 +150,39 @@ def _cell_kernel(symmetric: bool, top_k: int | None):
     return run
 
 
+_EMPTY_DOT = _EMPTY.rename(columns={"similarity": "dot"})
+DOT_SCHEMA = "user_id long, neighbor_id long, dot double"
+
+
+def _layout(spark, left: DataFrame, right: DataFrame | None) -> tuple[int, int]:
+    """(user blocks G, movie blocks H) from one pass of per-user counts."""
+    parts = left.select("user_id").withColumn("_s", F.lit(0))
+    if right is not None:
+        parts = parts.unionByName(right.select("user_id").withColumn("_s", F.lit(1)))
+    per_user = parts.groupBy("_s", "user_id").agg(F.count(F.lit(1)).alias("_n"))
+    rows = per_user.groupBy("_s").agg(F.count(F.lit(1)).alias("u"), F.sum("_n").alias("n"),
+                                      F.max("_n").alias("mx")).collect()   # <= 2 rows
+    n_users = max(r["u"] for r in rows)
+    n_rows = sum(r["n"] for r in rows) * (2 if right is None else 1)
+    longest = max(r["mx"] for r in rows)
+    g = _block_count(spark, n_users, n_rows, right is None)
+    h = max(1, math.ceil(longest / USER_SLICE_ROWS))
+    return g, h
+
+
 def _block_count(spark, n_users: int, n_rows: int, symmetric: bool) -> int:
     par = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
               spark.sparkContext.defaultParallelism)
     by_users = math.ceil(n_users / BLOCK_USERS)
-    by_rows = math.ceil(2 * n_rows / CELL_ROWS)
+    by_rows = math.ceil(n_rows / CELL_ROWS)
     # enough cells to keep every core busy
     by_par = math.ceil(math.sqrt(2 * par)) if symmetric else math.ceil(math.sqrt(par))
     return max(1, by_users, by_rows, by_par)
 
 
 def cosine_similarity(cells: DataFrame, right: DataFrame | None = None, *,
-                      top_k: int | None = None, blocks: int | None = None) -> DataFrame:
+                      top_k: int | None = None, blocks: int | None = None,
+                      movie_blocks: int | None = None) -> DataFrame:
     """Cosine similarity between users' rating vectors.
 
     ``cells``: (user_id, movie_id, rating) with one row per (user, movie) and
@@ -158,26 +193,27 @@ def cosine_similarity(cells: DataFrame, right: DataFrame | None = None, *,
 
     Returns (user_id, neighbor_id, similarity) for pairs with similarity > 0,
     or — with ``top_k`` — each user's ``top_k`` best by (similarity desc,
-    neighbor_id asc) with their ``rank``, pruned inside every cell before the
-    shuffle.
+    neighbor_id asc) with their ``rank``.
+
+    Layout: ``blocks`` user blocks (from the user count, the row count and the
+    cluster's parallelism) and ``movie_blocks`` movie blocks, which stay 1
+    unless one user's vector exceeds ``USER_SLICE_ROWS`` (a hot user).  With
+    one movie block, cells hold whole vectors and finish the similarity (and
+    the top-k) themselves; with more, cells emit partial dot products that
+    one more aggregation sums before the norms are applied.
     """
     spark = cells.sparkSession
     left = cells.select("user_id", "movie_id", F.col("rating").cast("double"))
     symmetric = right is None
-    if blocks is None:
-        stats = left.agg(F.approx_count_distinct("user_id").alias("u"),
-                         F.count(F.lit(1)).alias("n"))
-        if not symmetric:
-            rs = right.agg(F.approx_count_distinct("user_id").alias("u"),
-                           F.count(F.lit(1)).alias("n"))
-            stats = stats.crossJoin(rs.select(F.col("u").alias("ru"), F.col("n").alias("rn")))
-        row = stats.first()
-        n_users = max(row["u"], row["ru"]) if not symmetric else row["u"]
-        n_rows = row["n"] + (row["rn"] if not symmetric else row["n"])
-        blocks = _block_count(spark, n_users, n_rows, symmetric)
-    g = int(blocks)
+    rt = None if symmetric else right.select("user_id", "movie_id", F.col("rating").cast("double"))
+    if blocks is None or movie_blocks is None:
+        g0, h0 = _layout(spark, left, rt)
+        blocks = blocks or g0
+        movie_blocks = movie_blocks or h0
+    g, h = int(blocks), int(movie_blocks)
     blk = F.pmod(F.xxhash64("user_id"), F.lit(g))
     other = F.explode(F.sequence(F.lit(0), F.lit(g - 1)))
+    mblk = F.pmod(F.xxhash64("movie_id"), F.lit(h)) if h > 1 else F.lit(0)
     if symmetric:
         rep = left.withColumn("_b", blk).withColumn("_o", other)
         rep = rep.select(
@@ -186,20 +222,33 @@ def cosine_similarity(cells: DataFrame, right: DataFrame | None = None, *,
             .otherwise(1).alias("_side"),
             "user_id", "movie_id", "rating")
     else:
-        r = right.select("user_id", "movie_id", F.col("rating").cast("double"))
         lrep = left.withColumn("_bi", blk).withColumn("_bj", other).withColumn("_side", F.lit(0))
-        rrep = r.withColumn("_bj", blk).withColumn("_bi", other).withColumn("_side", F.lit(1))
+        rrep = rt.withColumn("_bj", blk).withColumn("_bi", other).withColumn("_side", F.lit(1))
         cols = ["_bi", "_bj", "_side", "user_id", "movie_id", "rating"]
         rep = lrep.select(*cols).unionByName(rrep.select(*cols))
+    rep = rep.withColumn("_mb", mblk)
+    keys = ["_bi", "_bj", "_mb"]
     # The kernel is CPU-bound Python: give the cells their own tasks instead of
     # letting AQE pack them by bytes (an explicit partition count is kept).
-    n_cells = g * (g + 1) // 2 if symmetric else g * g
+    n_cells = (g * (g + 1) // 2 if symmetric else g * g) * h
     par = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
               2 * spark.sparkContext.defaultParallelism)
-    rep = rep.repartition(min(n_cells, par), "_bi", "_bj")
-    sims = rep.groupBy("_bi", "_bj").applyInPandas(_cell_kernel(symmetric, top_k), SIM_SCHEMA)
+    rep = rep.repartition(min(n_cells, par), *keys)
+    if h == 1:
+        sims = rep.groupBy(*keys).applyInPandas(_cell_kernel(symmetric, top_k, False), SIM_SCHEMA)
+    else:
+        dots = (rep.groupBy(*keys).applyInPandas(_cell_kernel(symmetric, None, True), DOT_SCHEMA)
+                .groupBy("user_id", "neighbor_id").agg(F.sum("dot").alias("dot")))
+        n2l = left.groupBy("user_id").agg(F.sum(F.col("rating") * F.col("rating")).alias("_n2u"))
+        n2r = (left if symmetric else rt).groupBy(F.col("user_id").alias("neighbor_id")).agg(
+            F.sum(F.col("rating") * F.col("rating")).alias("_n2v"))
+        sims = (dots.join(n2l, "user_id").join(n2r, "neighbor_id")
+                .select("user_id", "neighbor_id",
+                        (F.col("dot") / (F.sqrt("_n2u") * F.sqrt("_n2v"))).alias("similarity"))
+                .where(F.col("similarity") > 0))
     if top_k is not None:
-        # Each cell already kept its users' top_k; one ranked window merges the cells.
+        # Cells already kept their users' top_k (one movie block); one ranked
+        # window merges the cells.
         sims = top_n_per_group(sims, ["user_id"],
                                [F.col("similarity").desc(), F.col("neighbor_id").asc()], top_k)
     return sims

@@ -122,3 +122,27 @@ def test_full_similarity_has_diagonal(spark):
     full = {(r.user_id, r.neighbor_id): r.similarity for r in Fe.user_similarity_full(cells).collect()}
     assert full[(3, 3)] == 1.0 and full[(1, 2)] == pytest.approx(1.0)
     assert (1, 3) not in full
+
+
+@pytest.mark.parametrize("blocks,movie_blocks", [(2, 3), (1, 4)])
+def test_movie_blocks_partial_dots(spark, blocks, movie_blocks):
+    rows = random_cells(21 + blocks, n_users=25)
+    cells = spark.createDataFrame(rows, "user_id long, movie_id long, rating double")
+    got = {(r.user_id, r.neighbor_id): r.similarity for r in Sim.cosine_similarity(
+        cells, blocks=blocks, movie_blocks=movie_blocks).collect()}
+    want = brute_cosine(rows)
+    assert got.keys() == want.keys()
+    for k, v in want.items():
+        assert got[k] == pytest.approx(v, abs=1e-12)
+    top = Sim.cosine_similarity(cells, top_k=2, blocks=blocks, movie_blocks=movie_blocks)
+    assert top.groupBy("user_id").count().where("count > 2").count() == 0
+
+
+def test_hot_user_switches_to_movie_blocks(spark, monkeypatch):
+    monkeypatch.setattr(Sim, "USER_SLICE_ROWS", 5)
+    rows = random_cells(31, n_users=12, n_movies=20, density=0.4)
+    cells = spark.createDataFrame(rows, "user_id long, movie_id long, rating double")
+    g, h = Sim._layout(spark, cells, None)
+    assert h > 1
+    got = {(r.user_id, r.neighbor_id): r.similarity for r in Sim.cosine_similarity(cells).collect()}
+    assert got.keys() == brute_cosine(rows).keys()
