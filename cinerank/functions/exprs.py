@@ -58,3 +58,12 @@ def split_bucket(*cols, seed: int) -> Column:
 
 def round6(c) -> Column:
     return F.round(col_(c), 6)
+
+
+def with_scalars(df, one_row):
+    """Attach the columns of a one-row DataFrame (an aggregate) to every row
+    of ``df`` as an uncorrelated scalar subquery: Spark runs the aggregate
+    once and inlines the value — no join, nothing broadcast but one row."""
+    cols = one_row.columns
+    packed = one_row.select(F.struct(*cols).alias("_s")).scalar()
+    return df.select("*", *[packed.getField(c).alias(c) for c in cols])

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.exprs import with_scalars
 from ..functions.ranking import exact_quantiles
 from ..schema import (COVERAGE_GOOD, COVERAGE_MODERATE, COVERAGE_THRESHOLD, DEFAULT_RATING,
                       ENGAGEMENT_LOW_MAX, ENGAGEMENT_MEDIUM_MAX, ERROR_BINS)
@@ -32,7 +33,7 @@ def rating_metrics(scored: DataFrame) -> DataFrame:
               F.round(F.max(e), 6).alias("max_error"),
               F.count(F.lit(1)).cast("bigint").alias("n_samples"))
     med = exact_quantiles(s, "error", {"median_error": 0.5})
-    return m.crossJoin(med.select(F.round("median_error", 6).alias("median_error")))  # 1 x 1 rows
+    return with_scalars(m, med.select(F.round("median_error", 6).alias("median_error")))
 
 
 def error_percentiles(scored: DataFrame) -> DataFrame:
@@ -78,7 +79,7 @@ def ratings_per_stats(ratings: DataFrame, key: str) -> DataFrame:
     s = per.agg(F.round(F.avg("n"), 6).alias("mean"),
                 F.min("n").cast("bigint").alias("min"), F.max("n").cast("bigint").alias("max"))
     med = exact_quantiles(per, "n", {"median": 0.5})
-    return s.crossJoin(med.select(F.round("median", 6).alias("median")))     # 1 x 1 rows
+    return with_scalars(s, med.select(F.round("median", 6).alias("median")))
 
 
 def error_histogram(scored: DataFrame) -> DataFrame:
@@ -110,8 +111,8 @@ def baselines(scored: DataFrame, neutral: float = DEFAULT_RATING) -> DataFrame:
     r = F.col("rating")
     med = exact_quantiles(scored, "rating", {"_med": 0.5})
     mean = scored.agg(F.avg(r).alias("_mean"))
-    consts = mean.crossJoin(med)                                   # 1 x 1 rows
-    x = scored.select("rating").crossJoin(F.broadcast(consts))     # one-row scalar broadcast
+    consts = with_scalars(mean, med)
+    x = with_scalars(scored.select("rating"), consts)
     agg = x.agg(F.first("_mean").alias("_mean"), F.first("_med").alias("_med"),
                 F.sqrt(F.avg((r - F.col("_mean")) ** 2)).alias("_rm"),
                 F.sqrt(F.avg((r - F.col("_med")) ** 2)).alias("_rmed"),
@@ -141,7 +142,7 @@ def engagement_segments(scored: DataFrame) -> DataFrame:
 
 def beats_baseline(metrics: DataFrame, base: DataFrame) -> DataFrame:
     """Model rmse < best baseline rmse."""
-    return metrics.select("rmse").crossJoin(base.select("best_baseline_rmse")).select(
+    return with_scalars(metrics.select("rmse"), base.select("best_baseline_rmse")).select(
         F.col("rmse").alias("model_rmse"), "best_baseline_rmse",
         (F.col("rmse") < F.col("best_baseline_rmse")).alias("beats_baseline"))
 
@@ -161,16 +162,16 @@ def evaluation_report(scored: DataFrame, ratings: DataFrame, metadata: dict | No
     base = baselines(scored)
     seg = engagement_segments(scored).agg(F.collect_list(F.struct("*")).alias("segments"))
     n = scored.agg(F.count(F.lit(1)).cast("bigint").alias("n_samples"))
-    rp = metrics.crossJoin(pct).select(F.struct(*metrics.columns, F.struct(*pct.columns)
+    rp = with_scalars(metrics, pct).select(F.struct(*metrics.columns, F.struct(*pct.columns)
                                                 .alias("percentiles")).alias("rating_prediction"))
     parts = [
         n.select(F.struct("n_samples").alias("test_set")), rp,
         cov.select(F.struct("*").alias("coverage")), sp.select(F.struct("*").alias("sparsity")),
-        summ.crossJoin(hist).select(F.struct("*").alias("error_distribution")),
+        with_scalars(summ, hist).select(F.struct("*").alias("error_distribution")),
         base.select(F.struct("*").alias("baselines")),
         seg.select(F.col("segments").alias("by_engagement")),
     ]
     out = parts[0]
     for p in parts[1:]:
-        out = out.crossJoin(p)
+        out = with_scalars(out, p)
     return out.withColumn("metadata", F.lit(json.dumps(metadata or {}, default=str)))

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.exprs import with_scalars
 from ..functions.ranking import with_dense_index
 from .similarity import cosine_similarity, similarity_with_self, top_neighbors
 
@@ -87,7 +88,7 @@ def user_vectors(cells: DataFrame) -> DataFrame:
     per_user = (cells.join(midx, "movie_id")
                 .groupBy("user_id")
                 .agg(F.map_from_entries(F.collect_list(F.struct("movie_idx", "rating"))).alias("_m2r")))
-    return per_user.crossJoin(F.broadcast(n_movies)).select(   # one-row scalar
+    return with_scalars(per_user, n_movies).select(
         "user_id",
         F.transform(F.sequence(F.lit(0).cast("bigint"), F.col("_m") - 1),
                     lambda i: F.coalesce(F.element_at("_m2r", i), F.lit(0.0))).alias("ratings"))

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import clip
+from ..functions.exprs import clip, with_scalars
 from ..functions.ranking import top_n_per_group, with_dense_index
 from ..schema import DEFAULT_RATING, RATING_CLIP
 from .similarity import cosine_similarity, top_neighbors
@@ -115,7 +115,7 @@ def recommend(cells: DataFrame, nbrs: DataFrame, train: DataFrame, k: int, n: in
     n_movies = midx.agg(F.count(F.lit(1)).alias("_m"))
     span = F.least(F.col("n") + F.col("_nr") + F.coalesce(F.col("_ns"), F.lit(0)), F.col("_m"))
     slots = (req.join(n_rat, "user_id").join(n_sup, "user_id", "left")
-             .crossJoin(F.broadcast(n_movies))           # one-row scalar
+             .transform(lambda d: with_scalars(d, n_movies))
              .select("user_id", F.explode(F.sequence(F.lit(1).cast("bigint"), span.cast("bigint")))
                      .alias("movie_idx")))
     taken = rated.unionByName(supported.select("user_id", "movie_id"))

@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import is_missing, to_double, to_long_truncating
+from ..functions.exprs import is_missing, to_double, to_long_truncating, with_scalars
 from ..schema import (EXPECTED_METRICS, RATING_RULES, SIMPLE_RANGE, SOFT_RANGE,
                       ColumnRule, wide_id_rules)
 
@@ -253,7 +253,7 @@ def expectations(raw: DataFrame, clean: DataFrame, expected=EXPECTED_METRICS) ->
     c = clean.agg(F.count(F.lit(1)).alias("clean_rows"),
                   F.count_distinct("user_id").alias("u"),
                   F.count_distinct("movie_id").alias("m"))
-    both = r.crossJoin(c)   # two one-row aggregates
+    both = with_scalars(r, c)
     sparsity = F.lit(1.0) - F.col("clean_rows") / (F.col("u") * F.col("m"))
     rows = [("raw_rows", F.col("raw_rows").cast("double"), expected["raw_rows"]),
             ("min_clean_rows", F.col("clean_rows").cast("double"), expected["min_clean_rows"]),

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import split_bucket
+from ..functions.exprs import split_bucket, with_scalars
 from ..functions.ranking import with_dense_index
 from ..schema import SEED, SPLIT_TRAIN_PCT
 
@@ -32,7 +32,7 @@ def split_rows_exact(ratings: DataFrame, seed: int = SEED, frac: float = 0.8) ->
     indexed = with_dense_index(keyed, ["_h", "user_id", "movie_id"], "_pos")
     n = indexed.agg(F.count(F.lit(1)).alias("_n"))
     cut = n.select(F.floor(F.col("_n") * F.lit(frac)).cast("bigint").alias("_cut"))
-    return (indexed.crossJoin(F.broadcast(cut))   # one-row scalar
+    return (with_scalars(indexed, cut)
             .withColumn("split", F.when(F.col("_pos") < F.col("_cut"), "train").otherwise("val"))
             .drop("_h", "_pos", "_cut"))
 

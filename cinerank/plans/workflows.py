@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.exprs import split_bucket
+from ..functions.exprs import split_bucket, with_scalars
 from ..operators import evaluate as E
 from ..operators import features as Fe
 from ..operators import knn, quality as Q, split as S, tuning as T
@@ -91,7 +91,7 @@ def train(spark: SparkSession, cells: DataFrame, ratings: DataFrame, k: int = 5,
                          F.round(F.avg(F.abs(e)), 6).alias("mae"),
                          F.count(F.lit(1)).cast("bigint").alias("n_val"))
     n_train = train_df.agg(F.count(F.lit(1)).cast("bigint").alias("n_train"))
-    report = n_train.crossJoin(metrics).select(                   # 1 x 1 rows
+    report = with_scalars(n_train, metrics).select(
         "n_train", "n_val", F.lit(k).cast("bigint").alias("k"),
         F.lit(use_weights).alias("use_similarity_weights"), "rmse", "mae")
     return TrainResult(model, report, tuning)
