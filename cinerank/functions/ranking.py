@@ -11,6 +11,8 @@ those into dense positions.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,13 +22,19 @@ _PART_BITS = 33
 
 
 def reliable_checkpoint(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder and cut its lineage.
+    """Materialise ``df`` as a parquet stage table in the shared checkpoint
+    folder and return a DataFrame reading it back (lineage cut).
 
-    Used where later stages must see exactly the same rows even if an executor
-    is lost and tasks are re-run (ids derived from partition positions).
+    One job writes it (``Dataset.checkpoint`` would compute the plan twice:
+    once to count, once to write); later stages re-read columnar files with
+    pruning, and see exactly the same rows even if executors are lost and
+    tasks re-run (ids derived from partition positions stay fixed).
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/cinerank-stage-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
 
 
 def _parallelism(df: DataFrame) -> int:
