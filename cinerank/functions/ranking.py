@@ -5,12 +5,13 @@ Both avoid the two single-task shapes that break at scale: an un-partitioned
 the exact ``percentile`` aggregate (every distinct value held by the one final
 task).  Instead the data is range-partitioned and sorted by the cluster, each
 row gets ``monotonically_increasing_id`` (partition index in the upper bits,
-position in the lower 33 bits), and a table with one row per partition turns
-those into dense positions.
+position in the lower 33 bits), and the per-partition counts (one number per
+partition) turn those into dense positions.
 """
 
 from __future__ import annotations
 
+import math
 import uuid
 
 from pyspark.sql import Column, DataFrame, Window
@@ -43,13 +44,18 @@ def _parallelism(df: DataFrame) -> int:
                spark.sparkContext.defaultParallelism)
 
 
-def with_dense_index(df: DataFrame, order_cols: list, index_col: str = "idx",
-                     start: int = 0, num_partitions: int | None = None) -> DataFrame:
-    """Add ``index_col`` = position of each row in the global order (0-based
-    plus ``start``), computed without moving all rows into one task.
+def dense_index(df: DataFrame, order_cols: list, index_col: str = "idx",
+                start: int = 0, num_partitions: int | None = None) -> tuple[DataFrame, int]:
+    """(``df`` + ``index_col``, row count): ``index_col`` is each row's position
+    in the global order (0-based plus ``start``), computed without moving
+    the rows into one task — the same scheme as ``RDD.zipWithIndex``.
 
-    ``order_cols`` should be a total order (e.g. unique ids) so the positions
-    are reproducible.
+    The rows are range-partitioned and sorted by the cluster, numbered with
+    ``monotonically_increasing_id`` (partition index in the upper 31 bits),
+    and stored as a stage table so the numbers never change.  The per-partition
+    row counts (one number per partition) are read back and turned into a
+    literal offset map.  ``order_cols`` should be a total order for positions
+    to be reproducible.
     """
     n = num_partitions or _parallelism(df)
     ranged = (df.repartitionByRange(n, *order_cols)
@@ -57,40 +63,52 @@ def with_dense_index(df: DataFrame, order_cols: list, index_col: str = "idx",
               .withColumn("_mid", F.monotonically_increasing_id()))
     ranged = reliable_checkpoint(ranged)
     part = F.shiftright(F.col("_mid"), _PART_BITS)
-    # One row per partition (at most ``n`` rows): safe to order globally and broadcast.
-    counts = ranged.groupBy(part.alias("_pid")).agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
-    pos = F.col("_off") + (F.col("_mid") - F.shiftleft(F.col("_pid"), _PART_BITS))
-    return (ranged.join(F.broadcast(offsets), part == F.col("_pid"))
-            .withColumn(index_col, pos + F.lit(start))
-            .drop("_mid", "_pid", "_off"))
+    counts = sorted((r[0], r[1]) for r in ranged.groupBy(part).count().collect())  # <= n rows
+    offsets, total = {}, 0
+    for pid, c in counts:
+        offsets[pid] = total
+        total += c
+    if not offsets:
+        return ranged.withColumn(index_col, F.lit(None).cast("bigint")).drop("_mid"), 0
+    off_map = F.create_map(*[x for pid, off in offsets.items() for x in (F.lit(pid), F.lit(off))])
+    pos = F.element_at(off_map, part) + (F.col("_mid") - F.shiftleft(part, _PART_BITS))
+    return ranged.withColumn(index_col, pos + F.lit(start)).drop("_mid"), total
+
+
+def with_dense_index(df: DataFrame, order_cols: list, index_col: str = "idx",
+                     start: int = 0, num_partitions: int | None = None) -> DataFrame:
+    """:func:`dense_index` without the count."""
+    return dense_index(df, order_cols, index_col, start, num_partitions)[0]
 
 
 def exact_quantiles(df: DataFrame, value_col: str, probs: dict[str, float]) -> DataFrame:
     """One-row DataFrame with the exact linear-interpolated quantile for each
     ``name -> p`` (numpy's default method, DuckDB ``quantile_cont``).
 
-    Values are ranked by a distributed sort; only the (at most 2 per quantile)
-    rows at the needed ranks are picked out with a broadcast of the rank list.
+    Values are ranked by a distributed sort (:func:`dense_index`); the count
+    fixes which ranks are needed (two per quantile), and one aggregate over
+    just those rows interpolates.  The exact ``percentile`` aggregate would
+    instead hold every distinct value in its single final task.
     """
     vals = df.select(F.col(value_col).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    indexed = with_dense_index(vals, ["_v"], "_rank")
-    n = indexed.agg(F.count(F.lit(1)).alias("_n"))
-    targets = n.select(F.explode(F.array(*[
-        F.struct(F.lit(name).alias("_q"), (F.lit(p) * (F.col("_n") - 1)).alias("_pos"))
-        for name, p in probs.items()])).alias("_t")).select("_t.*")
-    targets = targets.select(
-        "_q", "_pos",
-        F.floor("_pos").cast("bigint").alias("_lo"),
-        F.ceil("_pos").cast("bigint").alias("_hi"))
-    lo = indexed.select(F.col("_rank").alias("_lo"), F.col("_v").alias("_vlo"))
-    hi = indexed.select(F.col("_rank").alias("_hi"), F.col("_v").alias("_vhi"))
-    # ``targets`` has len(probs) rows: broadcasting it is bounded by the caller's list.
-    picked = (F.broadcast(targets).join(lo, "_lo").join(hi, "_hi")
-              .select("_q", (F.col("_vlo") + (F.col("_vhi") - F.col("_vlo"))
-                             * (F.col("_pos") - F.col("_lo"))).alias("_val")))
-    return picked.groupBy().pivot("_q", list(probs)).agg(F.first("_val"))
+    indexed, n = dense_index(vals, ["_v"], "_rank")
+    if n == 0:
+        return df.sparkSession.createDataFrame(
+            [tuple(None for _ in probs)], ", ".join(f"`{k}` double" for k in probs))
+    plan = {}
+    for name, p in probs.items():
+        pos = p * (n - 1)
+        lo = int(math.floor(pos))
+        plan[name] = (lo, int(math.ceil(pos)), pos - lo)
+    ranks = sorted({r for lo, hi, _ in plan.values() for r in (lo, hi)})
+    picked = indexed.where(F.col("_rank").isin(ranks))
+    rank, v = F.col("_rank"), F.col("_v")
+    aggs = []
+    for name, (lo, hi, frac) in plan.items():
+        vlo = F.max(F.when(rank == lo, v))
+        vhi = F.max(F.when(rank == hi, v))
+        aggs.append((vlo + (vhi - vlo) * F.lit(frac)).alias(name))
+    return picked.agg(*aggs)
 
 
 def top_n_per_group(df: DataFrame, group_cols: list, order_cols: list[Column], n,

@@ -10,8 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import with_scalars
-from ..functions.ranking import with_dense_index
+from ..functions.ranking import dense_index, with_dense_index
 from .similarity import cosine_similarity, similarity_with_self, top_neighbors
 
 PIVOT_MAX_VALUES = 10000
@@ -83,14 +82,13 @@ def user_vectors(cells: DataFrame) -> DataFrame:
     """F8: (user_id, ratings) — each user's ratings over the whole catalogue in
     movie order, 0.0 where unrated.  Built from the user's own cells and the
     dense movie index (no users x movies join)."""
-    midx = movie_index(cells)
-    n_movies = midx.agg(F.count(F.lit(1)).alias("_m"))
+    midx, n_movies = dense_index(catalogue(cells), ["movie_id"], "movie_idx")
     per_user = (cells.join(midx, "movie_id")
                 .groupBy("user_id")
                 .agg(F.map_from_entries(F.collect_list(F.struct("movie_idx", "rating"))).alias("_m2r")))
-    return with_scalars(per_user, n_movies).select(
+    return per_user.select(
         "user_id",
-        F.transform(F.sequence(F.lit(0).cast("bigint"), F.col("_m") - 1),
+        F.transform(F.sequence(F.lit(0).cast("bigint"), F.lit(n_movies - 1).cast("bigint")),
                     lambda i: F.coalesce(F.element_at("_m2r", i), F.lit(0.0))).alias("ratings"))
 
 

@@ -15,8 +15,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import clip, with_scalars
-from ..functions.ranking import top_n_per_group, with_dense_index
+from ..functions.exprs import clip
+from ..functions.ranking import dense_index, top_n_per_group
 from ..schema import DEFAULT_RATING, RATING_CLIP
 from .similarity import cosine_similarity, top_neighbors
 
@@ -111,11 +111,10 @@ def recommend(cells: DataFrame, nbrs: DataFrame, train: DataFrame, k: int, n: in
                  .agg(clip(_mean(False), *RATING_CLIP).alias("predicted_rating")))
     n_sup = supported.groupBy("user_id").agg(F.count(F.lit(1)).alias("_ns"))
     n_rat = rated.groupBy("user_id").agg(F.count(F.lit(1)).alias("_nr"))
-    midx = with_dense_index(rated.select("movie_id").distinct(), ["movie_id"], "movie_idx", start=1)
-    n_movies = midx.agg(F.count(F.lit(1)).alias("_m"))
-    span = F.least(F.col("n") + F.col("_nr") + F.coalesce(F.col("_ns"), F.lit(0)), F.col("_m"))
+    midx, n_movies = dense_index(rated.select("movie_id").distinct(), ["movie_id"], "movie_idx",
+                                 start=1)
+    span = F.least(F.col("n") + F.col("_nr") + F.coalesce(F.col("_ns"), F.lit(0)), F.lit(n_movies))
     slots = (req.join(n_rat, "user_id").join(n_sup, "user_id", "left")
-             .transform(lambda d: with_scalars(d, n_movies))
              .select("user_id", F.explode(F.sequence(F.lit(1).cast("bigint"), span.cast("bigint")))
                      .alias("movie_idx")))
     taken = rated.unionByName(supported.select("user_id", "movie_id"))

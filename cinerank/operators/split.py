@@ -7,11 +7,13 @@ DuckDB oracle.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import split_bucket, with_scalars
-from ..functions.ranking import with_dense_index
+from ..functions.exprs import split_bucket
+from ..functions.ranking import dense_index
 from ..schema import SEED, SPLIT_TRAIN_PCT
 
 
@@ -29,12 +31,10 @@ def split_rows_exact(ratings: DataFrame, seed: int = SEED, frac: float = 0.8) ->
                                              F.col("movie_id").cast("string"), F.lit(str(seed)))),
                         F.lit(1), F.lit(8)), 16, 10).cast("bigint")
     keyed = ratings.withColumn("_h", h)
-    indexed = with_dense_index(keyed, ["_h", "user_id", "movie_id"], "_pos")
-    n = indexed.agg(F.count(F.lit(1)).alias("_n"))
-    cut = n.select(F.floor(F.col("_n") * F.lit(frac)).cast("bigint").alias("_cut"))
-    return (with_scalars(indexed, cut)
-            .withColumn("split", F.when(F.col("_pos") < F.col("_cut"), "train").otherwise("val"))
-            .drop("_h", "_pos", "_cut"))
+    indexed, n = dense_index(keyed, ["_h", "user_id", "movie_id"], "_pos")
+    cut = int(math.floor(n * frac))
+    return (indexed.withColumn("split", F.when(F.col("_pos") < cut, "train").otherwise("val"))
+            .drop("_h", "_pos"))
 
 
 def split_users(users: DataFrame, seed: int = SEED, train_pct: int = SPLIT_TRAIN_PCT) -> DataFrame:
