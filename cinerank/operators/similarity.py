@@ -118,6 +118,10 @@ def _cell_kernel(symmetric: bool, top_k: int | None, partial: bool):
         users = pdf["user_id"].to_numpy(np.int64)
         movies = pdf["movie_id"].to_numpy(np.int64)
         vals = pdf["rating"].to_numpy(np.float64)
+        # Rows arrive in shuffle order; fix the summation order so a re-run
+        # task (executor loss) produces bit-identical sums for any ratings.
+        order = np.lexsort((movies, users, side))
+        side, users, movies, vals = side[order], users[order], movies[order], vals[order]
         diagonal = symmetric and bool((side == 2).all())
         lmask = (side == 2) if diagonal else (side == 0)
         rmask = lmask if diagonal else (side == 1)
