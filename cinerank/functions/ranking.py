@@ -90,8 +90,11 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: dict[str, float]) -> D
     just those rows interpolates.  The exact ``percentile`` aggregate would
     instead hold every distinct value in its single final task.
     """
-    vals = df.select(F.col(value_col).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    indexed, n = dense_index(vals, ["_v"], "_rank")
+    # ``_t`` breaks ties so that a value shared by a large share of the rows
+    # (range partitioning cannot split equal keys) spreads over partitions.
+    vals = (df.select(F.col(value_col).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+            .withColumn("_t", F.monotonically_increasing_id()))
+    indexed, n = dense_index(vals, ["_v", "_t"], "_rank")
     if n == 0:
         return df.sparkSession.createDataFrame(
             [tuple(None for _ in probs)], ", ".join(f"`{k}` double" for k in probs))
@@ -111,6 +114,13 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: dict[str, float]) -> D
     return picked.agg(*aggs)
 
 
+def maybe_broadcast(df: DataFrame, n_rows: int, max_rows: int = 5_000_000) -> DataFrame:
+    """Broadcast ``df`` when its exact row count is within ``max_rows`` (a
+    proven bound); beyond it, leave the join to a shuffle (and AQE skew
+    handling)."""
+    return F.broadcast(df) if n_rows <= max_rows else df
+
+
 def top_n_per_group(df: DataFrame, group_cols: list, order_cols: list[Column], n,
                     rank_col: str = "rank") -> DataFrame:
     """``row_number`` top-n; with a literal ``n`` Catalyst plans a

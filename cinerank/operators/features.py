@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.ranking import dense_index, with_dense_index
+from ..functions.ranking import dense_index, maybe_broadcast, with_dense_index
 from .similarity import cosine_similarity, similarity_with_self, top_neighbors
 
 PIVOT_MAX_VALUES = 10000
@@ -83,7 +83,7 @@ def user_vectors(cells: DataFrame) -> DataFrame:
     movie order, 0.0 where unrated.  Built from the user's own cells and the
     dense movie index (no users x movies join)."""
     midx, n_movies = dense_index(catalogue(cells), ["movie_id"], "movie_idx")
-    per_user = (cells.join(midx, "movie_id")
+    per_user = (cells.join(maybe_broadcast(midx, n_movies), "movie_id")
                 .groupBy("user_id")
                 .agg(F.map_from_entries(F.collect_list(F.struct("movie_idx", "rating"))).alias("_m2r")))
     return per_user.select(

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import clip
-from ..functions.ranking import dense_index, top_n_per_group
+from ..functions.ranking import dense_index, maybe_broadcast, top_n_per_group
 from ..schema import DEFAULT_RATING, RATING_CLIP
 from .similarity import cosine_similarity, top_neighbors
 
@@ -118,7 +118,9 @@ def recommend(cells: DataFrame, nbrs: DataFrame, train: DataFrame, k: int, n: in
              .select("user_id", F.explode(F.sequence(F.lit(1).cast("bigint"), span.cast("bigint")))
                      .alias("movie_idx")))
     taken = rated.unionByName(supported.select("user_id", "movie_id"))
-    defaults = (slots.join(midx, "movie_idx").drop("movie_idx")
+    # Every user's slots start at position 1, so low positions are hot keys:
+    # look positions up in a broadcast catalogue when its (exact) size allows.
+    defaults = (slots.join(maybe_broadcast(midx, n_movies), "movie_idx").drop("movie_idx")
                 .join(taken, ["user_id", "movie_id"], "left_anti")
                 .withColumn("predicted_rating", F.lit(default)))
     cands = supported.unionByName(defaults)
