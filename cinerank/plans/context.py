@@ -58,16 +58,22 @@ def model_parts(spark: SparkSession, sf: str, k_max: int = K_DEFAULT):
     return cells, nbrs, train, val
 
 
-def scored_val(spark: SparkSession, sf: str, k: int = K_DEFAULT, weighted: bool = False) -> DataFrame:
-    """Validation rows with the K-NN prediction: (user_id, movie_id, rating, prediction)."""
+def scored_with_cells(spark: SparkSession, sf: str, k: int = K_DEFAULT,
+                      weighted: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(validation rows with the K-NN prediction, the staged cells)."""
     cells, nbrs, train, val = model_parts(spark, sf, k)
     p = knn.predict(val.select("user_id", "movie_id", "rating"), nbrs, train, k, weighted)
     # Predicted once, materialised, then every metric is an aggregate over it.
-    return reliable_checkpoint(p.select("user_id", "movie_id", "rating", "prediction"))
+    return reliable_checkpoint(p.select("user_id", "movie_id", "rating", "prediction")), cells
+
+
+def scored_val(spark: SparkSession, sf: str, k: int = K_DEFAULT, weighted: bool = False) -> DataFrame:
+    """Validation rows with the K-NN prediction: (user_id, movie_id, rating, prediction)."""
+    return scored_with_cells(spark, sf, k, weighted)[0]
 
 
-def user_split(spark: SparkSession, sf: str) -> DataFrame:
-    return S.split_users(r1_cells(spark, sf))
+def user_split(cells: DataFrame) -> DataFrame:
+    return S.split_users(cells)
 
 
 def recommend_requests(spark: SparkSession, sf: str) -> DataFrame:

@@ -183,7 +183,7 @@ def split_rows_exact(spark, sf):
 
 
 def split_users(spark, sf):
-    return C.user_split(spark, sf)
+    return C.user_split(C.r1_cells(spark, sf))
 
 
 def user_mean_rating(spark, sf):
@@ -192,8 +192,10 @@ def user_mean_rating(spark, sf):
 
 
 def user_knn_predict(spark, sf):
+    # the cleaned table has one row per (user, movie): its cells carry the same
+    # ratings, so one staged table serves vectors, targets and the split
     cells = C.r1_cells(spark, sf)
-    p = knn.user_knn_predict(cells, C.r1_clean(spark, sf), C.user_split(spark, sf), (C.K_DEFAULT,))
+    p = knn.user_knn_predict(cells, cells, C.user_split(cells), (C.K_DEFAULT,))
     return p.select("user_id", F.round("prediction", 6).alias("prediction"),
                     F.round("target", 6).alias("target"))
 
@@ -208,7 +210,8 @@ def tune_best_k(spark, sf):
 
 
 def sweep_k(spark, sf):
-    return T.sweep_k(C.r1_cells(spark, sf), C.r1_clean(spark, sf), C.user_split(spark, sf), K_VALUES)
+    cells = C.r1_cells(spark, sf)
+    return T.sweep_k(cells, cells, C.user_split(cells), K_VALUES)
 
 
 def best_run(spark, sf):
@@ -220,12 +223,13 @@ def run_leaderboard(spark, sf):
 
 
 def train_report(spark, sf):
-    return W.train(spark, C.r1_cells(spark, sf), C.r1_clean(spark, sf), tune=True).report
+    cells = C.r1_cells(spark, sf)
+    return W.train(spark, cells, cells, tune=True).report
 
 
 def actual_vs_predicted(spark, sf):
     cells, nbrs, train, _ = C.model_parts(spark, sf)
-    p = knn.predict(C.r1_clean(spark, sf), nbrs, train, C.K_DEFAULT)
+    p = knn.predict(cells, nbrs, train, C.K_DEFAULT)
     return p.select("user_id", "movie_id", F.col("rating").alias("actual"),
                     F.col("prediction").alias("predicted"),
                     F.abs(F.col("rating") - F.col("prediction")).alias("abs_error"))
@@ -233,7 +237,7 @@ def actual_vs_predicted(spark, sf):
 
 def sample_error_metrics(spark, sf):
     cells, nbrs, train, _ = C.model_parts(spark, sf)
-    return W.sample_error_metrics(C.r1_clean(spark, sf), nbrs, train, C.K_DEFAULT, size=10)
+    return W.sample_error_metrics(cells, nbrs, train, C.K_DEFAULT, size=10)
 
 
 # --- evaluation --------------------------------------------------------------------
@@ -288,7 +292,8 @@ def beats_baseline(spark, sf):
 
 
 def evaluation_report(spark, sf):
-    return W.evaluate(C.scored_val(spark, sf), C.r1_clean(spark, sf))
+    scored, cells = C.scored_with_cells(spark, sf)
+    return W.evaluate(scored, cells)
 
 
 def gen_ratings(spark, sf):
