@@ -72,7 +72,7 @@ def _sparse_dot(lu, lm, lr, nl, ru, rm, rr, nr):
         keys = lu[owner].astype(np.int64) * nr + ru_s[pos]
         vals = lr[owner] * rr_s[pos]
         if dense:
-            np.add.at(acc, keys, vals)
+            acc += np.bincount(keys, weights=vals, minlength=size)
         else:
             keys_parts.append(keys)
             vals_parts.append(vals)
@@ -231,17 +231,22 @@ def cosine_similarity(cells: DataFrame, right: DataFrame | None = None, *,
         cols = ["_bi", "_bj", "_side", "user_id", "movie_id", "rating"]
         rep = lrep.select(*cols).unionByName(rrep.select(*cols))
     rep = rep.withColumn("_mb", mblk)
-    keys = ["_bi", "_bj", "_mb"]
-    # The kernel is CPU-bound Python: give the cells their own tasks instead of
-    # letting AQE pack them by bytes (an explicit partition count is kept).
+    # The kernel is CPU-bound Python: spread the cells evenly over an explicit
+    # number of tasks (AQE would pack them by bytes; hashing a few dozen cell
+    # ids into as many partitions leaves some empty and others doubled).
+    # Range-partitioning a dense cell id gives each task a run of cells with
+    # about the same number of rows.
     n_cells = (g * (g + 1) // 2 if symmetric else g * g) * h
     par = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
               2 * spark.sparkContext.defaultParallelism)
-    rep = rep.repartition(min(n_cells, par), *keys)
+    cell_id = ((F.col("_bi") * g + F.col("_bj")) * h + F.col("_mb")).alias("_cid")
+    rep = rep.select(cell_id, "_side", "user_id", "movie_id", "rating")
+    # grouping by the range-partitioned column reuses that partitioning (no second shuffle)
+    rep = rep.repartitionByRange(min(n_cells, par), "_cid")
     if h == 1:
-        sims = rep.groupBy(*keys).applyInPandas(_cell_kernel(symmetric, top_k, False), SIM_SCHEMA)
+        sims = rep.groupBy("_cid").applyInPandas(_cell_kernel(symmetric, top_k, False), SIM_SCHEMA)
     else:
-        dots = (rep.groupBy(*keys).applyInPandas(_cell_kernel(symmetric, None, True), DOT_SCHEMA)
+        dots = (rep.groupBy("_cid").applyInPandas(_cell_kernel(symmetric, None, True), DOT_SCHEMA)
                 .groupBy("user_id", "neighbor_id").agg(F.sum("dot").alias("dot")))
         n2l = left.groupBy("user_id").agg(F.sum(F.col("rating") * F.col("rating")).alias("_n2u"))
         n2r = (left if symmetric else rt).groupBy(F.col("user_id").alias("neighbor_id")).agg(
