@@ -224,7 +224,8 @@ def user_knn_predict(cells: DataFrame, ratings: DataFrame, user_split: DataFrame
     y = user_mean_rating(ratings)
     votes = nb.join(y.select(F.col("user_id").alias("neighbor_id"), F.col("target").alias("_y")),
                     "neighbor_id")
-    ks = F.explode(F.array(*[F.struct(F.lit(i).alias("_pos"), F.lit(kv).alias("k"),
+    ks = F.explode(F.array(*[F.struct(F.lit(i).cast("bigint").alias("_pos"),
+                                      F.lit(kv).cast("bigint").alias("k"),
                                       F.lit(min(kv, n_train)).alias("_keff"))
                              for i, kv in enumerate(k_values)])).alias("_k")
     per_k = (votes.select("*", ks).select("*", "_k.*").drop("_k")

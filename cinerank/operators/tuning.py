@@ -21,7 +21,8 @@ from . import knn
 
 
 def _k_list(k_values):
-    return F.explode(F.array(*[F.struct(F.lit(i).alias("_pos"), F.lit(k).alias("k"))
+    return F.explode(F.array(*[F.struct(F.lit(i).cast("bigint").alias("_pos"),
+                                         F.lit(k).cast("bigint").alias("k"))
                                for i, k in enumerate(k_values)])).alias("_k")
 
 

@@ -273,7 +273,7 @@ def _per_stats(key: str) -> str:
 BASE = """base AS (SELECT avg(rating) AS m, quantile_cont(rating, 0.5) AS med FROM scored),
 bl AS (SELECT round(b.m, 6) AS mean_value, round(sqrt(avg((s.rating - b.m) ^ 2)), 6) AS mean_rmse,
               round(b.med, 6) AS median_value, round(sqrt(avg((s.rating - b.med) ^ 2)), 6) AS median_rmse,
-              3.0 AS neutral_value, round(sqrt(avg((s.rating - 3.0) ^ 2)), 6) AS neutral_rmse,
+              CAST(3.0 AS DOUBLE) AS neutral_value, round(sqrt(avg((s.rating - 3.0) ^ 2)), 6) AS neutral_rmse,
               round(least(sqrt(avg((s.rating - b.m) ^ 2)), sqrt(avg((s.rating - b.med) ^ 2)),
                           sqrt(avg((s.rating - 3.0) ^ 2))), 6) AS best_baseline_rmse
        FROM scored s CROSS JOIN base b GROUP BY b.m, b.med)"""
@@ -319,7 +319,7 @@ def oracle_sql() -> dict[str, str]:
     o["expectations"] = _with(R1, "a AS (SELECT count(*) AS raw_rows FROM r1_raw)",
                               """b AS (SELECT count(*) AS clean_rows, count(DISTINCT user_id) AS u,
                                    count(DISTINCT movie_id) AS m FROM r1)""") + """
-SELECT 'raw_rows' AS metric, CAST(raw_rows AS DOUBLE) AS actual, 2000.0 AS expected, raw_rows >= 2000 AS passed FROM a
+SELECT 'raw_rows' AS metric, CAST(raw_rows AS DOUBLE) AS actual, CAST(2000 AS DOUBLE) AS expected, raw_rows >= 2000 AS passed FROM a
 UNION ALL SELECT 'min_clean_rows', CAST(clean_rows AS DOUBLE), 1800.0, clean_rows >= 1800 FROM b
 UNION ALL SELECT 'target_sparsity', round(1.0 - clean_rows / (u * m), 6), 0.9,
                  round(1.0 - clean_rows / (u * m), 6) >= 0.9 FROM b"""
@@ -412,7 +412,7 @@ SELECT (SELECT CAST(count(*) AS BIGINT) FROM train) AS n_train, (SELECT CAST(cou
     o["ratings_per_user_stats"] = _per_stats("user_id")
     o["ratings_per_movie_stats"] = _per_stats("movie_id")
     o["error_histogram"] = _with(SCORED) + " UNION ALL ".join(
-        f"SELECT 'error_{lo:.1f}_{hi:.1f}' AS bin, {lo} AS lower, {hi} AS upper, "
+        f"SELECT 'error_{lo:.1f}_{hi:.1f}' AS bin, CAST({lo} AS DOUBLE) AS lower, CAST({hi} AS DOUBLE) AS upper, "
         f"CAST(count_if({_ERR} >= {lo} AND {_ERR} < {hi}) AS BIGINT) AS count, "
         f"round(count_if({_ERR} >= {lo} AND {_ERR} < {hi}) * 100.0 / count(*), 6) AS percentage FROM scored"
         for lo, hi in BINS)
