@@ -40,16 +40,37 @@ SIM_SCHEMA = "user_id long, neighbor_id long, similarity double"
 
 # Work bounds for one cell (one Python task).
 DENSE_CELL_LIMIT = 1 << 24      # dense accumulator entries (128 MB of doubles)
+DENSE_MATRIX_LIMIT = 1 << 24    # entries of a dense users x movies block
+DENSE_FLOPS_PER_PAIR = 200      # BLAS flops worth one expanded co-rating pair
 PAIR_CHUNK = 1 << 22            # co-rating products expanded at a time
 BLOCK_USERS = 2048              # target users per block
 CELL_ROWS = 2_000_000           # target rating rows per cell
 USER_SLICE_ROWS = 1_000_000     # most ratings of one user a cell may hold
 
 
-def _sparse_dot(lu, lm, lr, nl, ru, rm, rr, nr):
+def _sparse_dot(lu, lm, lr, nl, ru, rm, rr, nr, dense_flops_per_pair=None):
     """Dot products between left users (local ids ``lu`` in [0, nl)) and right
     users (``ru`` in [0, nr)) of sparse vectors given as (user, movie, value)
-    triples.  Returns (left_idx, right_idx, dot) for non-zero dots."""
+    triples.  Returns (left_idx, right_idx, dot) for non-zero dots.
+
+    Dense blocks (many co-ratings per movie) go through one BLAS matrix
+    product; sparse ones expand only the co-rating pairs.  Either way the
+    sums of half-star products are exact, so both give the same bits."""
+    movies, inv = np.unique(np.concatenate([lm, rm]), return_inverse=True)
+    nm = len(movies)
+    li_m, ri_m = inv[:len(lm)], inv[len(lm):]
+    pairs = float(np.dot(np.bincount(li_m, minlength=nm).astype(np.float64),
+                         np.bincount(ri_m, minlength=nm).astype(np.float64)))
+    if (max(nl, nr) * nm <= DENSE_MATRIX_LIMIT and nl * nr <= DENSE_CELL_LIMIT
+            and float(nl) * nr * nm <= (DENSE_FLOPS_PER_PAIR if dense_flops_per_pair is None
+                                        else dense_flops_per_pair) * pairs):
+        left = np.zeros((nl, nm))
+        left[lu, li_m] = lr
+        right = np.zeros((nr, nm))
+        right[ru, ri_m] = rr
+        d = left @ right.T
+        li, ri = np.nonzero(d)
+        return li, ri, d[li, ri]
     order = np.argsort(rm, kind="stable")
     rm_s, ru_s, rr_s = rm[order], ru[order], rr[order]
     lo = np.searchsorted(rm_s, lm, "left")
@@ -109,7 +130,7 @@ _EMPTY = pd.DataFrame({"user_id": np.zeros(0, np.int64), "neighbor_id": np.zeros
                        "similarity": np.zeros(0)})
 
 
-def _cell_kernel(symmetric: bool, top_k: int | None, partial: bool):
+def _cell_kernel(symmetric: bool, top_k: int | None, partial: bool, dense_flops=None):
     """Kernel for one grid cell.  ``partial``: the cell holds one movie block
     of the vectors only, so it returns partial dot products (summed later)
     instead of finished similarities."""
@@ -130,7 +151,7 @@ def _cell_kernel(symmetric: bool, top_k: int | None, partial: bool):
         if len(lid) == 0 or len(rid) == 0:
             return (_EMPTY_DOT if partial else _EMPTY).copy()
         li, ri, dot = _sparse_dot(linv, movies[lmask], vals[lmask], len(lid),
-                                  rinv, movies[rmask], vals[rmask], len(rid))
+                                  rinv, movies[rmask], vals[rmask], len(rid), dense_flops)
         if partial:
             keep = dot != 0
             if diagonal:
@@ -186,7 +207,8 @@ def _block_count(spark, n_users: int, n_rows: int, symmetric: bool) -> int:
 
 def cosine_similarity(cells: DataFrame, right: DataFrame | None = None, *,
                       top_k: int | None = None, blocks: int | None = None,
-                      movie_blocks: int | None = None) -> DataFrame:
+                      movie_blocks: int | None = None,
+                      dense_flops_per_pair: float | None = None) -> DataFrame:
     """Cosine similarity between users' rating vectors.
 
     ``cells``: (user_id, movie_id, rating) with one row per (user, movie) and
@@ -244,9 +266,9 @@ def cosine_similarity(cells: DataFrame, right: DataFrame | None = None, *,
     # grouping by the range-partitioned column reuses that partitioning (no second shuffle)
     rep = rep.repartitionByRange(min(n_cells, par), "_cid")
     if h == 1:
-        sims = rep.groupBy("_cid").applyInPandas(_cell_kernel(symmetric, top_k, False), SIM_SCHEMA)
+        sims = rep.groupBy("_cid").applyInPandas(_cell_kernel(symmetric, top_k, False, dense_flops_per_pair), SIM_SCHEMA)
     else:
-        dots = (rep.groupBy("_cid").applyInPandas(_cell_kernel(symmetric, None, True), DOT_SCHEMA)
+        dots = (rep.groupBy("_cid").applyInPandas(_cell_kernel(symmetric, None, True, dense_flops_per_pair), DOT_SCHEMA)
                 .groupBy("user_id", "neighbor_id").agg(F.sum("dot").alias("dot")))
         n2l = left.groupBy("user_id").agg(F.sum(F.col("rating") * F.col("rating")).alias("_n2u"))
         n2r = (left if symmetric else rt).groupBy(F.col("user_id").alias("neighbor_id")).agg(

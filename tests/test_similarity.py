@@ -146,3 +146,16 @@ def test_hot_user_switches_to_movie_blocks(spark, monkeypatch):
     assert h > 1
     got = {(r.user_id, r.neighbor_id): r.similarity for r in Sim.cosine_similarity(cells).collect()}
     assert got.keys() == brute_cosine(rows).keys()
+
+
+@pytest.mark.parametrize("dense_flops", [0, 1e12])
+@pytest.mark.parametrize("movie_blocks", [1, 2])
+def test_sparse_and_dense_kernels_agree(spark, dense_flops, movie_blocks):
+    rows = random_cells(41, n_users=30, density=0.3)
+    cells = spark.createDataFrame(rows, "user_id long, movie_id long, rating double")
+    got = {(r.user_id, r.neighbor_id): r.similarity for r in Sim.cosine_similarity(
+        cells, blocks=3, movie_blocks=movie_blocks, dense_flops_per_pair=dense_flops).collect()}
+    want = brute_cosine(rows)
+    assert got.keys() == want.keys()
+    for k, v in want.items():
+        assert got[k] == pytest.approx(v, abs=1e-12)
