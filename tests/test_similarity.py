@@ -159,3 +159,27 @@ def test_sparse_and_dense_kernels_agree(spark, dense_flops, movie_blocks):
     assert got.keys() == want.keys()
     for k, v in want.items():
         assert got[k] == pytest.approx(v, abs=1e-12)
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.integers(1, 15), st.integers(1, 12),
+                          st.integers(1, 10).map(lambda x: x / 2)),
+                min_size=1, max_size=80, unique_by=lambda t: (t[0], t[1])),
+       st.integers(1, 4), st.integers(1, 3), st.sampled_from([None, 2]))
+def test_property_block_product(spark, rows, blocks, movie_blocks, top_k):
+    cells = spark.createDataFrame(rows, "user_id long, movie_id long, rating double")
+    got = Sim.cosine_similarity(cells, blocks=blocks, movie_blocks=movie_blocks, top_k=top_k).collect()
+    want = brute_cosine(rows)
+    if top_k is None:
+        assert {(r.user_id, r.neighbor_id) for r in got} == set(want)
+    else:
+        for u in {a for a, _ in want}:
+            best = sorted(((-s, b) for (a, b), s in want.items() if a == u))[:top_k]
+            mine = sorted((r["rank"], r.neighbor_id) for r in got if r.user_id == u)
+            assert [b for _, b in mine] == [b for _, b in best]
+    for r in got:
+        assert r.similarity == pytest.approx(want[(r.user_id, r.neighbor_id)], abs=1e-12)
