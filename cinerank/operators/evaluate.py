@@ -21,8 +21,10 @@ def _err(scored: DataFrame) -> DataFrame:
     return scored.withColumn("error", F.abs(F.col("rating") - F.col("prediction")))
 
 
-def rating_metrics(scored: DataFrame) -> DataFrame:
-    """Rmse, mae, median/mean/population-std/min/max of |error|, n."""
+def rating_metrics(scored: DataFrame, error_quantiles: DataFrame | None = None) -> DataFrame:
+    """Rmse, mae, median/mean/population-std/min/max of |error|, n.
+    ``error_quantiles``: a precomputed :func:`error_percentiles` row (its p50
+    is the median) so a report ranks the errors once."""
     s = _err(scored)
     e = F.col("error")
     m = s.agg(F.round(F.sqrt(F.avg(e * e)), 6).alias("rmse"),
@@ -32,6 +34,8 @@ def rating_metrics(scored: DataFrame) -> DataFrame:
               F.round(F.min(e), 6).alias("min_error"),
               F.round(F.max(e), 6).alias("max_error"),
               F.count(F.lit(1)).cast("bigint").alias("n_samples"))
+    if error_quantiles is not None:
+        return with_scalars(m, error_quantiles.select(F.col("p50").alias("median_error")))
     med = exact_quantiles(s, "error", {"median_error": 0.5})
     return with_scalars(m, med.select(F.round("median_error", 6).alias("median_error")))
 
@@ -151,10 +155,11 @@ def evaluation_report(scored: DataFrame, ratings: DataFrame, metadata: dict | No
                       n_movies: int | None = None) -> DataFrame:
     """One row of nested structs — rating_prediction, coverage, sparsity,
     error_distribution, baselines, by_engagement (+ metadata as JSON text).
-    Every part is a one-row aggregate, so the cross joins are 1 x 1."""
+    Every part is a one-row aggregate attached as a scalar subquery; the
+    errors are ranked once for the median and the percentiles."""
     import json
-    metrics = rating_metrics(scored)
     pct = error_percentiles(scored)
+    metrics = rating_metrics(scored, pct)
     cov = coverage_verdict(catalog_coverage(scored))
     sp = sparsity(ratings, n_movies)
     hist = error_histogram(scored).agg(F.collect_list(F.struct("*")).alias("bins"))
