@@ -423,4 +423,14 @@ SELECT (SELECT CAST(count(*) AS BIGINT) FROM train) AS n_train, (SELECT CAST(cou
 FROM pu GROUP BY 1"""
     o["beats_baseline"] = _with(SCORED, BASE, f"m AS (SELECT round(sqrt(avg(({_ERR}) ^ 2)), 6) AS rmse FROM scored)") + \
         "SELECT m.rmse AS model_rmse, bl.best_baseline_rmse, m.rmse < bl.best_baseline_rmse AS beats_baseline FROM m CROSS JOIN bl"
+    o["gen_ratings"] = _with(f"""u AS (SELECT event_id,
+        {_unif(1)} AS u1, {_unif(2)} AS u2, {_unif(3)} AS u3, {_unif(4)} AS u4, {_unif(5)} AS u5 FROM events)""") + \
+        """SELECT CAST(floor(u1 * 189) + 1 AS BIGINT) AS user_id, CAST(floor(u2 * 100) + 1 AS BIGINT) AS movie_id,
+       round(least(greatest(sqrt(-2.0 * ln(u3)) * cos(2.0 * pi() * u4) * 1.0 + 3.5, 1.0), 5.0), 6) AS rating,
+       CAST(floor(u5 * (1104537600 - 788918400)) + 788918400 AS BIGINT) AS timestamp FROM u"""
     return o
+
+
+def _unif(stream: int, seed: int = 42) -> str:
+    return (f"((('0x' || substr(md5(concat_ws(':', event_id, '{seed}', '{stream}')), 1, 13))::BIGINT "
+            f"+ 0.5) / 4503599627370496.0)")

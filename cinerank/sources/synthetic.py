@@ -22,14 +22,15 @@ N_RATINGS, N_USERS, N_MOVIES, SEED = 2000, 189, 100, 42
 RATING_MEAN, RATING_STD, RATING_MIN, RATING_MAX = 3.5, 1.0, 1.0, 5.0
 TS_START, TS_END = 788918400, 1104537600
 
-_MANTISSA = float(1 << 53)
+_SCALE = float(1 << 52)
 
 
 def _uniform(row_id: Column, seed: int, stream: int) -> Column:
-    """Uniform in (0, 1) from a 53-bit slice of xxhash64(row, seed, stream)."""
-    h = F.xxhash64(row_id, F.lit(seed), F.lit(stream))
-    bits = F.shiftright(h, 11).bitwiseAND(F.lit((1 << 53) - 1))
-    return (bits.cast("double") + 0.5) / F.lit(_MANTISSA)
+    """Uniform in (0, 1) from the first 52 bits of md5('row:seed:stream').
+    md5 (not xxhash64) so that SQL engines can reproduce every draw."""
+    key = F.concat_ws(":", row_id.cast("string"), F.lit(str(seed)), F.lit(str(stream)))
+    bits = F.conv(F.substr(F.md5(key), F.lit(1), F.lit(13)), 16, 10).cast("bigint")
+    return (bits.cast("double") + 0.5) / F.lit(_SCALE)
 
 
 def ratings_from_rows(rows: DataFrame, id_col: str = "event_id", n_users: int = N_USERS,
@@ -41,7 +42,7 @@ def ratings_from_rows(rows: DataFrame, id_col: str = "event_id", n_users: int =
     return rows.select(
         (F.floor(_uniform(rid, seed, 1) * n_users) + 1).cast("bigint").alias("user_id"),
         (F.floor(_uniform(rid, seed, 2) * n_movies) + 1).cast("bigint").alias("movie_id"),
-        clip(normal * RATING_STD + RATING_MEAN, RATING_MIN, RATING_MAX).alias("rating"),
+        F.round(clip(normal * RATING_STD + RATING_MEAN, RATING_MIN, RATING_MAX), 6).alias("rating"),
         (F.floor(_uniform(rid, seed, 5) * (TS_END - TS_START)) + TS_START).cast("bigint")
         .alias("timestamp"))
 

@@ -108,4 +108,4 @@ def test_entry_flagship(spark):
 def test_registry_has_oracles():
     q, o = entry.queries(), entry.oracle_sql()
     assert set(o) <= set(q)
-    assert set(q) - set(o) == {"evaluation_report", "gen_ratings"}
+    assert set(q) - set(o) == {"evaluation_report"}
