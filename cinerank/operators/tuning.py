@@ -7,7 +7,6 @@ exploded next to it (a bounded fan-out of len(K), not a join).
 
 from __future__ import annotations
 
-import json
 import time
 import uuid
 
@@ -144,7 +143,3 @@ def log_sweep(log: RunLog, sweep_rows: list, experiment: str, seconds: float,
              "training_time_seconds": seconds},
             {"dataset": "ratings", "k_value": str(r["k"]), "status": r["status"]}))
     return ids
-
-
-def to_json(row_dict: dict) -> str:
-    return json.dumps(row_dict, indent=2, default=float)

@@ -41,11 +41,6 @@ def r2_cells(spark: SparkSession, sf: str) -> DataFrame:
     return reliable_checkpoint(Fe.rating_cells(r2_clean(spark, sf)))
 
 
-def r1_split(spark: SparkSession, sf: str):
-    s = S.split_rows(r1_clean(spark, sf))
-    return S.side(s, "train"), S.side(s, "val")
-
-
 def model_parts(spark: SparkSession, sf: str, k_max: int = K_DEFAULT):
     """(cells, neighbours ranked up to k_max, train, val)."""
     cells = r1_cells(spark, sf)

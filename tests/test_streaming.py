@@ -4,7 +4,6 @@ batch strict ingest over both files."""
 import os
 import tempfile
 
-from pyspark.sql import functions as F
 
 from cinerank.operators import quality as Q
 from cinerank.schema import string_schema
