@@ -38,12 +38,6 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def _parallelism(df: DataFrame) -> int:
-    spark = df.sparkSession
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")),
-               spark.sparkContext.defaultParallelism)
-
-
 def dense_index(df: DataFrame, order_cols: list, index_col: str = "idx",
                 start: int = 0, num_partitions: int | None = None) -> tuple[DataFrame, int]:
     """(``df`` + ``index_col``, row count): ``index_col`` is each row's position
@@ -57,8 +51,11 @@ def dense_index(df: DataFrame, order_cols: list, index_col: str = "idx",
     literal offset map.  ``order_cols`` should be a total order for positions
     to be reproducible.
     """
-    n = num_partitions or _parallelism(df)
-    ranged = (df.repartitionByRange(n, *order_cols)
+    # Without an explicit count AQE sizes the range partitions from the data
+    # (positions are taken after that, from the written stage table).
+    ranged = df.repartitionByRange(num_partitions, *order_cols) if num_partitions \
+        else df.repartitionByRange(*order_cols)
+    ranged = (ranged
               .sortWithinPartitions(*order_cols)
               .withColumn("_mid", F.monotonically_increasing_id()))
     ranged = reliable_checkpoint(ranged)

@@ -35,6 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ranking import top_n_per_group
+from ..session import ship_package
 
 SIM_SCHEMA = "user_id long, neighbor_id long, similarity double"
 
@@ -229,6 +230,7 @@ def cosine_similarity(cells: DataFrame, right: DataFrame | None = None, *,
     one more aggregation sums before the norms are applied.
     """
     spark = cells.sparkSession
+    ship_package(spark)          # the cell kernel runs in the Python workers
     left = cells.select("user_id", "movie_id", F.col("rating").cast("double"))
     symmetric = right is None
     rt = None if symmetric else right.select("user_id", "movie_id", F.col("rating").cast("double"))
