@@ -91,15 +91,17 @@ def recommend(cells: DataFrame, nbrs: DataFrame, train: DataFrame, k: int, n: in
     default 3.0 and only the lowest ids of those can make the list, so per
     user just the first ``n + |rated| + |supported|`` catalogue positions are
     generated (never users x movies).  ``requests`` (user_id, n) restricts the
-    users and sets per-user list lengths; unknown users get no rows.
+    users and sets per-user list lengths (1..50); unknown users get no rows.
     """
     users = cells.select("user_id").distinct()
     if requests is None:
         req = users.withColumn("n", F.lit(n))
         n_max = n
     else:
-        req = requests.select("user_id", F.col("n").cast("int")).join(users, "user_id", "left_semi")
-        n_max = n
+        # List lengths outside [1, 50] are rejected like the API's bounds
+        req = (requests.select("user_id", F.col("n").cast("int"))
+               .where(F.col("n").between(1, 50)).join(users, "user_id", "left_semi"))
+        n_max = 50
     rated = cells.select("user_id", "movie_id")
     nb = (nbrs.where(F.col("rank") <= k).select("user_id", "neighbor_id")
           .join(req.select("user_id"), "user_id", "left_semi"))

@@ -39,11 +39,13 @@ from ..session import ship_package
 
 SIM_SCHEMA = "user_id long, neighbor_id long, similarity double"
 
-# Work bounds for one cell (one Python task).
-DENSE_CELL_LIMIT = 1 << 24      # dense accumulator entries (128 MB of doubles)
-DENSE_MATRIX_LIMIT = 1 << 24    # entries of a dense users x movies block
+# Work bounds for one cell (one Python task).  They keep a Python worker near
+# 100-150 MB (outside the JVM heap, so it must fit the executor's memory
+# overhead even with one worker per core).
+DENSE_CELL_LIMIT = 1 << 23      # dense accumulator entries (64 MB of doubles)
+DENSE_MATRIX_LIMIT = 1 << 22    # entries of a dense users x movies block (32 MB)
 DENSE_FLOPS_PER_PAIR = 200      # BLAS flops worth one expanded co-rating pair
-PAIR_CHUNK = 1 << 22            # co-rating products expanded at a time
+PAIR_CHUNK = 1 << 21            # co-rating products expanded at a time
 BLOCK_USERS = 2048              # target users per block
 CELL_ROWS = 2_000_000           # target rating rows per cell
 USER_SLICE_ROWS = 1_000_000     # most ratings of one user a cell may hold
