@@ -85,3 +85,31 @@ def ship_package(spark: SparkSession) -> None:
                     z.write(full, os.path.relpath(full, parent))
     sc.addPyFile(archive)
     _SHIPPED.add(sc.applicationId)
+
+
+def cluster_conf(input_bytes: int, total_cores: int) -> dict[str, str]:
+    """Session settings for a cluster run over ``input_bytes`` of ratings.
+
+    * shuffle partitions: ~256 MB of shuffle input each (the similarity grid
+      replicates ratings G times, so size from the replicated volume when
+      running the all-pairs keys), at least 3 waves of the cluster's cores;
+      AQE coalesces what turns out smaller and splits skewed join partitions;
+    * 256 MB scan splits;
+    * one Python worker per core for the similarity kernel, bounded at
+      ~150 MB by the kernel's buffer limits: ``spark.executor.pyspark.memory``
+      reserves it outside the JVM heap.
+    """
+    target = 256 << 20
+    partitions = max(3 * total_cores, -(-input_bytes // target))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(target),
+        "spark.executor.pyspark.memory": "512m",
+        "spark.python.worker.reuse": "true",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    }
