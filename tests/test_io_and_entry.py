@@ -109,3 +109,12 @@ def test_registry_has_oracles():
     q, o = entry.queries(), entry.oracle_sql()
     assert set(o) <= set(q)
     assert set(q) - set(o) == {"evaluation_report"}
+
+
+def test_cluster_conf_sizes_partitions():
+    from cinerank.session import cluster_conf
+    small = cluster_conf(1 << 30, 64)
+    big = cluster_conf(100 << 40, 8000)
+    assert int(small["spark.sql.shuffle.partitions"]) == 3 * 64
+    assert int(big["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)
+    assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
