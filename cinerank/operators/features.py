@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.ranking import dense_index, maybe_broadcast, with_dense_index
+from ..functions.ranking import dense_index, maybe_broadcast, top_n_per_group, with_dense_index
 from .similarity import cosine_similarity, similarity_with_self, top_neighbors
 
 PIVOT_MAX_VALUES = 10000
@@ -78,6 +78,28 @@ def similar_users(cells: DataFrame, n: int = 5) -> DataFrame:
     return top_neighbors(cells, n)
 
 
+def similar_users_for(cells: DataFrame, requests: DataFrame, n: int = 5) -> DataFrame:
+    """F7 for a request table (user_id): the ``n`` most similar users of just
+    those users — a bipartite product of their vectors against all users, not
+    the whole similarity matrix.  Unknown users give no rows (Q12)."""
+    if not 1 <= n <= 20:
+        raise ValueError("n must be in [1, 20]")
+    asked = cells.join(requests.select("user_id").distinct(), "user_id", "left_semi")
+    # one extra candidate: the user itself is in the right-hand side
+    sims = cosine_similarity(asked, cells, top_k=n + 1)
+    return top_n_per_group(sims.where(F.col("user_id") != F.col("neighbor_id")).drop("rank"),
+                           ["user_id"], [F.col("similarity").desc(), F.col("neighbor_id").asc()], n)
+
+
+def user_vector(cells: DataFrame, user_id: int) -> list[float]:
+    """F8 for one user: the rating vector over the catalogue (0.0 unrated);
+    an unknown user raises ``ValueError`` like the reference."""
+    rows = user_vectors(cells).where(F.col("user_id") == user_id).collect()
+    if not rows:
+        raise ValueError(f"User {user_id} not in training data")
+    return list(rows[0]["ratings"])
+
+
 def user_vectors(cells: DataFrame) -> DataFrame:
     """F8: (user_id, ratings) — each user's ratings over the whole catalogue in
     movie order, 0.0 where unrated.  Built from the user's own cells and the

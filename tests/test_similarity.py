@@ -183,3 +183,25 @@ def test_property_block_product(spark, rows, blocks, movie_blocks, top_k):
             assert [b for _, b in mine] == [b for _, b in best]
     for r in got:
         assert r.similarity == pytest.approx(want[(r.user_id, r.neighbor_id)], abs=1e-12)
+
+
+def test_similar_users_for_requests_and_single_vector(spark):
+    rows = random_cells(51, n_users=20)
+    cells = spark.createDataFrame(rows, "user_id long, movie_id long, rating double")
+    req = spark.createDataFrame([(3,), (7,), (999,)], "user_id long")
+    got = {}
+    for r in Fe.similar_users_for(cells, req, 4).collect():
+        got.setdefault(r.user_id, []).append((r["rank"], r.neighbor_id, r.similarity))
+    full = {}
+    for r in Fe.similar_users(cells, 4).collect():
+        full.setdefault(r.user_id, []).append((r["rank"], r.neighbor_id, r.similarity))
+    assert set(got) == {3, 7}
+    for u in got:
+        assert [(r, v) for r, v, _ in sorted(got[u])] == [(r, v) for r, v, _ in sorted(full[u])]
+        assert [s for _, _, s in sorted(got[u])] == pytest.approx([s for _, _, s in sorted(full[u])])
+    vec = Fe.user_vector(cells, 3)
+    assert len(vec) == len({m for _, m, _ in rows})
+    with pytest.raises(ValueError):
+        Fe.user_vector(cells, 999)
+    with pytest.raises(ValueError):
+        Fe.similar_users_for(cells, req, 21)
