@@ -54,6 +54,8 @@ def best_k(results: DataFrame, metric: str = "rmse") -> DataFrame:
     else:
         raise ValueError(f"Unknown metric: {metric}")
     cols = [c for c in results.columns if c != "position"]
+    if "status" in results.columns:
+        results = results.where(F.col("status") == "completed")
     best = results.agg(F.min_by(F.struct(*cols), key).alias("b"))
     return best.select("b.*")
 
@@ -61,14 +63,29 @@ def best_k(results: DataFrame, metric: str = "rmse") -> DataFrame:
 def sweep_k(cells: DataFrame, ratings: DataFrame, user_split: DataFrame,
             k_values=K_VALUES) -> DataFrame:
     """User-level K-NN regression for every K: (position, k, rmse, mae,
-    coverage, status); coverage = share of predictions >= 0.5."""
-    p = knn.user_knn_predict(cells, ratings, user_split, k_values)
+    coverage, status); coverage = share of predictions >= 0.5.  A K that
+    cannot run (< 1) is reported with status 'failed' and no metrics, and
+    :func:`best_k` leaves it out."""
+    valid = [k for k in k_values if isinstance(k, int) and k >= 1]
+    p = knn.user_knn_predict(cells, ratings, user_split, valid)
     e = F.col("prediction") - F.col("target")
-    return p.groupBy(F.col("_pos").alias("position"), "k").agg(
+    res = p.groupBy("_pos", "k").agg(
         F.round(F.sqrt(F.avg(e * e)), 6).alias("rmse"),
         F.round(F.avg(F.abs(e)), 6).alias("mae"),
         F.round(F.avg((F.col("prediction") >= 0.5).cast("double")), 6).alias("coverage"),
     ).withColumn("status", F.lit("completed"))
+    # positions refer to the caller's list (user_knn_predict numbered the valid ones)
+    pos_map = F.create_map(*[x for i, k in enumerate(valid)
+                             for x in (F.lit(i), F.lit(list(k_values).index(k)).cast("bigint"))])
+    res = res.withColumn("position", F.element_at(pos_map, F.col("_pos"))).drop("_pos")
+    failed = [(i, k) for i, k in enumerate(k_values) if k not in valid]
+    if failed:
+        bad = cells.sparkSession.createDataFrame(
+            failed, "position bigint, k bigint").select(
+            "position", "k", *[F.lit(None).cast("double").alias(c) for c in ("rmse", "mae", "coverage")],
+            F.lit("failed").alias("status"))
+        res = res.unionByName(bad)
+    return res.select("position", "k", "rmse", "mae", "coverage", "status")
 
 
 def leaderboard(runs: DataFrame) -> DataFrame:

@@ -195,3 +195,15 @@ def test_split_rows_exact_size(spark):
     s = S.split_rows_exact(df)
     assert s.where("split = 'train'").count() == int(0.8 * len(rows))
     assert s.count() == len(rows)
+
+
+def test_sweep_failed_k_left_out(spark):
+    rows = sample_rows(9, n_users=30)
+    cells = spark.createDataFrame(rows, SCHEMA)
+    sw = T.sweep_k(cells, cells, S.split_users(cells), (0, 3, 5))
+    got = {r.k: r for r in sw.collect()}
+    assert got[0].status == "failed" and got[0].rmse is None
+    assert got[3].status == "completed" and got[3].position == 1
+    assert T.best_k(sw, "rmse").first().k in (3, 5)
+    lb = T.leaderboard(T.runs_from_sweep(sw)).orderBy("leaderboard_rank").collect()
+    assert lb[-1].k_value == 0 and lb[-1].status == "FAILED"
