@@ -7,6 +7,7 @@ data); writes are directory outputs so every task writes its own part file.
 from __future__ import annotations
 
 import json
+import warnings
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -59,9 +60,14 @@ def write_ratings(df: DataFrame, path: str, fmt: str = "parquet", sep: str = ","
         w.parquet(path)
 
 
-def write_report(report: DataFrame, path: str) -> None:
-    """A one-row report DataFrame as JSON (one file: the report is one row)."""
+def write_report(report: DataFrame, path: str) -> bool:
+    """A one-row report DataFrame as JSON (one file: the report is one
+    row).  An empty report warns and writes nothing, like the reference."""
+    if report.isEmpty():
+        warnings.warn(f"No report to save at {path}")
+        return False
     report.coalesce(1).write.mode("overwrite").json(path)
+    return True
 
 
 def read_report(spark: SparkSession, path: str) -> DataFrame:

@@ -118,3 +118,10 @@ def test_cluster_conf_sizes_partitions():
     assert int(small["spark.sql.shuffle.partitions"]) == 3 * 64
     assert int(big["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)
     assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
+
+
+def test_empty_report_writes_nothing(spark, tmp_dir):
+    empty = spark.createDataFrame([], "total_errors long")
+    with pytest.warns(UserWarning):
+        assert files.write_report(empty, os.path.join(tmp_dir, "none")) is False
+    assert not os.path.exists(os.path.join(tmp_dir, "none"))
