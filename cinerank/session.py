@@ -7,7 +7,9 @@ tests and the benchmark; on a cluster the job's own session is used as is.
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import zipfile
 
@@ -60,6 +62,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             "spark.checkpoint.dir is not set; point it at a shared folder "
             "(HDFS/S3/ABFS) so lineage cuts survive executor loss")
     path = tempfile.mkdtemp(prefix="cinerank-ckpt-")
+    atexit.register(shutil.rmtree, path, True)     # local scratch only: ours to remove
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir()
 
