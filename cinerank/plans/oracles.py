@@ -351,6 +351,9 @@ UNION ALL SELECT 'target_sparsity', round(1.0 - clean_rows / (u * m), 6), 0.9,
         "SELECT user_id, neighbor_id, similarity FROM sim UNION ALL SELECT DISTINCT user_id, user_id, 1.0 FROM cells"
     o["similar_users"] = _with(R2, cells_of("r2"), sims_of(), NB) + \
         "SELECT user_id, neighbor_id, similarity, CAST(rank AS BIGINT) AS rank FROM nb WHERE rank <= 5"
+    o["similar_users_requested"] = _with(R2, cells_of("r2"), sims_of(), NB) + \
+        """SELECT user_id, neighbor_id, similarity, CAST(rank AS BIGINT) AS rank FROM nb
+WHERE rank <= 5 AND user_id IN (SELECT DISTINCT user_id FROM events)"""
     o["user_vector"] = _with(R1, cells_of("r1"), "m AS (SELECT DISTINCT movie_id FROM cells)",
                              "u AS (SELECT DISTINCT user_id FROM cells)") + \
         """SELECT u.user_id, list(coalesce(c.rating, 0.0) ORDER BY m.movie_id) AS ratings

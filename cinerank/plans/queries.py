@@ -127,6 +127,13 @@ def similar_users(spark, sf):
     return Fe.similar_users(C.r2_cells(spark, sf), 5)
 
 
+def similar_users_requested(spark, sf):
+    # F7 served per request (the reference's /similar_users/{id}, k=5): R2
+    # neighbours of the raw event user ids; id 0 is unknown and gets no rows
+    req = derive.table(spark, sf, "events").select("user_id")
+    return Fe.similar_users_for(C.r2_cells(spark, sf), req, 5)
+
+
 def user_vector(spark, sf):
     return Fe.user_vectors(C.r1_cells(spark, sf))
 
