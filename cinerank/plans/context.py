@@ -2,8 +2,11 @@
 
 * ``clean``: R1 cleaned (latest rating per pair, rating and timestamp rules,
   ids unbounded);
-* ``cells``: the feature matrix cells of ``clean`` (F1);
-* ``split``: ``clean`` with an md5 row split, 80 % train (M8);
+* ``cells``: the feature matrix cells of ``clean`` (F1), written once per
+  query as a stage table.  ``clean`` has one row per (user, movie), so the
+  cells are its (user, movie, rating) rows and also serve as the ratings for
+  splits, targets and reports;
+* the md5 row split of the cells, 80 % train (M8);
 * the K-NN model: neighbours from ``cells`` (all ratings — the reference fits
   similarity before splitting), votes from the train rows.
 """
