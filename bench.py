@@ -55,6 +55,7 @@ def main() -> None:
         for name in HEADLINE:
             if only and name not in only:
                 continue
+            spark.sparkContext.setJobGroup(name, name)
             t0 = time.perf_counter()
             run(Q.QUERIES[name](spark, sf_dir))      # plans and stage tables rebuilt each run
             runs.setdefault(name, []).append(round(time.perf_counter() - t0, 3))

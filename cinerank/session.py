@@ -35,6 +35,11 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
+    event_log = os.environ.get("BENCH_EVENT_LOG")
+    if event_log:                    # stage/task timings for tools/event_log_profile.py
+        os.makedirs(event_log, exist_ok=True)
+        builder = builder.config("spark.eventLog.enabled", "true").config(
+            "spark.eventLog.dir", event_log)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
