@@ -51,7 +51,7 @@ CELL_ROWS = 2_000_000           # target rating rows per cell
 USER_SLICE_ROWS = 1_000_000     # most ratings of one user a cell may hold
 
 
-def _sparse_dot(lu, lm, lr, nl, ru, rm, rr, nr, dense_flops_per_pair=None):
+def _block_dot(lu, lm, lr, nl, ru, rm, rr, nr, dense_flops_per_pair=None):
     """Dot products between left users (local ids ``lu`` in [0, nl)) and right
     users (``ru`` in [0, nr)) of sparse vectors given as (user, movie, value)
     triples.  Returns (left_idx, right_idx, dot) for non-zero dots.
@@ -153,7 +153,7 @@ def _cell_kernel(symmetric: bool, top_k: int | None, partial: bool, dense_flops=
         rid, rinv = np.unique(users[rmask], return_inverse=True)
         if len(lid) == 0 or len(rid) == 0:
             return _EMPTY_DOT if partial else _EMPTY
-        li, ri, dot = _sparse_dot(linv, movies[lmask], vals[lmask], len(lid),
+        li, ri, dot = _block_dot(linv, movies[lmask], vals[lmask], len(lid),
                                   rinv, movies[rmask], vals[rmask], len(rid), dense_flops)
         if partial:
             keep = dot != 0
