@@ -8,7 +8,7 @@ by a third of all users would put (N/3)^2 rows into one task.  Instead:
 2. every rating row is replicated to the ``G`` grid cells its block takes
    part in (cells ``(I, J)``, ``I <= J`` for the symmetric product), so a cell
    holds the *complete* rating vectors of the users of blocks ``I`` and ``J``;
-3. one ``applyInArrow`` group per cell computes the block of dot products
+3. one ``applyInPandas`` group per cell computes the block of dot products
    with numpy (products of co-ratings are summed inside the task — the pair
    rows never exist as Spark rows) and the norms from the same vectors;
 4. only pairs with a positive similarity leave the task, optionally already
@@ -30,7 +30,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pyarrow as pa
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -129,19 +129,19 @@ def _top_k_local(u, v, s, k):
     return u[keep], v[keep], s[keep]
 
 
-_EMPTY = pa.table({"user_id": np.zeros(0, np.int64), "neighbor_id": np.zeros(0, np.int64),
-                   "similarity": np.zeros(0)})
+_EMPTY = pd.DataFrame({"user_id": np.zeros(0, np.int64), "neighbor_id": np.zeros(0, np.int64),
+                       "similarity": np.zeros(0)})
 
 
 def _cell_kernel(symmetric: bool, top_k: int | None, partial: bool, dense_flops=None):
     """Kernel for one grid cell.  ``partial``: the cell holds one movie block
     of the vectors only, so it returns partial dot products (summed later)
     instead of finished similarities."""
-    def run(table: pa.Table) -> pa.Table:
-        side = table.column("_side").to_numpy()
-        users = table.column("user_id").to_numpy().astype(np.int64, copy=False)
-        movies = table.column("movie_id").to_numpy().astype(np.int64, copy=False)
-        vals = table.column("rating").to_numpy().astype(np.float64, copy=False)
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        side = pdf["_side"].to_numpy()
+        users = pdf["user_id"].to_numpy(np.int64)
+        movies = pdf["movie_id"].to_numpy(np.int64)
+        vals = pdf["rating"].to_numpy(np.float64)
         # Rows arrive in shuffle order; fix the summation order so a re-run
         # task (executor loss) produces bit-identical sums for any ratings.
         order = np.lexsort((movies, users, side))
@@ -152,7 +152,7 @@ def _cell_kernel(symmetric: bool, top_k: int | None, partial: bool, dense_flops=
         lid, linv = np.unique(users[lmask], return_inverse=True)
         rid, rinv = np.unique(users[rmask], return_inverse=True)
         if len(lid) == 0 or len(rid) == 0:
-            return _EMPTY_DOT if partial else _EMPTY
+            return (_EMPTY_DOT if partial else _EMPTY).copy()
         li, ri, dot = _block_dot(linv, movies[lmask], vals[lmask], len(lid),
                                   rinv, movies[rmask], vals[rmask], len(rid), dense_flops)
         if partial:
@@ -162,7 +162,7 @@ def _cell_kernel(symmetric: bool, top_k: int | None, partial: bool, dense_flops=
             u, v, d = lid[li[keep]], rid[ri[keep]], dot[keep]
             if symmetric and not diagonal:
                 u, v, d = np.r_[u, v], np.r_[v, u], np.r_[d, d]
-            return pa.table({"user_id": u, "neighbor_id": v, "dot": d})
+            return pd.DataFrame({"user_id": u, "neighbor_id": v, "dot": d})
         ln2 = np.bincount(linv, weights=vals[lmask] ** 2, minlength=len(lid))
         rn2 = np.bincount(rinv, weights=vals[rmask] ** 2, minlength=len(rid))
         # Same operation order as the SQL definition: dot / (sqrt(n2u) * sqrt(n2v)).
@@ -174,11 +174,11 @@ def _cell_kernel(symmetric: bool, top_k: int | None, partial: bool, dense_flops=
         if symmetric and not diagonal:
             u, v, s = np.r_[u, v], np.r_[v, u], np.r_[s, s]
         u, v, s = _top_k_local(u, v, s, top_k)
-        return pa.table({"user_id": u, "neighbor_id": v, "similarity": s})
+        return pd.DataFrame({"user_id": u, "neighbor_id": v, "similarity": s})
     return run
 
 
-_EMPTY_DOT = _EMPTY.rename_columns(["user_id", "neighbor_id", "dot"])
+_EMPTY_DOT = _EMPTY.rename(columns={"similarity": "dot"})
 DOT_SCHEMA = "user_id long, neighbor_id long, dot double"
 
 
@@ -271,10 +271,10 @@ def cosine_similarity(cells: DataFrame, right: DataFrame | None = None, *,
     rep = rep.repartitionByRange(min(n_cells, par), "_cid")
     if h == 1:
         kernel = _cell_kernel(symmetric, top_k, False, dense_flops_per_pair)
-        sims = rep.groupBy("_cid").applyInArrow(kernel, SIM_SCHEMA)
+        sims = rep.groupBy("_cid").applyInPandas(kernel, SIM_SCHEMA)
     else:
         kernel = _cell_kernel(symmetric, None, True, dense_flops_per_pair)
-        dots = (rep.groupBy("_cid").applyInArrow(kernel, DOT_SCHEMA)
+        dots = (rep.groupBy("_cid").applyInPandas(kernel, DOT_SCHEMA)
                 .groupBy("user_id", "neighbor_id").agg(F.sum("dot").alias("dot")))
         n2l = left.groupBy("user_id").agg(F.sum(F.col("rating") * F.col("rating")).alias("_n2u"))
         n2r = (left if symmetric else rt).groupBy(F.col("user_id").alias("neighbor_id")).agg(
