@@ -1,0 +1 @@
+"""Column expressions and distributed ordering helpers shared by the operators."""
