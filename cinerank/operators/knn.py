@@ -177,12 +177,12 @@ def predict_zero_fill(requests: DataFrame, cells: DataFrame, k_cap: int = 5) ->
     users = cells.select("user_id").distinct()
     movies = cells.select("movie_id").distinct()
     known = requests.join(users, "user_id", "left_semi").join(movies, "movie_id", "left_semi")
-    n_users = users.count()
-    k = min(k_cap, n_users)
+    pool = _smallest_ids(users, "user_id", 2 * k_cap)   # fewer => all users
+    k = min(k_cap, len(pool))
     req_users = known.select("user_id").distinct()
     pos = top_neighbors(cells, max(k - 1, 1)).where(F.col("rank") <= k - 1) \
         .join(req_users, "user_id", "left_semi")
-    pad = _pad_neighbors(req_users, pos, _smallest_ids(users, "user_id", 2 * k), k, True)
+    pad = _pad_neighbors(req_users, pos, pool[:2 * k], k, True)
     me = req_users.select("user_id", F.col("user_id").alias("neighbor_id"))
     nb = me.unionByName(pos.select("user_id", "neighbor_id")).unionByName(
         pad.select("user_id", "neighbor_id"))
@@ -199,20 +199,24 @@ def user_mean_rating(ratings: DataFrame) -> DataFrame:
     return ratings.groupBy("user_id").agg(F.avg("rating").alias("target"))
 
 
-def user_level_neighbors(cells: DataFrame, user_split: DataFrame, k_max: int) -> DataFrame:
+def user_level_neighbors(cells: DataFrame, user_split: DataFrame,
+                         k_max: int) -> tuple[DataFrame, int]:
     """M11 neighbours: for each held-out user the ``min(k_max, n_train)``
     nearest training users by cosine over full matrix rows, zero-similarity
     users filling up by id (a brute-force search always returns k).
-    (user_id, neighbor_id, similarity, rank)."""
+    Returns ((user_id, neighbor_id, similarity, rank), min(2 k_max, n_train)).
+
+    The 2·k_max smallest training ids are the padding pool; fewer of them
+    means that is the whole training set, so no separate count is needed."""
     train_users = user_split.where(F.col("split") == "train").select("user_id")
     test_users = user_split.where(F.col("split") == "val").select("user_id")
     tr = cells.join(train_users, "user_id", "left_semi")
     te = cells.join(test_users, "user_id", "left_semi")
-    n_train = train_users.count()
-    k = min(k_max, n_train)
+    pool = _smallest_ids(train_users, "user_id", 2 * k_max)
+    k = min(k_max, len(pool))
     pos = cosine_similarity(te, tr, top_k=k)
-    pad = _pad_neighbors(test_users, pos, _smallest_ids(train_users, "user_id", 2 * k), k, False)
-    return pos.unionByName(pad)
+    pad = _pad_neighbors(test_users, pos, pool[:2 * k], k, False)
+    return pos.unionByName(pad), len(pool)
 
 
 def user_knn_predict(cells: DataFrame, ratings: DataFrame, user_split: DataFrame,
@@ -221,14 +225,13 @@ def user_knn_predict(cells: DataFrame, ratings: DataFrame, user_split: DataFrame
     held-out user; prediction = mean target of its min(K, n_train) nearest
     training users."""
     k_max = max(k_values)
-    nb = user_level_neighbors(cells, user_split, k_max)
-    n_train = user_split.where(F.col("split") == "train").count()
+    nb, n_train_capped = user_level_neighbors(cells, user_split, k_max)
     y = user_mean_rating(ratings)
     votes = nb.join(y.select(F.col("user_id").alias("neighbor_id"), F.col("target").alias("_y")),
                     "neighbor_id")
     ks = F.explode(F.array(*[F.struct(F.lit(i).cast("bigint").alias("_pos"),
                                       F.lit(kv).cast("bigint").alias("k"),
-                                      F.lit(min(kv, n_train)).alias("_keff"))
+                                      F.lit(min(kv, n_train_capped)).alias("_keff"))
                              for i, kv in enumerate(k_values)])).alias("_k")
     per_k = (votes.select("*", ks).select("*", "_k.*").drop("_k")
              .where(F.col("rank") <= F.col("_keff"))
