@@ -266,16 +266,35 @@ def expectations(raw: DataFrame, clean: DataFrame, expected=EXPECTED_METRICS) ->
 
 # --- V15, V16: the two ingest pipelines --------------------------------------
 
+def fail_on_int_errors(raw: DataFrame, rules=RATING_RULES) -> DataFrame:
+    """Q1: any int value that does not parse aborts the job with
+    'Datatype conversion failed' — raised by the executors while the rows
+    stream by (``raise_error`` in a filter), no separate counting pass.
+
+    Applied to the raw rows, before deduplication, like the reference's typed
+    read: placed after the dedup, Catalyst would push the later range filter
+    on the grouping keys below the aggregate and drop the bad rows unseen."""
+    bad = reduce(lambda a, b: a | b, [to_long_truncating(F.col(r.name)).isNull()
+                                      for r in rules if r.dtype == "int64"])
+    return raw.where(F.when(bad, F.raise_error(F.lit(DTYPE_ERROR))).isNull())
+
+
 def ingest_strict(raw: DataFrame, order_cols=("timestamp",), rules=RATING_RULES,
-                  keep=None) -> DataFrame:
+                  keep=None, on_int_error: str = "fail") -> DataFrame:
     """Dedup (latest) first, then coerce + range + null checks.  Because
     dedup comes first an invalid latest rating evicts a valid older one.
 
+    ``on_int_error``: 'fail' (the reference: an unparsable int aborts the
+    whole ingest) or 'drop' (such rows are removed with the range rules).
     ``raw`` may carry tie-break columns (``order_cols``); the result keeps the
     rule columns plus ``keep``.
     """
-    deduped = dedup_latest(raw, order_cols)
-    clean = validated_rows(coerce_types(deduped, rules), rules)
+    if on_int_error not in ("fail", "drop"):
+        raise ValueError("on_int_error must be 'fail' or 'drop'")
+    if on_int_error == "fail":
+        raw = fail_on_int_errors(raw, rules)
+    typed = coerce_types(dedup_latest(raw, order_cols), rules)
+    clean = validated_rows(typed, rules)
     return clean.select(*[r.name for r in rules], *(keep or []))
 
 

@@ -20,10 +20,11 @@ from ..sources import files
 # --- V15 / V16 --------------------------------------------------------------------
 
 def ingest_strict(raw: DataFrame, order_cols=("timestamp",), output: str | None = None,
-                  report_path: str | None = None) -> DataFrame:
+                  report_path: str | None = None, on_int_error: str = "fail") -> DataFrame:
     """Dedup latest -> validate (coerce, ranges, nulls) -> save.  The
-    report is computed on the same deduplicated rows."""
-    clean = Q.ingest_strict(raw, order_cols)
+    report is computed on the same deduplicated rows.  With the default
+    ``on_int_error='fail'`` an unparsable int id aborts the write."""
+    clean = Q.ingest_strict(raw, order_cols, on_int_error=on_int_error)
     if output:
         files.write_ratings(clean, output)
     if report_path:

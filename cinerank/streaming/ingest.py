@@ -6,6 +6,10 @@ ingest and landed as parquet under ``<landing>/_epoch=<id>`` (overwrite per
 epoch, so a batch retried after a failure replaces its own output — the sink
 is idempotent).  The batch's validation report goes next to it.
 
+An unparsable int id does not stop the stream (the batch ingest's default
+fails instead): the batch report carries 'Datatype conversion failed' and
+the row, which has no usable key, never reaches the current table.
+
 "Latest rating wins" spans batches, so it is not decided per batch: the
 current table is the V11 dedup over everything landed (latest by timestamp,
 then by later batch), keeping the row only if that latest one is valid — the

@@ -114,3 +114,22 @@ def test_valid_requests_and_args(spark):
 
 def test_string_schema():
     assert [f.name for f in string_schema()] == ["user_id", "movie_id", "rating", "timestamp"]
+
+
+def test_strict_ingest_aborts_on_bad_int(spark):
+    df = spark.createDataFrame([("x", "1", "4.0", "978300000"), ("2", "2", "4.0", "978300000")], TEXT)
+    with pytest.raises(Exception, match="Datatype conversion failed"):
+        Q.ingest_strict(df).collect()
+    kept = Q.ingest_strict(df, on_int_error="drop").collect()
+    assert [(r.user_id, r.movie_id) for r in kept] == [(2, 2)]
+    with pytest.raises(ValueError):
+        Q.ingest_strict(df, on_int_error="ignore")
+
+
+def test_strict_ingest_of_rdx_fails(spark):
+    from cinerank.sources import derive
+    rdx = derive.rd_raw(spark, "/root/testdata/sf0.001", bad_user_ids=True)
+    with pytest.raises(Exception, match="Datatype conversion failed"):
+        Q.ingest_strict(rdx, ("timestamp", "event_id")).count()
+    rd = derive.rd_raw(spark, "/root/testdata/sf0.001")
+    assert Q.ingest_strict(rd, ("timestamp", "event_id")).count() > 0

@@ -41,3 +41,16 @@ def test_stream_matches_batch_ingest(spark):
     assert got == want
     reps = S.batch_reports(spark, reports).orderBy("epoch").collect()
     assert [r.dtype_errors for r in reps] == [1, 0]
+
+
+def test_stream_batch_with_bad_int(spark):
+    root = tempfile.mkdtemp(prefix="cinerank-stream-")
+    src, landing, reports, ckpt = (os.path.join(root, d) for d in ("in", "landing", "reports", "ckpt"))
+    os.makedirs(src)
+    t = 978300000
+    write(os.path.join(src, "a.tsv"), [("x", 1, 4.0, t), (2, 1, 3.0, t)])
+    run_batch(spark, src, landing, reports, ckpt)
+    rep = S.batch_reports(spark, reports).first()
+    assert rep.error == "Datatype conversion failed"
+    # the unparsable id can never be keyed; the valid row of the batch is kept
+    assert sorted(tuple(r) for r in S.current_ratings(spark, landing).collect()) == [(2, 1, 3.0, t)]
