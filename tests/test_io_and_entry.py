@@ -125,3 +125,16 @@ def test_empty_report_writes_nothing(spark, tmp_dir):
     with pytest.warns(UserWarning):
         assert files.write_report(empty, os.path.join(tmp_dir, "none")) is False
     assert not os.path.exists(os.path.join(tmp_dir, "none"))
+
+
+def test_comma_reader_and_parquet_writer(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "ratings.csv")
+    write_text(p, "user_id,movie_id,rating,timestamp\n1,10,4.5,978300000\n1,10,3.5,978300005\n")
+    df = files.read_ratings_csv(spark, p)
+    assert df.count() == 2 and dict(df.dtypes)["rating"] == "double"
+    text = files.read_ratings_text(spark, p)
+    assert dict(text.dtypes)["user_id"] == "string"
+    out = os.path.join(tmp_dir, "clean_parquet")
+    files.write_ratings(W.ingest_simple(df.withColumn("event_id", F.monotonically_increasing_id())), out)
+    back = spark.read.parquet(out).collect()
+    assert [(r.user_id, r.movie_id, r.rating) for r in back] == [(1, 10, 4.5)]
