@@ -68,12 +68,17 @@ def _mean(weighted: bool):
 
 def predict(pairs: DataFrame, nbrs: DataFrame, train: DataFrame, k: int,
             weighted: bool = False, default: float = DEFAULT_RATING,
-            lo: float = RATING_CLIP[0], hi: float = RATING_CLIP[1]) -> DataFrame:
+            lo: float = RATING_CLIP[0], hi: float = RATING_CLIP[1],
+            unique_pairs: bool = False) -> DataFrame:
     """M1/M2/M3: add ``prediction`` to every row of ``pairs`` (duplicates and
     extra columns kept).  The user's top-k neighbours are taken first, then
     those who rated the movie in training vote (plain or similarity-weighted
-    mean, clipped); no vote -> ``default`` (not clipped)."""
-    keys = pairs.select("user_id", "movie_id").distinct()
+    mean, clipped); no vote -> ``default`` (not clipped).  ``unique_pairs``:
+    the caller guarantees one row per (user, movie), which saves the
+    de-duplicating aggregation of the request keys."""
+    keys = pairs.select("user_id", "movie_id")
+    if not unique_pairs:
+        keys = keys.distinct()
     agg = (_votes(keys, nbrs, train, k).groupBy("user_id", "movie_id")
            .agg(_mean(weighted).alias("_p")))
     return (pairs.join(agg, ["user_id", "movie_id"], "left")

@@ -60,7 +60,8 @@ def scored_with_cells(spark: SparkSession, sf: str, k: int = K_DEFAULT,
                       weighted: bool = False) -> tuple[DataFrame, DataFrame]:
     """(validation rows with the K-NN prediction, the staged cells)."""
     cells, nbrs, train, val = model_parts(spark, sf, k)
-    p = knn.predict(val.select("user_id", "movie_id", "rating"), nbrs, train, k, weighted)
+    p = knn.predict(val.select("user_id", "movie_id", "rating"), nbrs, train, k, weighted,
+                    unique_pairs=True)              # cells: one row per (user, movie)
     # Predicted once, materialised, then every metric is an aggregate over it.
     return reliable_checkpoint(p.select("user_id", "movie_id", "rating", "prediction")), cells
 
