@@ -25,11 +25,15 @@ def _k_list(k_values):
                                for i, k in enumerate(k_values)])).alias("_k")
 
 
-def tune_k(val: DataFrame, nbrs: DataFrame, train: DataFrame, k_values=K_VALUES) -> DataFrame:
+def tune_k(val: DataFrame, nbrs: DataFrame, train: DataFrame, k_values=K_VALUES,
+           unique_pairs: bool = False) -> DataFrame:
     """(k, rmse, mae, position) of the unweighted K-NN on ``val`` for
-    each K — one pass, neighbours ranked once up to max(K)."""
+    each K — one pass, neighbours ranked once up to max(K).  ``unique_pairs``
+    as in :func:`knn.predict`."""
     k_max = max(k_values)
-    keys = val.select("user_id", "movie_id").distinct()
+    keys = val.select("user_id", "movie_id")
+    if not unique_pairs:
+        keys = keys.distinct()
     votes = knn._votes(keys, nbrs, train, k_max).select("user_id", "movie_id", "rank", "_r")
     per_k = (votes.select("*", _k_list(k_values)).select("*", "_k.*").drop("_k")
              .where(F.col("rank") <= F.col("k"))

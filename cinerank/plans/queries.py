@@ -209,7 +209,7 @@ def user_knn_predict(spark, sf):
 
 def tune_k(spark, sf):
     cells, nbrs, train, val = C.model_parts(spark, sf, max(K_VALUES))
-    return T.tune_k(val, nbrs, train, K_VALUES)
+    return T.tune_k(val, nbrs, train, K_VALUES, unique_pairs=True)   # split of the cells
 
 
 def tune_best_k(spark, sf):
