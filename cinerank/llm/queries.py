@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, mixing
+from . import exact_dedup, mixing, packing, quality, secrets, token_counts
 
 QUERIES = {
+    "op1_quality": quality.op1_quality,
+    "op2_secrets": secrets.op2_secrets,
     "op4_mixing": mixing.op4_mixing,
+    "op5_packing": packing.op5_packing,
     "op7_exact_dedup": exact_dedup.op7_exact_dedup,
+    "op10_token_counts": token_counts.op10_token_counts,
 }
 
 ORACLES = {
+    "op1_quality": quality.OP1_SQL,
     "op4_mixing": mixing.OP4_SQL,
     "op7_exact_dedup": exact_dedup.OP7_SQL,
 }

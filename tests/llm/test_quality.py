@@ -1,0 +1,91 @@
+import random
+from collections import Counter, defaultdict
+
+import pytest
+
+from cinerank.llm.quality import apply_rules, quality_rules, repeated_words
+
+LIMITS = dict(max_docs=3, max_share=0.2)
+
+
+def words(text):
+    return (text or "").encode().split()
+
+
+def brute_repeat(text, size=5):
+    w = words(text)
+    wins = [tuple(w[i:i + size]) for i in range(len(w) - size + 1)]
+    seen = Counter(wins)
+    return len({i + k for i, x in enumerate(wins) if seen[x] > 1 for k in range(size)})
+
+
+def brute(rows, max_docs, max_share, min_left=0.5):
+    norm = lambda line: b" ".join(line.encode().split()).lower()
+    per_host = defaultdict(set)
+    for _, t, h in rows:
+        per_host[h].add(t or "")
+    freq = Counter((h, n) for h, texts in per_host.items() for t in texts for n in {norm(x) for x in t.split("\n")} if n)
+    out = []
+    for i, t, h in rows:
+        t = t or ""
+        lines = [x for x in t.split("\n") if x.encode().split()]
+        n = len(words(t))
+        bad = {k: c > max_docs and c > max_share * len(per_host[h]) for k, c in freq.items()}
+        gone = [k for k, x in enumerate(t.split("\n")) if bad.get((h, norm(x)))]
+        left = n - sum(len(x.split()) for k, x in enumerate(t.encode().split(b"\n")) if k in gone)
+        failed = n < 10 or 100 * brute_repeat(t) > 20 * n
+        out.append((i, n, sum(len(w.decode()) for w in words(t)), sum(c in "#*$%&|<>" for c in t), len(lines) - len(set(lines)),
+                    brute_repeat(t), failed, len(lines), tuple(gone), left, not failed and left >= min_left * n))
+    return sorted(out, key=repr)
+
+
+def result(df):
+    cols = ("doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed n_lines removed_lines n_left_words kept").split()
+    return sorted((tuple(tuple(v) if isinstance(v, list) else v for v in r) for r in df.select(cols).collect()), key=repr)
+
+
+def corpus():
+    rnd = random.Random(3)
+    prose = lambda n: " ".join(f"w{rnd.randrange(900)}" for _ in range(n))
+    rows = [(i, f"{prose(12)}\nSubscribe  Now\n{prose(5)}\n", f"h{i % 2}") for i in range(40)]
+    rows += [(100 + i, "subscribe now\n" * 3 + "x " * i, "h0") for i in range(12)]          # depleted
+    rows += [(200 + i, "one copied text of more than ten words in all, same host, kept\nwhole", "h1") for i in range(30)]
+    rows += [(300, None, "h0"), (301, "", None), (302, "é ß #1 $2 <b>|x|\n\nÉ", None), (303, "a b c d e " * 30, "h1"),
+             (0, rows[0][1], "h0"), (None, prose(20), "h1"), (304, "Long " + prose(30_000), "h1"), (305, "\x1c\x85 a\x0bb\x0cc\r\n\t\n" * 9, "h1")]
+    return rows
+
+
+def test_brute_force(docs):
+    rows = corpus()
+    assert result(quality_rules(docs(rows, extra=True), **LIMITS)) == brute(rows, **LIMITS)
+
+
+def test_rules_take_effect(docs):
+    rows = corpus()
+    df = docs(rows)
+    verdicts = quality_rules(df, **LIMITS)
+    keep = {(r[0], r[1]): r for r in brute(rows, **LIMITS) if r[-1]}
+    got = apply_rules(df, verdicts).collect()
+    assert sorted(str(r.doc_id) for r in got) == sorted(str(r[0]) for r in brute(rows, **LIMITS) if r[-1])
+    for r in got:
+        assert "ubscribe" not in r.text
+        if r.doc_id is not None and r.doc_id < 40:
+            assert len(r.text.split()) == 17
+    assert keep
+
+
+def test_copies_of_one_text_count_once(docs):
+    rows = [(i, "a text of ten words or more that nobody calls boilerplate", "h") for i in range(50)]
+    assert all(r.kept for r in quality_rules(docs(rows), **LIMITS).collect())
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_repeated_words(seed):
+    rnd = random.Random(seed)
+    text = " ".join(rnd.choice("abc") for _ in range(rnd.randrange(0, 60)))
+    assert repeated_words(words(text)) == brute_repeat(text)
+
+
+def test_empty_table(docs):
+    df = docs([])
+    assert quality_rules(df).collect() == [] and apply_rules(df, quality_rules(df)).collect() == []
