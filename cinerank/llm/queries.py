@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, mixing, packing, quality, secrets, token_counts
+from . import exact_dedup, mixing, packing, quality, secrets, substring_dedup, token_counts, toxicity
 
 QUERIES = {
     "op1_quality": quality.op1_quality,
     "op2_secrets": secrets.op2_secrets,
+    "op3_toxicity": toxicity.op3_toxicity,
     "op4_mixing": mixing.op4_mixing,
     "op5_packing": packing.op5_packing,
     "op7_exact_dedup": exact_dedup.op7_exact_dedup,
+    "op9_substring_dedup": substring_dedup.op9_substring_dedup,
     "op10_token_counts": token_counts.op10_token_counts,
 }
 
@@ -17,4 +19,5 @@ ORACLES = {
     "op1_quality": quality.OP1_SQL,
     "op4_mixing": mixing.OP4_SQL,
     "op7_exact_dedup": exact_dedup.OP7_SQL,
+    "op9_substring_dedup": substring_dedup.OP9_SQL,
 }
