@@ -18,7 +18,7 @@ def prose(rnd, n, bad=0):
 @pytest.fixture(scope="module")
 def model(spark):
     rnd = random.Random(1)
-    rows = [(i, prose(rnd, 40, 3 * (i % 4 == 0)), int(i % 4 == 0)) for i in range(240)] + [(999, None, 1), (998, "", 0), (997, "x", None)]
+    rows = [(i, prose(rnd, 40, 3 * (i % 4 == 0)), int(i % 4 == 0)) for i in range(600)] + [(999, None, 1), (998, "", 0), (997, "x", None)]
     return fit_toxicity(spark.createDataFrame(rows, "doc_id long, text string, toxic int"))
 
 
