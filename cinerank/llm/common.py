@@ -10,8 +10,11 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from ..functions.ranking import reliable_checkpoint
 from ..session import ship_package
@@ -56,7 +59,7 @@ def joined_words(text: str | None, lower: bool = False) -> tuple[bytes, np.ndarr
     return joined, starts, ends
 
 
-def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], dict | None], schema: str) -> DataFrame:
+def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], dict | None], schema: str | StructType) -> DataFrame:
     """``mapInArrow`` where ``fn`` turns one record batch into columns (a dict
     of sequences, in the order of ``schema``); batches stay small, so memory is
     bounded by one batch of texts, never by a partition."""
@@ -74,11 +77,29 @@ def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], dict | None], schema
     return df.mapInArrow(run, schema)
 
 
-def arrow_schema(spark: SparkSession, schema: str) -> pa.Schema:
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import StructType
+def arrow_schema(spark: SparkSession, schema: str | StructType) -> pa.Schema:
+    return to_arrow_schema(StructType.fromDDL(schema) if isinstance(schema, str) else schema)
 
-    return to_arrow_schema(StructType.fromDDL(schema))
+
+def row_key(id_col: Column, text: Column, nulls: int) -> tuple[Column, Column]:
+    """(doc, row), two longs that stand for a row's id (``nulls`` for a null one)
+    and text: the join key of results with the table they were made from."""
+    return F.coalesce(id_col.cast("long"), F.lit(nulls).cast("long")).alias("_doc"), F.xxhash64(text, text.isNull()).alias("_row")
+
+
+def pack_text(df: DataFrame, text_col: str) -> DataFrame:
+    """``df`` with its text packed by zstd (null stays null), to be shuffled at
+    about a third of its size."""
+    def pack(batch):
+        press = zstandard.ZstdCompressor(level=3)
+        return {c: batch[c] for c in batch.schema.names} | {text_col: [
+            None if t is None else press.compress(t.encode("utf-8", "surrogatepass")) for t in batch[text_col].to_pylist()]}
+
+    return map_arrow(df, pack, StructType([StructField(f.name, BinaryType() if f.name == text_col else f.dataType) for f in df.schema]))
+
+
+def unpack_text(data: bytes | None) -> str | None:
+    return None if data is None else zstandard.ZstdDecompressor().decompress(data).decode("utf-8", "surrogatepass")
 
 
 def text_slices(batch: pa.RecordBatch, max_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:

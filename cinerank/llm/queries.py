@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, mixing, near_dedup, packing, quality, secrets, substring_dedup, token_counts, toxicity
+from . import exact_dedup, line_dedup, mixing, near_dedup, packing, quality, secrets, substring_dedup, token_counts, toxicity
 
 QUERIES = {
     "op1_quality": quality.op1_quality,
@@ -12,6 +12,7 @@ QUERIES = {
     "op5_packing": packing.op5_packing,
     "op6_near_dedup": near_dedup.op6_near_dedup,
     "op7_exact_dedup": exact_dedup.op7_exact_dedup,
+    "op8_line_dedup": line_dedup.op8_line_dedup,
     "op9_substring_dedup": substring_dedup.op9_substring_dedup,
     "op10_token_counts": token_counts.op10_token_counts,
 }
