@@ -35,9 +35,16 @@ def to_double(c) -> Column:
 
 
 def to_long_truncating(c) -> Column:
-    """pandas ``to_numeric(...).astype('int64')``: parse as a number, truncate
-    toward zero.  Unparsable -> null (the caller decides whether that aborts)."""
-    return to_double(c).try_cast("bigint")
+    """Number or text -> whole number, truncated toward zero; unparsable -> null
+    (the caller decides whether that aborts).  Whole and decimal forms are read
+    digit by digit, so ids above 2^53 stay what they are; only exponent forms go
+    through a double."""
+    s = F.trim(col_(c).cast("string"))
+    whole = F.regexp_replace(s, r"\..*$", "")
+    return (F.when(s.rlike(r"^[+-]?[0-9]+$"), s.try_cast("bigint"))
+            .when(s.rlike(r"^[+-]?([0-9]+\.[0-9]*|\.[0-9]+)$"),
+                  F.when(whole.isin("", "+", "-"), F.lit(0)).otherwise(whole.try_cast("bigint")))
+            .otherwise(to_double(c).try_cast("bigint")))
 
 
 def is_missing(c) -> Column:

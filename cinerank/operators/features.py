@@ -13,8 +13,6 @@ from pyspark.sql import functions as F
 from ..functions.ranking import dense_index, maybe_broadcast, top_n_per_group, with_dense_index
 from .similarity import cosine_similarity, similarity_with_self, top_neighbors
 
-PIVOT_MAX_VALUES = 10000
-
 
 def rating_cells(ratings: DataFrame) -> DataFrame:
     """one row per (user, movie); duplicate ratings are averaged (the
@@ -39,14 +37,17 @@ def movie_index(cells: DataFrame) -> DataFrame:
     return with_dense_index(catalogue(cells), ["movie_id"], "movie_idx")
 
 
-def rating_matrix(cells: DataFrame, max_values: int = PIVOT_MAX_VALUES) -> DataFrame:
+def rating_matrix(cells: DataFrame, movies: list[int] | None = None) -> DataFrame:
     """F2: the wide users x movies matrix, 0.0 where unrated.  Column names are
-    the movie ids.  Only for bounded catalogues: the movie list is read first
-    and must not exceed ``max_values`` (Spark's own pivot limit)."""
-    movies = [r[0] for r in catalogue(cells).orderBy("movie_id").limit(max_values + 1).collect()]
-    if len(movies) > max_values:
-        raise ValueError(f"catalogue larger than {max_values}; use the long form")
-    wide = cells.groupBy("user_id").pivot("movie_id", movies).agg(F.first("rating"))
+    the movie ids: the declared ``movies``, or the whole catalogue (a wide table's
+    column names are driver metadata, so the ids are read).  A rated movie that
+    isn't declared fails the job."""
+    if movies is None:
+        movies = [r[0] for r in catalogue(cells).orderBy("movie_id").collect()]
+    listed = F.array(*[F.lit(m).cast("bigint") for m in movies])
+    known = F.when(F.array_contains(listed, F.col("movie_id")), F.col("movie_id")).otherwise(
+        F.raise_error(F.concat(F.lit("movie not in the declared list: "), F.col("movie_id").cast("string"))).cast("bigint"))
+    wide = cells.withColumn("movie_id", known).groupBy("user_id").pivot("movie_id", movies).agg(F.first("rating"))
     return wide.na.fill(0.0)
 
 
@@ -57,7 +58,7 @@ def matrix_density(cells: DataFrame) -> DataFrame:
                   F.count(F.lit(1)).cast("bigint").alias("n_ratings"))
     s = s.withColumn("max_possible", F.col("n_users") * F.col("n_movies"))
     dens = F.col("n_ratings") / F.col("max_possible")
-    return s.select("*", F.round(dens, 6).alias("density"), F.round(1 - dens, 6).alias("sparsity"))
+    return s.select("*", dens.alias("density"), (1 - dens).alias("sparsity"))
 
 
 def user_similarity(cells: DataFrame) -> DataFrame:
@@ -78,12 +79,13 @@ def similar_users(cells: DataFrame, n: int = 5) -> DataFrame:
     return top_neighbors(cells, n)
 
 
-def similar_users_for(cells: DataFrame, requests: DataFrame, n: int = 5) -> DataFrame:
+def similar_users_for(cells: DataFrame, requests: DataFrame, n: int = 5, max_n: int | None = None) -> DataFrame:
     """F7 for a request table (user_id): the ``n`` most similar users of just
     those users — a bipartite product of their vectors against all users, not
-    the whole similarity matrix.  Unknown users give no rows (Q12)."""
-    if not 1 <= n <= 20:
-        raise ValueError("n must be in [1, 20]")
+    the whole similarity matrix.  Unknown users give no rows (Q12).  ``max_n``
+    is a service's bound on ``n`` (the serving endpoint has 20), if any."""
+    if n < 1 or (max_n is not None and n > max_n):
+        raise ValueError(f"n must be in [1, {max_n or '...'}]")
     asked = cells.join(requests.select("user_id").distinct(), "user_id", "left_semi")
     # one extra candidate: the user itself is in the right-hand side
     sims = cosine_similarity(asked, cells, top_k=n + 1)
@@ -96,30 +98,32 @@ def user_vector(cells: DataFrame, user_id: int) -> list[float]:
     an unknown user raises ``ValueError`` like the reference."""
     rows = user_vectors(cells).where(F.col("user_id") == user_id).collect()
     if not rows:
-        raise ValueError(f"User {user_id} not in training data")
+        raise ValueError(f"no ratings of user {user_id}")
     return list(rows[0]["ratings"])
 
 
 def user_vectors(cells: DataFrame) -> DataFrame:
     """F8: (user_id, ratings) — each user's ratings over the whole catalogue in
     movie order, 0.0 where unrated.  Built from the user's own cells and the
-    dense movie index (no users x movies join)."""
+    dense movie index (no users x movies join): the gaps between a user's sorted
+    cells are filled with zeros, in time linear in the vector."""
     midx, n_movies = dense_index(catalogue(cells), ["movie_id"], "movie_idx")
     per_user = (cells.join(maybe_broadcast(midx, n_movies), "movie_id")
                 .groupBy("user_id")
-                .agg(F.map_from_entries(F.collect_list(F.struct("movie_idx", "rating"))).alias("_m2r")))
-    return per_user.select(
-        "user_id",
-        F.transform(F.sequence(F.lit(0).cast("bigint"), F.lit(n_movies - 1).cast("bigint")),
-                    lambda i: F.coalesce(F.element_at("_m2r", i), F.lit(0.0))).alias("ratings"))
+                .agg(F.sort_array(F.collect_list(F.struct("movie_idx", "rating"))).alias("_c")))
+    at = F.transform("_c", lambda c: c["movie_idx"])
+    zeros = lambda n: F.array_repeat(F.lit(0.0), n.cast("int"))
+    before = F.concat(F.array(F.lit(-1).cast("bigint")), F.slice(at, F.lit(1), F.size("_c") - 1))
+    filled = F.flatten(F.zip_with("_c", before, lambda c, b: F.concat(zeros(c["movie_idx"] - b - 1), F.array(c["rating"]))))
+    return per_user.select("user_id", F.concat(filled, zeros(F.lit(n_movies - 1) - F.element_at(at, -1))).alias("ratings"))
 
 
 def rating_stats(cells: DataFrame) -> DataFrame:
     """mean, population std, min, max and count of the rated cells (the
     documented intent; the reference's mask makes them NaN)."""
     r = F.col("rating")
-    return cells.agg(F.round(F.avg(r), 6).alias("mean_rating"),
-                     F.round(F.stddev_pop(r), 6).alias("std_rating"),
+    return cells.agg(F.avg(r).alias("mean_rating"),
+                     F.stddev_pop(r).alias("std_rating"),
                      F.min(r).alias("min_rating"), F.max(r).alias("max_rating"),
                      F.count(r).cast("bigint").alias("n_rated"))
 
@@ -128,4 +132,4 @@ def user_profile(cells: DataFrame) -> DataFrame:
     """movies rated and average rating per user."""
     return cells.groupBy("user_id").agg(
         F.count(F.lit(1)).cast("bigint").alias("n_rated"),
-        F.round(F.avg("rating"), 6).alias("avg_rating"))
+        F.avg("rating").alias("avg_rating"))

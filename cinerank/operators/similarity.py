@@ -1,37 +1,32 @@
-"""Exact user-user cosine similarity as a block-partitioned sparse product.
-
-The obvious plan — self-join the ratings on ``movie_id`` and sum products per
-user pair — emits every pair of raters inside each movie group.  A movie rated
-by a third of all users would put (N/3)^2 rows into one task.  Instead:
-
-1. users are hashed into ``G`` blocks;
-2. every rating row is replicated to the ``G`` grid cells its block takes
-   part in (cells ``(I, J)``, ``I <= J`` for the symmetric product), so a cell
-   holds the *complete* rating vectors of the users of blocks ``I`` and ``J``;
-3. one ``applyInPandas`` group per cell computes the block of dot products
-   with numpy (products of co-ratings are summed inside the task — the pair
-   rows never exist as Spark rows) and the norms from the same vectors;
-4. only pairs with a positive similarity leave the task, optionally already
-   cut to each user's top-k inside the cell.
-
-A hot movie is spread over all cells of its raters' blocks; each cell's
-memory is bounded by the vectors of two user blocks.  If one user's vector is
-too long for a task (a user holding a large share of all rows), the movies
-are hashed into ``H`` blocks as a third grid dimension and cells emit partial
-dot products, summed by one more aggregation.  Shuffle volume is ``G`` times
-the ratings — the price of an exact all-pairs product, paid evenly.
-
-Ratings are non-negative (schema minimum 0.5), so a positive dot product
-means a shared movie and missing pairs have similarity 0.
+"""Exact user-user cosine similarity, by a co-rating join or by a grid.
+
+Ratings enter as integers (millionths), so every dot product and norm is an exact
+sum of integers: whatever the route, the partitioning and the order of the rows, a
+similarity has the same bits, and so have the ranks that are taken from it.
+
+* **Join**: the ratings joined with themselves on the movie, products summed by
+  user pair with partial aggregation.  A movie with many raters is cut in
+  chunks of raters and every two chunks are a join key of their own, so no task
+  gets all pairs of a popular movie.  Its cost is the number of co-ratings, which
+  on a sparse catalogue grows in proportion to the ratings.
+* **Grid**: on a dense catalogue (few movies, many raters each) the co-ratings
+  are far more than the ratings.  There users are hashed into blocks, every rating
+  goes to the cells its block takes part in, and one Arrow-batched group a cell
+  sums the products with numpy, so that co-ratings never become Spark rows.
+
+The counted cost of both decides (one aggregate over the ratings); a grid cell
+also has bounds on its rows and on one user's ratings, beyond which the join
+is taken.  Ratings are positive, so missing pairs have similarity 0.
 """
 
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ranking import top_n_per_group
@@ -39,82 +34,45 @@ from ..session import ship_package
 
 SIM_SCHEMA = "user_id long, neighbor_id long, similarity double"
 
-# Work bounds for one cell (one Python task).  They keep a Python worker near
-# 100-150 MB (outside the JVM heap, so it must fit the executor's memory
-# overhead even with one worker per core).
-DENSE_CELL_LIMIT = 1 << 23      # dense accumulator entries (64 MB of doubles)
-DENSE_MATRIX_LIMIT = 1 << 22    # entries of a dense users x movies block (32 MB)
-DENSE_FLOPS_PER_PAIR = 200      # BLAS flops worth one expanded co-rating pair
-PAIR_CHUNK = 1 << 21            # co-rating products expanded at a time
-BLOCK_USERS = 2048              # target users per block
-CELL_ROWS = 2_000_000           # target rating rows per cell
-USER_SLICE_ROWS = 1_000_000     # most ratings of one user a cell may hold
-
-
-def _block_dot(lu, lm, lr, nl, ru, rm, rr, nr, dense_flops_per_pair=None):
-    """Dot products between left users (local ids ``lu`` in [0, nl)) and right
-    users (``ru`` in [0, nr)) of sparse vectors given as (user, movie, value)
-    triples.  Returns (left_idx, right_idx, dot) for non-zero dots.
-
-    Dense blocks (many co-ratings per movie) go through one BLAS matrix
-    product; sparse ones expand only the co-rating pairs.  Either way the
-    sums of half-star products are exact, so both give the same bits."""
-    movies, inv = np.unique(np.concatenate([lm, rm]), return_inverse=True)
-    nm = len(movies)
-    li_m, ri_m = inv[:len(lm)], inv[len(lm):]
-    pairs = float(np.dot(np.bincount(li_m, minlength=nm).astype(np.float64),
-                         np.bincount(ri_m, minlength=nm).astype(np.float64)))
-    if (max(nl, nr) * nm <= DENSE_MATRIX_LIMIT and nl * nr <= DENSE_CELL_LIMIT
-            and float(nl) * nr * nm <= (DENSE_FLOPS_PER_PAIR if dense_flops_per_pair is None
-                                        else dense_flops_per_pair) * pairs):
-        left = np.zeros((nl, nm))
-        left[lu, li_m] = lr
-        right = np.zeros((nr, nm))
-        right[ru, ri_m] = rr
-        d = left @ right.T
-        li, ri = np.nonzero(d)
-        return li, ri, d[li, ri]
+SCALE = 1_000_000               # ratings are compared in millionths
+CHUNK_RATERS = 1024             # raters of a movie that meet others in one join key
+PAIR_CHUNK = 1 << 20            # co-rating products a grid cell expands at a time
+BLOCK_USERS = 2048              # target users per grid block
+CELL_ROWS = 2_000_000           # most rating rows a grid cell may be planned to hold
+USER_ROWS = 200_000             # most ratings of one user the grid takes
+GRID_GAIN = 8                   # the grid is taken when it moves so many times fewer rows than the join makes
+
+
+def scaled(rating: Column) -> Column:
+    """A rating in whole millionths."""
+    return F.round(rating.cast("double") * SCALE).cast("bigint")
+
+
+def _block_dot(lu, lm, lq, nl, ru, rm, rq, nr):
+    """Non-zero dot products between left users (local ids below ``nl``) and
+    right users (below ``nr``) of sparse integer vectors given as (user, movie,
+    value) triples: (left_idx, right_idx, dot)."""
     order = np.argsort(rm, kind="stable")
-    rm_s, ru_s, rr_s = rm[order], ru[order], rr[order]
-    lo = np.searchsorted(rm_s, lm, "left")
-    cnt = np.searchsorted(rm_s, lm, "right") - lo
-    keep = cnt > 0
-    lu, lr, lo, cnt = lu[keep], lr[keep], lo[keep], cnt[keep]
-    size = nl * nr
-    dense = size <= DENSE_CELL_LIMIT
-    acc = np.zeros(size) if dense else None
-    keys_parts, vals_parts = [], []
-    csum = np.cumsum(cnt)
-    start = 0
+    rm, ru, rq = rm[order], ru[order], rq[order]
+    lo = np.searchsorted(rm, lm, "left")
+    cnt = np.searchsorted(rm, lm, "right") - lo
+    ends = np.cumsum(cnt)
+    keys, dots, start = np.zeros(0, np.int64), np.zeros(0, np.int64), 0
     while start < len(cnt):
-        base = csum[start - 1] if start else 0
-        end = max(int(np.searchsorted(csum, base + PAIR_CHUNK, "right")), start + 1)
+        base = ends[start - 1] if start else 0
+        end = max(int(np.searchsorted(ends, base + PAIR_CHUNK, "right")), start + 1)
         c = cnt[start:end]
         owner = np.repeat(np.arange(start, end), c)
-        first = np.repeat(lo[start:end] - (np.cumsum(c) - c), c)
-        pos = np.arange(int(c.sum())) + first
-        keys = lu[owner].astype(np.int64) * nr + ru_s[pos]
-        vals = lr[owner] * rr_s[pos]
-        if dense:
-            acc += np.bincount(keys, weights=vals, minlength=size)
-        else:
-            keys_parts.append(keys)
-            vals_parts.append(vals)
+        at = np.arange(int(c.sum())) + np.repeat(lo[start:end] - (np.cumsum(c) - c), c)
+        keys = np.concatenate([keys, lu[owner] * nr + ru[at]])
+        dots = np.concatenate([dots, lq[owner] * rq[at]])
+        if len(keys):                                    # integer sums: the order doesn't matter
+            order = np.argsort(keys, kind="stable")
+            keys = keys[order]
+            first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+            keys, dots = keys[first], np.add.reduceat(dots[order], first)
         start = end
-    if dense:
-        nz = np.flatnonzero(acc)
-        return nz // nr, nz % nr, acc[nz]
-    if not keys_parts:
-        empty = np.zeros(0, dtype=np.int64)
-        return empty, empty, np.zeros(0)
-    keys = np.concatenate(keys_parts)
-    vals = np.concatenate(vals_parts)
-    order = np.argsort(keys, kind="stable")
-    keys, vals = keys[order], vals[order]
-    uniq, first = np.unique(keys, return_index=True)
-    sums = np.add.reduceat(vals, first)
-    nz = sums != 0
-    return uniq[nz] // nr, uniq[nz] % nr, sums[nz]
+    return keys // nr, keys % nr, dots
 
 
 def _top_k_local(u, v, s, k):
@@ -129,48 +87,28 @@ def _top_k_local(u, v, s, k):
     return u[keep], v[keep], s[keep]
 
 
-_EMPTY = pd.DataFrame({"user_id": np.zeros(0, np.int64), "neighbor_id": np.zeros(0, np.int64),
-                       "similarity": np.zeros(0)})
+def _cell_kernel(symmetric: bool, top_k: int | None):
+    """Kernel for one grid cell: it holds whole vectors, so it finishes the
+    similarities of its user pairs and cuts them to each user's ``top_k``."""
+    def norms(inv, q, n):
+        out = np.zeros(n, np.int64)
+        np.add.at(out, inv, q * q)
+        return np.sqrt(out.astype(np.float64))
 
-
-def _cell_kernel(symmetric: bool, top_k: int | None, partial: bool, dense_flops=None):
-    """Kernel for one grid cell.  ``partial``: the cell holds one movie block
-    of the vectors only, so it returns partial dot products (summed later)
-    instead of finished similarities."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        side = pdf["_side"].to_numpy()
-        users = pdf["user_id"].to_numpy(np.int64)
-        movies = pdf["movie_id"].to_numpy(np.int64)
-        vals = pdf["rating"].to_numpy(np.float64)
-        # Rows arrive in shuffle order; fix the summation order so a re-run
-        # task (executor loss) produces bit-identical sums for any ratings.
-        order = np.lexsort((movies, users, side))
-        side, users, movies, vals = side[order], users[order], movies[order], vals[order]
+        side, users, movies, q = (pdf[c].to_numpy(np.int64) for c in ("_side", "user_id", "movie_id", "_q"))
         diagonal = symmetric and bool((side == 2).all())
         lmask = (side == 2) if diagonal else (side == 0)
         rmask = lmask if diagonal else (side == 1)
         lid, linv = np.unique(users[lmask], return_inverse=True)
         rid, rinv = np.unique(users[rmask], return_inverse=True)
-        if len(lid) == 0 or len(rid) == 0:
-            return (_EMPTY_DOT if partial else _EMPTY).copy()
-        li, ri, dot = _block_dot(linv, movies[lmask], vals[lmask], len(lid),
-                                  rinv, movies[rmask], vals[rmask], len(rid), dense_flops)
-        if partial:
-            keep = dot != 0
-            if diagonal:
-                keep &= li != ri
-            u, v, d = lid[li[keep]], rid[ri[keep]], dot[keep]
-            if symmetric and not diagonal:
-                u, v, d = np.r_[u, v], np.r_[v, u], np.r_[d, d]
-            return pd.DataFrame({"user_id": u, "neighbor_id": v, "dot": d})
-        ln2 = np.bincount(linv, weights=vals[lmask] ** 2, minlength=len(lid))
-        rn2 = np.bincount(rinv, weights=vals[rmask] ** 2, minlength=len(rid))
-        # Same operation order as the SQL definition: dot / (sqrt(n2u) * sqrt(n2v)).
-        sim = dot / (np.sqrt(ln2[li]) * np.sqrt(rn2[ri]))
-        pos = sim > 0
+        li, ri, dot = _block_dot(linv, movies[lmask], q[lmask], len(lid), rinv, movies[rmask], q[rmask], max(1, len(rid)))
+        # Same operation order as on the join route and in the SQL definition.
+        sim = dot / (norms(linv, q[lmask], len(lid))[li] * norms(rinv, q[rmask], len(rid))[ri])
         if diagonal:
-            pos &= li != ri
-        u, v, s = lid[li[pos]], rid[ri[pos]], sim[pos]
+            off = li != ri
+            li, ri, sim = li[off], ri[off], sim[off]
+        u, v, s = lid[li], rid[ri], sim
         if symmetric and not diagonal:
             u, v, s = np.r_[u, v], np.r_[v, u], np.r_[s, s]
         u, v, s = _top_k_local(u, v, s, top_k)
@@ -178,116 +116,127 @@ def _cell_kernel(symmetric: bool, top_k: int | None, partial: bool, dense_flops=
     return run
 
 
-_EMPTY_DOT = _EMPTY.rename(columns={"similarity": "dot"})
-DOT_SCHEMA = "user_id long, neighbor_id long, dot double"
+@dataclass
+class Layout:
+    """How a product is computed: ``join``, or a grid of left x right blocks."""
+    join: bool
+    left_blocks: int = 1
+    right_blocks: int = 1
 
 
-def _layout(spark, left: DataFrame, right: DataFrame | None) -> tuple[int, int]:
-    """(user blocks G, movie blocks H) from one pass of per-user counts."""
-    parts = left.select("user_id").withColumn("_s", F.lit(0))
-    if right is not None:
-        parts = parts.unionByName(right.select("user_id").withColumn("_s", F.lit(1)))
-    per_user = parts.groupBy("_s", "user_id").agg(F.count(F.lit(1)).alias("_n"))
-    rows = per_user.groupBy("_s").agg(F.count(F.lit(1)).alias("u"), F.sum("_n").alias("n"),
-                                      F.max("_n").alias("mx")).collect()   # <= 2 rows
-    n_users = max(r["u"] for r in rows)
-    n_rows = sum(r["n"] for r in rows) * (2 if right is None else 1)
-    longest = max(r["mx"] for r in rows)
-    g = _block_count(spark, n_users, n_rows, right is None)
-    h = max(1, math.ceil(longest / USER_SLICE_ROWS))
-    return g, h
+def plan_layout(spark, left: DataFrame, right: DataFrame | None) -> Layout:
+    """The cheaper route by counted cost (one aggregate a movie and one a user)."""
+    symmetric = right is None
+    sides = left.select("user_id", "movie_id", F.lit(0).alias("_s"))
+    if not symmetric:
+        sides = sides.unionByName(right.select("user_id", "movie_id", F.lit(1).alias("_s")))
+    on_left, on_right = F.count_if(F.col("_s") == 0), F.count_if(F.col("_s") == 1)
+    co = sides.groupBy("movie_id").agg(on_left.cast("double").alias("l"), on_right.cast("double").alias("r"))
+    pairs = co.agg(F.sum(F.col("l") * (F.col("l") / 2 if symmetric else F.col("r")))).first()[0] or 0.0
+    per_user = sides.groupBy("_s", "user_id").agg(F.count("*").alias("n"))
+    count = {r["_s"]: r for r in per_user.groupBy("_s").agg(
+        F.count("*").alias("users"), F.sum("n").alias("rows"), F.max("n").alias("longest")).collect()}   # <= 2 rows
+    if len(count) < (1 if symmetric else 2):
+        return Layout(True)
+    par = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    blocks, rows = [], []
+    for s in (0,) if symmetric else (0, 1):
+        c = count[s]
+        cores = math.ceil(math.sqrt(2 * par)) if symmetric else math.ceil(par / max(1, -(-count[1 - s]["users"] // BLOCK_USERS)))
+        blocks.append(max(1, -(-c["users"] // BLOCK_USERS), -(-2 * c["rows"] // CELL_ROWS), min(cores, c["users"])))
+        rows.append(c["rows"])
+    moved = rows[0] * blocks[0] if symmetric else rows[0] * blocks[1] + rows[1] * blocks[0]
+    longest = max(c["longest"] for c in count.values())
+    if longest > USER_ROWS or GRID_GAIN * moved > pairs:
+        return Layout(True)
+    return Layout(False, blocks[0], blocks[-1])
+
+
+def _joined(left: DataFrame, right: DataFrame | None) -> DataFrame:
+    """The join route: all positive pairs, for a symmetric product both ways."""
+    symmetric = right is None
 
+    def side(rows: DataFrame, name: str) -> DataFrame:
+        norm = rows.groupBy("user_id").agg(F.sum(F.col("_q") * F.col("_q")).alias(f"_n{name}"))
+        return rows.join(norm, "user_id").select(F.col("user_id").alias(f"_u{name}"), "movie_id",
+                                                 F.col("_q").alias(f"_q{name}"), f"_n{name}")
+
+    a = side(left, "a")
+    b = side(left if symmetric else right, "b")
+    # Chunks of each movie's raters; all but popular movies have one.
+    raters = left.select("movie_id").unionByName((left if symmetric else right).select("movie_id")) \
+        .groupBy("movie_id").agg(F.ceil(F.count("*") / (2 * CHUNK_RATERS)).cast("int").alias("_c"))
+    chunk = lambda u: F.pmod(F.xxhash64(u), F.col("_c"))
+    others = F.explode(F.sequence(F.lit(0), F.col("_c") - 1))
+    popular = raters.where("_c > 1")
+
+    def pairs(x: DataFrame, y: DataFrame, keys: list[str]) -> DataFrame:
+        met = x.join(y, keys)
+        return (met.where("_ua < _ub") if symmetric else met).select("_ua", "_ub", (F.col("_qa") * F.col("_qb")).alias("_p"), "_na", "_nb")
+
+    wide_a, wide_b = a.join(popular, "movie_id", "left"), b.join(popular, "movie_id", "left")
+    wide_a, wide_b = (x.withColumn("_c", F.coalesce("_c", F.lit(1))) for x in (wide_a, wide_b))
+    met = pairs(wide_a.select("*", chunk("_ua").alias("_i"), others.alias("_j")).drop("_c"),
+                wide_b.select("*", chunk("_ub").alias("_j"), others.alias("_i")).drop("_c"), ["movie_id", "_i", "_j"])
+    sims = (met.groupBy("_ua", "_ub").agg(F.sum("_p").alias("_dot"), F.max("_na").alias("_na"), F.max("_nb").alias("_nb"))
+            .select(F.col("_ua").alias("user_id"), F.col("_ub").alias("neighbor_id"),
+                    (F.col("_dot").cast("double") / (F.sqrt("_na") * F.sqrt("_nb"))).alias("similarity")))
+    if symmetric:
+        both = F.explode(F.array(F.struct("user_id", "neighbor_id"),
+                                 F.struct(F.col("neighbor_id").alias("user_id"), F.col("user_id").alias("neighbor_id")))).alias("_p")
+        sims = sims.select(both, "similarity").select("_p.user_id", "_p.neighbor_id", "similarity")
+    return sims
 
-def _block_count(spark, n_users: int, n_rows: int, symmetric: bool) -> int:
-    par = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
-              spark.sparkContext.defaultParallelism)
-    by_users = math.ceil(n_users / BLOCK_USERS)
-    by_rows = math.ceil(n_rows / CELL_ROWS)
-    # enough cells to keep every core busy
-    by_par = math.ceil(math.sqrt(2 * par)) if symmetric else math.ceil(math.sqrt(par))
-    return max(1, by_users, by_rows, by_par)
+
+def _gridded(left: DataFrame, right: DataFrame | None, layout: Layout, top_k: int | None) -> DataFrame:
+    """The grid route: left rows are copied once a right block and the other way
+    round (symmetric: to the cells above the diagonal)."""
+    spark = left.sparkSession
+    ship_package(spark)          # the cell kernel runs in the Python workers
+    gl, gr = layout.left_blocks, layout.right_blocks
+    symmetric = right is None
+    block = lambda n: F.pmod(F.xxhash64("user_id"), F.lit(n))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    if symmetric:
+        rep = left.withColumn("_b", block(gl)).withColumn("_o", every(gl)).select(
+            F.least("_b", "_o").alias("_bi"), F.greatest("_b", "_o").alias("_bj"),
+            F.when(F.col("_b") == F.col("_o"), 2).when(F.col("_b") < F.col("_o"), 0).otherwise(1).alias("_side"),
+            "user_id", "movie_id", "_q")
+    else:
+        cols = ["_bi", "_bj", "_side", "user_id", "movie_id", "_q"]
+        rep = (left.withColumn("_bi", block(gl)).withColumn("_bj", every(gr)).withColumn("_side", F.lit(0)).select(*cols)
+               .unionByName(right.withColumn("_bj", block(gr)).withColumn("_bi", every(gl)).withColumn("_side", F.lit(1)).select(*cols)))
+    rep = rep.select((F.col("_bi") * gr + F.col("_bj")).alias("_cid"), "_side", "user_id", "movie_id", "_q")
+    # Cells are alike in size: a run of cells a task, more tasks than cores.
+    n_cells = gl * (gl + 1) // 2 if symmetric else gl * gr
+    par = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
+    # grouping by the range-partitioned column reuses that partitioning (no second shuffle)
+    rep = rep.repartitionByRange(min(n_cells, par), "_cid")
+    return rep.groupBy("_cid").applyInPandas(_cell_kernel(symmetric, top_k), SIM_SCHEMA)
 
 
 def cosine_similarity(cells: DataFrame, right: DataFrame | None = None, *,
-                      top_k: int | None = None, blocks: int | None = None,
-                      movie_blocks: int | None = None,
-                      dense_flops_per_pair: float | None = None) -> DataFrame:
+                      top_k: int | None = None, layout: Layout | None = None) -> DataFrame:
     """Cosine similarity between users' rating vectors.
 
     ``cells``: (user_id, movie_id, rating) with one row per (user, movie) and
-    non-zero ratings.  Without ``right`` this is the self-similarity of all
+    positive ratings.  Without ``right`` this is the self-similarity of all
     users (self pairs excluded, both directions emitted); with ``right`` it is
     the bipartite similarity of ``cells`` users (``user_id``) against
     ``right`` users (``neighbor_id``).
 
     Returns (user_id, neighbor_id, similarity) for pairs with similarity > 0,
-    or — with ``top_k`` — each user's ``top_k`` best by (similarity desc,
-    neighbor_id asc) with their ``rank``.
-
-    Layout: ``blocks`` user blocks (from the user count, the row count and the
-    cluster's parallelism) and ``movie_blocks`` movie blocks, which stay 1
-    unless one user's vector exceeds ``USER_SLICE_ROWS`` (a hot user).  With
-    one movie block, cells hold whole vectors and finish the similarity (and
-    the top-k) themselves; with more, cells emit partial dot products that
-    one more aggregation sums before the norms are applied.
+    or - with ``top_k`` - each user's ``top_k`` best by (similarity desc,
+    neighbor_id asc) with their ``rank``.  ``layout`` forces a route (the result
+    is the same to the bit on every one).
     """
-    spark = cells.sparkSession
-    ship_package(spark)          # the cell kernel runs in the Python workers
-    left = cells.select("user_id", "movie_id", F.col("rating").cast("double"))
-    symmetric = right is None
-    rt = None if symmetric else right.select("user_id", "movie_id", F.col("rating").cast("double"))
-    if blocks is None or movie_blocks is None:
-        g0, h0 = _layout(spark, left, rt)
-        blocks = blocks or g0
-        movie_blocks = movie_blocks or h0
-    g, h = int(blocks), int(movie_blocks)
-    blk = F.pmod(F.xxhash64("user_id"), F.lit(g))
-    other = F.explode(F.sequence(F.lit(0), F.lit(g - 1)))
-    mblk = F.pmod(F.xxhash64("movie_id"), F.lit(h)) if h > 1 else F.lit(0)
-    if symmetric:
-        rep = left.withColumn("_b", blk).withColumn("_o", other)
-        rep = rep.select(
-            F.least("_b", "_o").alias("_bi"), F.greatest("_b", "_o").alias("_bj"),
-            F.when(F.col("_b") == F.col("_o"), 2).when(F.col("_b") < F.col("_o"), 0)
-            .otherwise(1).alias("_side"),
-            "user_id", "movie_id", "rating")
-    else:
-        lrep = left.withColumn("_bi", blk).withColumn("_bj", other).withColumn("_side", F.lit(0))
-        rrep = rt.withColumn("_bj", blk).withColumn("_bi", other).withColumn("_side", F.lit(1))
-        cols = ["_bi", "_bj", "_side", "user_id", "movie_id", "rating"]
-        rep = lrep.select(*cols).unionByName(rrep.select(*cols))
-    rep = rep.withColumn("_mb", mblk)
-    # The kernel is CPU-bound Python: spread the cells evenly over an explicit
-    # number of tasks (AQE would pack them by bytes; hashing a few dozen cell
-    # ids into as many partitions leaves some empty and others doubled).
-    # Range-partitioning a dense cell id gives each task a run of cells with
-    # about the same number of rows.
-    n_cells = (g * (g + 1) // 2 if symmetric else g * g) * h
-    par = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
-              2 * spark.sparkContext.defaultParallelism)
-    cell_id = ((F.col("_bi") * g + F.col("_bj")) * h + F.col("_mb")).alias("_cid")
-    rep = rep.select(cell_id, "_side", "user_id", "movie_id", "rating")
-    # grouping by the range-partitioned column reuses that partitioning (no second shuffle)
-    rep = rep.repartitionByRange(min(n_cells, par), "_cid")
-    if h == 1:
-        kernel = _cell_kernel(symmetric, top_k, False, dense_flops_per_pair)
-        sims = rep.groupBy("_cid").applyInPandas(kernel, SIM_SCHEMA)
-    else:
-        kernel = _cell_kernel(symmetric, None, True, dense_flops_per_pair)
-        dots = (rep.groupBy("_cid").applyInPandas(kernel, DOT_SCHEMA)
-                .groupBy("user_id", "neighbor_id").agg(F.sum("dot").alias("dot")))
-        n2l = left.groupBy("user_id").agg(F.sum(F.col("rating") * F.col("rating")).alias("_n2u"))
-        n2r = (left if symmetric else rt).groupBy(F.col("user_id").alias("neighbor_id")).agg(
-            F.sum(F.col("rating") * F.col("rating")).alias("_n2v"))
-        sims = (dots.join(n2l, "user_id").join(n2r, "neighbor_id")
-                .select("user_id", "neighbor_id",
-                        (F.col("dot") / (F.sqrt("_n2u") * F.sqrt("_n2v"))).alias("similarity"))
-                .where(F.col("similarity") > 0))
+    lt = cells.select("user_id", "movie_id", scaled(F.col("rating")).alias("_q"))
+    rt = None if right is None else right.select("user_id", "movie_id", scaled(F.col("rating")).alias("_q"))
+    layout = layout or plan_layout(cells.sparkSession, lt, rt)
+    sims = _joined(lt, rt) if layout.join else _gridded(lt, rt, layout, top_k)
     if top_k is not None:
-        # Cells already kept their users' top_k (one movie block); one ranked
-        # window merges the cells.
-        sims = top_n_per_group(sims, ["user_id"],
-                               [F.col("similarity").desc(), F.col("neighbor_id").asc()], top_k)
+        # One ranked window merges what cells or partial sums have left of a user.
+        sims = top_n_per_group(sims, ["user_id"], [F.col("similarity").desc(), F.col("neighbor_id").asc()], top_k)
     return sims
 
 

@@ -9,7 +9,6 @@ so agreement checks those routes.
 
 from __future__ import annotations
 
-WIDE = 1 << 62
 NUMERIC = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 K = 5
 K_LIST = (3, 5, 10, 15, 20)
@@ -24,12 +23,12 @@ def _hash32(*cols: str, seed: int = 42) -> str:
 
 
 def _in(col: str, lo, hi) -> str:
-    return f"coalesce({col} BETWEEN {lo} AND {hi}, false)"
+    return f"coalesce({col} >= {lo}, false)" if hi is None else f"coalesce({col} BETWEEN {lo} AND {hi}, false)"
 
 
 REF_RULES = (("user_id", 1, 1000), ("movie_id", 1, 1700), ("rating", 0.5, 5.0),
              ("timestamp", 700000000, 2000000000))
-WIDE_RULES = (("user_id", 1, WIDE), ("movie_id", 1, WIDE), ("rating", 0.5, 5.0),
+WIDE_RULES = (("user_id", 1, None), ("movie_id", 1, None), ("rating", 0.5, 5.0),
               ("timestamp", 700000000, 2000000000))
 
 
@@ -76,7 +75,12 @@ def _dbl(x: str) -> str:
 
 
 def _lng(x: str) -> str:
-    return f"TRY_CAST(trunc({_dbl(x)}) AS BIGINT)"
+    s = f"trim(CAST({x} AS VARCHAR))"
+    whole = f"regexp_replace({s}, '[.].*$', '')"
+    return (f"CASE WHEN regexp_matches({s}, '^[+-]?[0-9]+$') THEN TRY_CAST({s} AS BIGINT) "
+            f"WHEN regexp_matches({s}, '^[+-]?([0-9]+[.][0-9]*|[.][0-9]+)$') "
+            f"THEN CASE WHEN {whole} IN ('', '+', '-') THEN 0 ELSE TRY_CAST({whole} AS BIGINT) END "
+            f"ELSE TRY_CAST(trunc({_dbl(x)}) AS BIGINT) END")
 
 
 def _coerced(src: str, name: str) -> str:
@@ -84,7 +88,16 @@ def _coerced(src: str, name: str) -> str:
             f"{_dbl('rating')} AS rating, {_lng('timestamp')} AS timestamp, event_id FROM {src})")
 
 
+RT = R1_RAW + """,
+rd AS (SELECT CASE event_id % 3 WHEN 0 THEN CAST(user_id AS VARCHAR) WHEN 1 THEN '0' || CAST(user_id AS VARCHAR)
+              ELSE CAST(user_id AS VARCHAR) || '.0' END AS user_id,
+              CASE WHEN event_id % 11 = 0 THEN CAST(movie_id + 9007199254740993 AS VARCHAR) ELSE ' ' || CAST(movie_id AS VARCHAR) END AS movie_id,
+              CASE WHEN event_id % 97 = 0 THEN 'n/a' ELSE CAST(rating AS VARCHAR) END AS rating,
+              CASE WHEN event_id % 5 < 2 THEN CAST(timestamp - 900000000 AS VARCHAR) ELSE CAST(timestamp AS VARCHAR) END AS timestamp,
+              event_id FROM r1_raw)"""
+
 RDC = RD + ",\n" + _coerced("rd", "rdc")
+RTC = RT + ",\n" + _coerced("rd", "rdc")
 RDXC = RDX + ",\n" + _coerced("rd", "rdc")
 
 REQ = """req AS (SELECT event_id, user_id, json_extract_string(props, '$.k')::BIGINT AS movie_id FROM events)"""
@@ -96,9 +109,10 @@ def cells_of(src: str, name: str = "cells") -> str:
 
 
 def sims_of(cells: str = "cells", name: str = "sim") -> str:
-    return f"""{name}_n2 AS (SELECT user_id, sum(rating * rating) AS n2 FROM {cells} GROUP BY user_id),
-{name}_dp AS (SELECT a.user_id AS u, b.user_id AS v, sum(a.rating * b.rating) AS dot
-        FROM {cells} a JOIN {cells} b ON a.movie_id = b.movie_id AND a.user_id <> b.user_id GROUP BY 1, 2),
+    return f"""{name}_q AS (SELECT user_id, movie_id, CAST(round(rating * 1000000) AS BIGINT) AS q FROM {cells}),
+{name}_n2 AS (SELECT user_id, CAST(sum(q * q) AS DOUBLE) AS n2 FROM {name}_q GROUP BY user_id),
+{name}_dp AS (SELECT a.user_id AS u, b.user_id AS v, CAST(sum(a.q * b.q) AS DOUBLE) AS dot
+        FROM {name}_q a JOIN {name}_q b ON a.movie_id = b.movie_id AND a.user_id <> b.user_id GROUP BY 1, 2),
 {name} AS (SELECT u AS user_id, v AS neighbor_id, dot / (sqrt(x.n2) * sqrt(y.n2)) AS similarity
         FROM {name}_dp JOIN {name}_n2 x ON x.user_id = u JOIN {name}_n2 y ON y.user_id = v WHERE dot > 0)"""
 
@@ -181,9 +195,10 @@ def _user_knn(k_list) -> str:
         "FROM (SELECT DISTINCT user_id FROM cells))",
         "tru AS (SELECT user_id FROM us WHERE split = 'train')",
         "teu AS (SELECT user_id FROM us WHERE split = 'val')",
-        "n2 AS (SELECT user_id, sum(rating * rating) AS n2 FROM cells GROUP BY user_id)",
-        """dp AS (SELECT a.user_id AS u, b.user_id AS v, sum(a.rating * b.rating) AS dot
-           FROM cells a JOIN cells b ON a.movie_id = b.movie_id
+        "qc AS (SELECT user_id, movie_id, CAST(round(rating * 1000000) AS BIGINT) AS q FROM cells)",
+        "n2 AS (SELECT user_id, CAST(sum(q * q) AS DOUBLE) AS n2 FROM qc GROUP BY user_id)",
+        """dp AS (SELECT a.user_id AS u, b.user_id AS v, CAST(sum(a.q * b.q) AS DOUBLE) AS dot
+           FROM qc a JOIN qc b ON a.movie_id = b.movie_id
            WHERE a.user_id IN (SELECT user_id FROM teu) AND b.user_id IN (SELECT user_id FROM tru) GROUP BY 1, 2)""",
         """allp AS (SELECT t.user_id, r.user_id AS neighbor_id,
                   coalesce(dp.dot / (sqrt(x.n2) * sqrt(y.n2)), 0.0) AS similarity
@@ -323,10 +338,12 @@ SELECT 'raw_rows' AS metric, CAST(raw_rows AS DOUBLE) AS actual, CAST(2000 AS DO
 UNION ALL SELECT 'min_clean_rows', CAST(clean_rows AS DOUBLE), 1800.0, clean_rows >= 1800 FROM b
 UNION ALL SELECT 'target_sparsity', round(1.0 - clean_rows / (u * m), 6), 0.9,
                  round(1.0 - clean_rows / (u * m), 6) >= 0.9 FROM b"""
-    o["ingest_strict"] = _with(RD, """d AS (SELECT *, row_number() OVER (PARTITION BY user_id, movie_id
-        ORDER BY timestamp DESC, event_id DESC) AS rn FROM rd)""", "dd AS (SELECT * EXCLUDE (rn) FROM d WHERE rn = 1)",
-                               _coerced("dd", "rdc")) + \
-        f"SELECT user_id, movie_id, rating, timestamp FROM rdc WHERE {_all_in()} AND NOT coalesce(isnan(rating), true)"
+    latest = """d AS (SELECT *, row_number() OVER (PARTITION BY user_id, movie_id
+        ORDER BY timestamp DESC, event_id DESC) AS rn FROM rdc)"""
+    strict = f"SELECT user_id, movie_id, rating, timestamp FROM d WHERE rn = 1 AND {_all_in()} AND NOT coalesce(isnan(rating), true)"
+    o["ingest_strict"] = _with(RDC, latest) + strict
+    o["ingest_strict_text"] = _with(RTC, latest) + strict
+    o["coerce_types_text"] = _with(RTC) + "SELECT event_id, user_id, movie_id, rating, timestamp FROM rdc"
     o["ingest_simple"] = _with(R1_RAW, """d AS (SELECT *, row_number() OVER (PARTITION BY user_id, movie_id
         ORDER BY event_id ASC) AS rn FROM r1_raw WHERE rating BETWEEN 1.0 AND 5.0)""") + \
         "SELECT user_id, movie_id, rating, timestamp FROM d WHERE rn = 1"
@@ -335,9 +352,8 @@ UNION ALL SELECT 'target_sparsity', round(1.0 - clean_rows / (u * m), 6), 0.9,
     # features
     o["rating_cells"] = _with(R1_RAW, f"v AS (SELECT * FROM r1_raw WHERE {_all_in()})", cells_of("v")) + \
         "SELECT user_id, movie_id, rating FROM cells"
-    o["rating_matrix"] = _with(R1, cells_of("r1")) + (
-        "SELECT user_id, coalesce(COLUMNS(* EXCLUDE (user_id)), 0.0) FROM "
-        "(PIVOT cells ON movie_id USING first(rating) GROUP BY user_id)")
+    columns = ", ".join(f'coalesce(max(CASE WHEN movie_id = {m} THEN rating END), 0.0) AS "{m}"' for m in range(1, 101))
+    o["rating_matrix"] = _with(R1, cells_of("r1")) + f"SELECT user_id, {columns} FROM cells GROUP BY user_id"
     o["user_index"] = _with(R1, cells_of("r1")) + \
         "SELECT user_id, CAST(row_number() OVER (ORDER BY user_id) - 1 AS BIGINT) AS user_idx FROM (SELECT DISTINCT user_id FROM cells)"
     o["movie_index"] = _with(R1, cells_of("r1")) + \

@@ -84,6 +84,15 @@ def ingest_strict(spark, sf):
     return W.ingest_strict(derive.rd_raw(spark, sf), order_cols=("timestamp", "event_id"))
 
 
+def coerce_types_text(spark, sf):
+    return Q.coerce_types(derive.rt_raw(spark, sf)).select(
+        "event_id", "user_id", "movie_id", "rating", "timestamp")
+
+
+def ingest_strict_text(spark, sf):
+    return W.ingest_strict(derive.rt_raw(spark, sf), order_cols=("timestamp", "event_id"))
+
+
 def ingest_simple(spark, sf):
     return W.ingest_simple(derive.r1_raw(spark, sf))
 
@@ -100,7 +109,8 @@ def rating_cells(spark, sf):
 
 
 def rating_matrix(spark, sf):
-    return Fe.rating_matrix(C.r1_cells(spark, sf))
+    # R1's catalogue is declared: movies 1..100 (any other would fail the job)
+    return Fe.rating_matrix(C.r1_cells(spark, sf), list(range(1, 101)))
 
 
 def user_index(spark, sf):

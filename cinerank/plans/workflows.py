@@ -28,7 +28,7 @@ def ingest_strict(raw: DataFrame, order_cols=("timestamp",), output: str | None
     if output:
         files.write_ratings(clean, output)
     if report_path:
-        deduped = Q.dedup_latest(raw, order_cols).select(*RATING_COLUMNS)
+        deduped = Q.dedup_latest(Q.coerce_types(raw), order_cols).select(*RATING_COLUMNS)
         files.write_report(Q.validation_report(deduped), report_path)
     return clean
 

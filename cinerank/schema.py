@@ -12,7 +12,7 @@ class ColumnRule:
     name: str
     dtype: str          # "int64" or "float64"
     lo: float
-    hi: float
+    hi: float | None    # None: no upper bound
     nullable: bool = False
 
     @property
@@ -53,7 +53,6 @@ SEED = 42
 # ---------------------------------------------------------------------------
 
 RATING_COLUMNS = tuple(r.name for r in RATING_RULES)
-WIDE_ID_MAX = 2 ** 62
 
 RATINGS_SCHEMA = T.StructType([
     T.StructField(r.name, r.spark_type, r.nullable) for r in RATING_RULES
@@ -63,7 +62,7 @@ RATINGS_SCHEMA = T.StructType([
 def wide_id_rules(rules: tuple[ColumnRule, ...] = RATING_RULES) -> tuple[ColumnRule, ...]:
     """Same rules with the id maxima lifted (the reference maxima are sized
     for a 189-user sample and would drop real ids)."""
-    return tuple(replace(r, hi=WIDE_ID_MAX) if r.name in ("user_id", "movie_id") else r
+    return tuple(replace(r, hi=None) if r.name in ("user_id", "movie_id") else r
                  for r in rules)
 
 

@@ -80,6 +80,22 @@ def rd_raw(spark: SparkSession, sf_dir: str, bad_user_ids: bool = False) -> Data
                     "timestamp", "event_id")
 
 
+def rt_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R1 with every column as text, written in several ways: ids as '7', '07'
+    and '7.0', some movie ids above 2^53, times of nine and of ten digits, and
+    unparsable ratings."""
+    r = r1_raw(spark, sf_dir)
+    user, movie, ts = (F.col(c).cast("string") for c in ("user_id", "movie_id", "timestamp"))
+    way = F.col("event_id") % 3
+    return r.select(
+        F.when(way == 0, user).when(way == 1, F.concat(F.lit("0"), user)).otherwise(F.concat(user, F.lit(".0"))).alias("user_id"),
+        F.when(F.col("event_id") % 11 == 0, (F.col("movie_id") + F.lit(9007199254740993)).cast("string"))
+        .otherwise(F.concat(F.lit(" "), movie)).alias("movie_id"),
+        F.when(F.col("event_id") % 97 == 0, F.lit("n/a")).otherwise(F.col("rating").cast("string")).alias("rating"),
+        F.when(F.col("event_id") % 5 < 2, (F.col("timestamp") - 900000000).cast("string")).otherwise(ts).alias("timestamp"),
+        "event_id")
+
+
 def requests_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prediction requests: the raw event ids (no +1 shift), so id 0 — unknown
     to every model and rejected by the request rules — occurs naturally."""
