@@ -131,23 +131,20 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     """(node, component) for every node of ``edges`` (two long columns): the
     component's smallest node.  Large-star and small-star rounds; each keeps
     the graph's components and ends in stars around the smallest nodes after
-    about log(n) rounds.  A hub's rows are joined by broadcast (``skew_join``),
-    never gathered.
+    about log(n) rounds.  A node's smallest neighbour is a partial aggregate; it is
+    joined back from a staged table, so that adaptive execution can split the
+    rows of a hub, which are never gathered.
     """
-    cur = stage(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
-                .where("u <> v").distinct())
+    cur = stage(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct())
     seen = None
     while True:
-        both = stage(cur.union(cur.select("v", "u")).toDF("u", "v"))
-        low = stage(both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"),
-                                          F.count("*").alias("n")))
+        both = cur.union(cur.select("v", "u")).toDF("u", "v")
+        low = stage(both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m")))
         # Large star: neighbours above a node hang on the node's smallest neighbour.
-        large = stage(skew_join(both, low, "u", "n").where("v > u")
-                      .select(F.col("v").alias("u"), F.col("m").alias("v"))
-                      .where("u <> v").distinct())
+        large = stage(both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
         # Small star: neighbours below a node, and itself, hang on the smallest of them.
-        low = stage(large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")))
-        below = skew_join(large, low, "u", "n").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        low = stage(large.groupBy("u").agg(F.min("v").alias("m")))
+        below = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         cur = stage(below.union(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
         now = cur.agg(F.count("*"), F.sum(F.xxhash64("u", "v") % 1_000_000_007),
                       F.sum(F.xxhash64("v", "u") % 998_244_353)).first()

@@ -57,17 +57,13 @@ class Ring:
         #: (first box, bit that differs in the second or -1): what a key stands for.
         self.kinds = [(i, j) for i in range(self.n) for j in ([-1] if self.n == 1 else [-1, *range(self.width[(i + 1) % self.n])])]
 
-    def keys(self, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(kind, key) for each fingerprint and kind of chain start: the first box,
-        and the second with at most one bit left out."""
-        kinds, keys = [], []
-        for nr, (i, j) in enumerate(self.kinds):
+        #: The bits that are a kind's key: the first box, and the second but for that bit.
+        self.masks = []
+        for i, j in self.kinds:
             mask = self.mask[i] | self.mask[(i + 1) % self.n]
             if j >= 0:
                 mask &= ~(np.uint64(1) << (self.low[(i + 1) % self.n] + np.uint64(j)))
-            kinds.append(np.full(len(prints), nr, np.int32))
-            keys.append(prints & mask)
-        return np.concatenate(kinds), np.concatenate(keys).view(np.int64)
+            self.masks.append(mask)
 
     def linked(self, kind: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Whether fingerprints that share a key of this kind are linked by it: they
@@ -150,10 +146,19 @@ def _block_links(ring: Ring, kind: np.ndarray, key: np.ndarray, prints: np.ndarr
 SCANNED = "kind int, a long, b long"
 
 
-def _scan_blocks(keyed: DataFrame, ring: Ring) -> DataFrame:
+def by_key(prints: DataFrame, masks: list[np.uint64]) -> DataFrame:
+    """``prints`` (column fp) once a kind, dealt and sorted by kind and key.  The key
+    is the fingerprint's bits in the kind's mask, so it isn't shuffled with it."""
+    key = F.col("fp").bitwiseAND(F.element_at(F.array(*[F.lit(int(m.astype(np.int64))) for m in masks]), F.col("kind") + 1))
+    return (prints.withColumn("kind", F.explode(F.sequence(F.lit(0), F.lit(len(masks) - 1))))
+            .repartition(F.col("kind"), key).sortWithinPartitions(F.col("kind"), key, F.col("fp")))
+
+
+def _scan_blocks(prints: DataFrame, ring: Ring) -> DataFrame:
     """Links (kind -1, two fingerprints) of the blocks, and the members (kind, key,
     fingerprint) of blocks of more than BLOCK."""
-    target = arrow_schema(keyed.sparkSession, SCANNED)
+    target = arrow_schema(prints.sparkSession, SCANNED)
+    masks = np.array(ring.masks, np.uint64)
 
     def rows(kind, a, b):
         return pa.RecordBatch.from_arrays([pa.array(np.asarray(x), f.type) for x, f in zip((kind, a, b), target)], schema=target)
@@ -168,7 +173,8 @@ def _scan_blocks(keyed: DataFrame, ring: Ring) -> DataFrame:
                     yield rows(np.full(len(a), -1, np.int32), a.view(np.int64), b.view(np.int64))
 
         for batch in batches:
-            new = [batch["kind"].to_numpy(), batch["key"].to_numpy(), batch["fp"].to_numpy().view(np.uint64)]
+            own, of = batch["fp"].to_numpy().view(np.uint64), batch["kind"].to_numpy()
+            new = [of, (own & masks[of]).view(np.int64), own]
             kind, key, prints = (np.concatenate([h, n]) for h, n in zip(held, new))
             if dense is not None:                          # the block goes on here
                 more = int(np.searchsorted(~((kind == dense[0]) & (key == dense[1])), True))
@@ -189,7 +195,7 @@ def _scan_blocks(keyed: DataFrame, ring: Ring) -> DataFrame:
                 held = [x[:0] for x in held]
         yield from links(held)
 
-    return keyed.repartition("kind", "key").sortWithinPartitions("kind", "key", "fp").mapInArrow(scan, SCANNED)
+    return by_key(prints.select("fp"), ring.masks).mapInArrow(scan, SCANNED)
 
 
 def _dense_links(members: DataFrame, ring: Ring) -> DataFrame:
@@ -227,13 +233,7 @@ def _dense_links(members: DataFrame, ring: Ring) -> DataFrame:
 def fingerprint_components(prints: DataFrame, max_distance: int) -> DataFrame:
     """(fp, component) of the fingerprints (distinct, long) that have a link."""
     ring = Ring(max_distance)
-
-    def keys(batch):
-        own = batch["fp"].to_numpy().view(np.uint64)
-        kind, key = ring.keys(own)
-        return {"kind": kind, "key": key, "fp": np.tile(own.view(np.int64), len(ring.kinds))}
-
-    scanned = stage(_scan_blocks(map_arrow(prints.select("fp"), keys, "kind int, key long, fp long"), ring))
+    scanned = stage(_scan_blocks(prints, ring))
     links = scanned.where("kind < 0").select("a", "b")
     dense = scanned.where("kind >= 0")
     if not dense.isEmpty():
