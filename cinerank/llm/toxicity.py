@@ -12,6 +12,7 @@ import zlib
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -98,7 +99,9 @@ def train(indexes: list[np.ndarray], weights: list[np.ndarray], labels: np.ndarr
     In each step a text loses a random part of its subwords (up to 7 in 10), as
     misspellings do, so that no few of them decide.  Buckets that fewer than
     ``min_docs`` texts have tell nothing about others: they pull to no side."""
-    docs = np.bincount(np.concatenate([*indexes, np.zeros(0, np.int64)]), minlength=buckets)
+    docs = np.zeros(buckets, np.int32)
+    for i in indexes:
+        docs[i] += 1                                # a text has each of its buckets once
     known = docs >= min_docs
     weights = [w[known[i]] for i, w in zip(indexes, weights)]
     indexes = [i[known[i]] for i in indexes]
@@ -139,36 +142,53 @@ def train(indexes: list[np.ndarray], weights: list[np.ndarray], labels: np.ndarr
     return ToxicityModel(pull.astype(np.float32), float(bias[1] - bias[0] + shift))
 
 
-def fit_toxicity(labelled: DataFrame, max_train_docs: int = 4000, buckets: int = 1 << 17, id_col: str = "doc_id",
+def fit_toxicity(docs: DataFrame, labels: DataFrame, max_train_docs: int = 4000, buckets: int = 1 << 17, id_col: str = "doc_id",
                  text_col: str = "text", label_col: str = "toxic", **options) -> ToxicityModel:
-    """Train on at most ``max_train_docs`` rows of ``labelled``, half of each
-    class as far as there are so many, taken in the order of a hash of their id.
-    Rows with a null label are left out.  The rows' sparse vectors (at most
-    ``buckets`` entries each) are made in the tasks and trained on the driver.
+    """Train on at most ``max_train_docs`` documents that have a label (a row of
+    ``labels`` with ``id_col``), half of each class as far as there are so many,
+    taken in the order of a hash of their id.  Null labels and ids are left out; of
+    rows repeated with an id one counts.  Only ids are joined and sorted; the
+    sample's texts are picked by a broadcast of its ids.  Their sparse vectors (at
+    most ``buckets`` entries each) are made in the tasks, and one task trains.
     """
-    known = labelled.where(F.col(label_col).isNotNull()).select(
-        F.xxhash64(F.col(id_col).cast("string"), F.lit("sample")).alias("nr"),
-        F.col(label_col).cast("int").alias("label"), F.col(text_col).alias("text"))
+    known = (labels.where(F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("id"))
+             .agg(F.max(F.col(label_col).cast("int")).alias("label"))
+             .join(docs.select(F.col(id_col).alias("id")), "id", "left_semi")
+             .withColumn("nr", F.xxhash64(F.col("id").cast("string"), F.lit("sample"))))
     counts = {r.label: r["count"] for r in known.groupBy("label").count().collect()}
     toxic, clean = counts.get(1, 0), counts.get(0, 0)
     if not toxic or not clean:
         return ToxicityModel(np.zeros(buckets, np.float32), -5.0 if not toxic else 5.0)
-    each = {1: min(toxic, max(max_train_docs // 2, max_train_docs - clean)), 0: min(clean, max(max_train_docs // 2, max_train_docs - toxic))}
-    # (both may be under the bound; their sum never is over it)
-    sample = None
-    for label, n in each.items():
+    half = max_train_docs // 2
+    each = {1: min(toxic, max(half, max_train_docs - clean)), 0: min(clean, max(half, max_train_docs - toxic))}
+    ids = None
+    for label, n in each.items():                         # the bound of the sample
         part = known.where(F.col("label") == label).orderBy("nr").limit(n)
-        sample = part if sample is None else sample.unionByName(part)
+        ids = part if ids is None else ids.unionByName(part)
+    sample = (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(ids), "id")
+              .groupBy("id", "nr", "label").agg(F.min("text").alias("text")))
 
     def vectors(batch):
         bags = _WordBags(buckets)
         found = [text_vector(t, bags) for t in batch["text"].to_pylist()]
         return {"nr": batch["nr"], "label": batch["label"], "idx": [i for i, _ in found], "val": [v for _, v in found]}
 
-    rows = map_arrow(sample.repartition(16), vectors, "nr long, label int, idx array<int>, val array<float>").toPandas()
-    rows = rows.sort_values(["nr", "label"], kind="stable")
-    return train([np.asarray(x, np.int64) for x in rows["idx"]], [np.asarray(x, np.float32) for x in rows["val"]],
-                 rows["label"].to_numpy(np.int64), toxic / (toxic + clean), buckets, **options)
+    made = map_arrow(sample.drop("id").repartition(16), vectors, "nr long, label int, idx array<int>, val array<float>")
+    prior = toxic / (toxic + clean)
+
+    def fit(batches):
+        rows = []                                  # at most max_train_docs sparse vectors
+        for batch in batches:
+            idx, val = batch["idx"], batch["val"]
+            rows += [(nr, label, idx[k].values.to_numpy().copy(), val[k].values.to_numpy().copy())
+                     for k, (nr, label) in enumerate(zip(batch["nr"].to_pylist(), batch["label"].to_pylist()))]
+        rows.sort(key=lambda r: r[:2])
+        model = train([r[2] for r in rows], [r[3] for r in rows], np.array([r[1] for r in rows], np.int64), prior, buckets, **options)
+        yield pa.RecordBatch.from_pydict({"pull": [model.pull.tobytes()], "bias": [model.bias]})
+
+    # The sample is bounded, so one task trains on it, not the driver; what comes back is the model.
+    fitted = made.repartition(1).mapInArrow(fit, "pull binary, bias double").first()
+    return ToxicityModel(np.frombuffer(fitted.pull, np.float32), fitted.bias)
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -190,6 +210,6 @@ def op3_toxicity(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
     held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
-    model = fit_toxicity(docs.join(labels.where(~held_out), "doc_id"))
+    model = fit_toxicity(docs, labels.where(~held_out))
     return score_toxicity(docs, model).select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score",
                                               (F.col("score") >= 0.5).cast("int").alias("predicted"))

@@ -19,7 +19,8 @@ def prose(rnd, n, bad=0):
 def model(spark):
     rnd = random.Random(1)
     rows = [(i, prose(rnd, 40, 3 * (i % 4 == 0)), int(i % 4 == 0)) for i in range(600)] + [(999, None, 1), (998, "", 0), (997, "x", None)]
-    return fit_toxicity(spark.createDataFrame(rows, "doc_id long, text string, toxic int"))
+    table = spark.createDataFrame(rows + rows[:2], "doc_id long, text string, toxic int")
+    return fit_toxicity(table, table)
 
 
 def test_unseen_misspellings_and_clean_texts(docs, model):
@@ -43,7 +44,7 @@ def test_one_class_or_no_labels(spark, docs):
     none = spark.createDataFrame([], "doc_id long, text string, toxic int")
     one = spark.createDataFrame([(1, "a", 0)], none.schema)
     for labelled in (none, one):
-        assert score_toxicity(docs([(1, "b")]), fit_toxicity(labelled)).first().score < 0.5
+        assert score_toxicity(docs([(1, "b")]), fit_toxicity(labelled, labelled)).first().score < 0.5
 
 
 def test_held_out_accuracy(spark):
