@@ -27,23 +27,23 @@ def rating_metrics(scored: DataFrame, error_quantiles: DataFrame | None = None)
     is the median) so a report ranks the errors once."""
     s = _err(scored)
     e = F.col("error")
-    m = s.agg(F.round(F.sqrt(F.avg(e * e)), 6).alias("rmse"),
-              F.round(F.avg(e), 6).alias("mae"),
-              F.round(F.avg(e), 6).alias("mean_error"),
-              F.round(F.stddev_pop(e), 6).alias("std_error"),
-              F.round(F.min(e), 6).alias("min_error"),
-              F.round(F.max(e), 6).alias("max_error"),
+    m = s.agg(F.sqrt(F.avg(e * e)).alias("rmse"),
+              F.avg(e).alias("mae"),
+              F.avg(e).alias("mean_error"),
+              F.stddev_pop(e).alias("std_error"),
+              F.min(e).alias("min_error"),
+              F.max(e).alias("max_error"),
               F.count(F.lit(1)).cast("bigint").alias("n_samples"))
     if error_quantiles is not None:
         return with_scalars(m, error_quantiles.select(F.col("p50").alias("median_error")))
     med = exact_quantiles(s, "error", {"median_error": 0.5})
-    return with_scalars(m, med.select(F.round("median_error", 6).alias("median_error")))
+    return with_scalars(m, med)
 
 
 def error_percentiles(scored: DataFrame) -> DataFrame:
     """|error| percentiles 25/50/75/90/95, linear interpolation."""
     q = exact_quantiles(_err(scored), "error", PERCENTILES)
-    return q.select(*[F.round(c, 6).alias(c) for c in PERCENTILES])
+    return q
 
 
 def catalog_coverage(scored: DataFrame, threshold: float = COVERAGE_THRESHOLD) -> DataFrame:
@@ -52,7 +52,7 @@ def catalog_coverage(scored: DataFrame, threshold: float = COVERAGE_THRESHOLD) -
     per_movie = scored.groupBy("movie_id").agg(F.max("prediction").alias("_best"))
     c = per_movie.agg(F.count_if(F.col("_best") >= threshold).cast("bigint").alias("n_recommended"),
                       F.count(F.lit(1)).cast("bigint").alias("n_total"))
-    return c.select(F.round(F.col("n_recommended") / F.col("n_total"), 6).alias("coverage_ratio"),
+    return c.select((F.col("n_recommended") / F.col("n_total")).alias("coverage_ratio"),
                     "n_recommended", "n_total",
                     F.lit(float(threshold)).alias("recommendation_threshold"))
 
@@ -74,16 +74,16 @@ def sparsity(ratings: DataFrame, n_movies: int | None = None) -> DataFrame:
                     F.count(F.lit(1)).cast("bigint").alias("n_ratings"))
     s = s.withColumn("max_possible", F.col("n_users") * F.col("n_movies"))
     d = F.col("n_ratings") / F.col("max_possible")
-    return s.select("*", F.round(d, 6).alias("density"), F.round(1 - d, 6).alias("sparsity"))
+    return s.select("*", d.alias("density"), (1 - d).alias("sparsity"))
 
 
 def ratings_per_stats(ratings: DataFrame, key: str) -> DataFrame:
     """Mean, median, min, max of the number of ratings per ``key``."""
     per = ratings.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    s = per.agg(F.round(F.avg("n"), 6).alias("mean"),
+    s = per.agg(F.avg("n").alias("mean"),
                 F.min("n").cast("bigint").alias("min"), F.max("n").cast("bigint").alias("max"))
     med = exact_quantiles(per, "n", {"median": 0.5})
-    return with_scalars(s, med.select(F.round("median", 6).alias("median")))
+    return with_scalars(s, med)
 
 
 def error_histogram(scored: DataFrame) -> DataFrame:
@@ -96,36 +96,35 @@ def error_histogram(scored: DataFrame) -> DataFrame:
     return agg.select(F.explode(F.array(*[
         F.struct(F.lit(f"error_{lo:.1f}_{hi:.1f}").alias("bin"), F.lit(lo).alias("lower"),
                  F.lit(hi).alias("upper"), F.col(f"b{i}").cast("bigint").alias("count"),
-                 F.round(F.col(f"b{i}") * 100.0 / F.col("_n"), 6).alias("percentage"))
+                 (F.col(f"b{i}") * 100.0 / F.col("_n")).alias("percentage"))
         for i, (lo, hi) in enumerate(ERROR_BINS)])).alias("b")).select("b.*")
 
 
 def error_summary(scored: DataFrame) -> DataFrame:
     """E7 companion stats: mean, population std, min, max of |error|."""
     e = F.col("error")
-    return _err(scored).agg(F.round(F.avg(e), 6).alias("mean_error"),
-                            F.round(F.stddev_pop(e), 6).alias("std_error"),
-                            F.round(F.min(e), 6).alias("min_error"),
-                            F.round(F.max(e), 6).alias("max_error"))
+    return _err(scored).agg(F.avg(e).alias("mean_error"),
+                            F.stddev_pop(e).alias("std_error"),
+                            F.min(e).alias("min_error"),
+                            F.max(e).alias("max_error"))
+
+
+def _baselines(mean, variance, median, neutral: float) -> list:
+    """E8 columns from the ratings' mean, population variance and median: the mean
+    squared distance to a constant is the variance plus its squared distance to
+    the mean."""
+    rmse = lambda c: F.sqrt(variance + (mean - c) ** 2)
+    return [mean.alias("mean_value"), F.sqrt(variance).alias("mean_rmse"), median.alias("median_value"),
+            rmse(median).alias("median_rmse"), F.lit(neutral).alias("neutral_value"), rmse(F.lit(neutral)).alias("neutral_rmse"),
+            F.least(F.sqrt(variance), rmse(median), rmse(F.lit(neutral))).alias("best_baseline_rmse")]
 
 
 def baselines(scored: DataFrame, neutral: float = DEFAULT_RATING) -> DataFrame:
     """RMSE of predicting always the mean, always the median and always
     3.0; best = the smallest."""
-    r = F.col("rating")
-    med = exact_quantiles(scored, "rating", {"_med": 0.5})
-    mean = scored.agg(F.avg(r).alias("_mean"))
-    consts = with_scalars(mean, med)
-    x = with_scalars(scored.select("rating"), consts)
-    agg = x.agg(F.first("_mean").alias("_mean"), F.first("_med").alias("_med"),
-                F.sqrt(F.avg((r - F.col("_mean")) ** 2)).alias("_rm"),
-                F.sqrt(F.avg((r - F.col("_med")) ** 2)).alias("_rmed"),
-                F.sqrt(F.avg((r - F.lit(neutral)) ** 2)).alias("_rn"))
-    return agg.select(
-        F.round("_mean", 6).alias("mean_value"), F.round("_rm", 6).alias("mean_rmse"),
-        F.round("_med", 6).alias("median_value"), F.round("_rmed", 6).alias("median_rmse"),
-        F.lit(neutral).alias("neutral_value"), F.round("_rn", 6).alias("neutral_rmse"),
-        F.round(F.least("_rm", "_rmed", "_rn"), 6).alias("best_baseline_rmse"))
+    moments = scored.agg(F.avg("rating").alias("_mean"), F.var_pop("rating").alias("_var"))
+    both = with_scalars(moments, exact_quantiles(scored, "rating", {"_med": 0.5}))
+    return both.select(*_baselines(F.col("_mean"), F.col("_var"), F.col("_med"), neutral))
 
 
 def engagement_segments(scored: DataFrame) -> DataFrame:
@@ -140,8 +139,8 @@ def engagement_segments(scored: DataFrame) -> DataFrame:
            .when(n <= ENGAGEMENT_MEDIUM_MAX, "medium").otherwise("high"))
     return per_user.groupBy(seg.alias("segment")).agg(
         F.sum("_n").cast("bigint").alias("n_samples"),
-        F.round(F.sum("_se") / F.sum("_n"), 6).alias("mae"),
-        F.round(F.sum(n * n) / F.sum("_n"), 6).alias("mean_engagement"))
+        (F.sum("_se") / F.sum("_n")).alias("mae"),
+        (F.sum(n * n) / F.sum("_n")).alias("mean_engagement"))
 
 
 def beats_baseline(metrics: DataFrame, base: DataFrame) -> DataFrame:
@@ -152,31 +151,58 @@ def beats_baseline(metrics: DataFrame, base: DataFrame) -> DataFrame:
 
 
 def evaluation_report(scored: DataFrame, ratings: DataFrame, metadata: dict | None = None,
-                      n_movies: int | None = None) -> DataFrame:
-    """One row of nested structs — rating_prediction, coverage, sparsity,
-    error_distribution, baselines, by_engagement (+ metadata as JSON text).
-    Every part is a one-row aggregate attached as a scalar subquery; the
-    errors are ranked once for the median and the percentiles."""
+                      n_movies: int | None = None, neutral: float = DEFAULT_RATING) -> DataFrame:
+    """One row of nested structs - test_set, rating_prediction, coverage,
+    sparsity, error_distribution, baselines, by_engagement (+ metadata as JSON
+    text).  One aggregate gives the counts, the error statistics, the histogram
+    and the ratings' moments; the quantiles, the movies, the users and the rating
+    table need one each."""
     import json
-    pct = error_percentiles(scored)
-    metrics = rating_metrics(scored, pct)
-    cov = coverage_verdict(catalog_coverage(scored))
-    sp = sparsity(ratings, n_movies)
-    hist = error_histogram(scored).agg(F.collect_list(F.struct("*")).alias("bins"))
-    summ = error_summary(scored)
-    base = baselines(scored)
-    seg = engagement_segments(scored).agg(F.collect_list(F.struct("*")).alias("segments"))
-    n = scored.agg(F.count(F.lit(1)).cast("bigint").alias("n_samples"))
-    rp = with_scalars(metrics, pct).select(F.struct(*metrics.columns, F.struct(*pct.columns)
-                                                .alias("percentiles")).alias("rating_prediction"))
-    parts = [
-        n.select(F.struct("n_samples").alias("test_set")), rp,
-        cov.select(F.struct("*").alias("coverage")), sp.select(F.struct("*").alias("sparsity")),
-        with_scalars(summ, hist).select(F.struct("*").alias("error_distribution")),
-        base.select(F.struct("*").alias("baselines")),
-        seg.select(F.col("segments").alias("by_engagement")),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = with_scalars(out, p)
-    return out.withColumn("metadata", F.lit(json.dumps(metadata or {}, default=str)))
+    s = _err(scored)
+    e = F.col("error")
+    one = s.agg(F.count(F.lit(1)).cast("bigint").alias("_n"), F.sqrt(F.avg(e * e)).alias("_rmse"), F.avg(e).alias("_mae"),
+                F.stddev_pop(e).alias("_std"), F.min(e).alias("_min"), F.max(e).alias("_max"),
+                F.avg("rating").alias("_mean"), F.var_pop("rating").alias("_var"),
+                *[F.count_if((e >= lo) & (e < hi)).cast("bigint").alias(f"_b{i}") for i, (lo, hi) in enumerate(ERROR_BINS)])
+    pct = exact_quantiles(s, "error", PERCENTILES).select(F.struct(*PERCENTILES).alias("_pct"))
+    med = exact_quantiles(scored, "rating", {"_med": 0.5})
+    cov = coverage_verdict(catalog_coverage(scored)).select(F.struct("*").alias("coverage"))
+    sp = sparsity(ratings, n_movies).select(F.struct("*").alias("sparsity"))
+    seg = engagement_segments(scored).agg(F.sort_array(F.collect_list(F.struct("*"))).alias("by_engagement"))
+    out = one
+    for part in (pct, med, cov, sp, seg):
+        out = with_scalars(out, part)
+    c = F.col
+    stats = [c("_mae").alias("mean_error"), c("_std").alias("std_error"), c("_min").alias("min_error"), c("_max").alias("max_error")]
+    bins = F.array(*[F.struct(F.lit(f"error_{lo:.1f}_{hi:.1f}").alias("bin"), F.lit(lo).alias("lower"), F.lit(hi).alias("upper"),
+                              c(f"_b{i}").alias("count"), (c(f"_b{i}") * 100.0 / c("_n")).alias("percentage"))
+                     for i, (lo, hi) in enumerate(ERROR_BINS)])
+    return out.select(
+        F.struct(c("_n").alias("n_samples")).alias("test_set"),
+        F.struct(c("_rmse").alias("rmse"), c("_mae").alias("mae"), *stats, c("_n").alias("n_samples"),
+                 c("_pct.p50").alias("median_error"), c("_pct").alias("percentiles")).alias("rating_prediction"),
+        "coverage", "sparsity", F.struct(*stats, bins.alias("bins")).alias("error_distribution"),
+        F.struct(*_baselines(c("_mean"), c("_var"), c("_med"), neutral)).alias("baselines"), "by_engagement",
+        F.lit(json.dumps(metadata or {}, default=str)).alias("metadata"))
+
+
+def report_metrics(report: DataFrame) -> DataFrame:
+    """E11 as rows (section, metric, value): every number of the report."""
+    def entry(section, metric, value):
+        return F.struct(F.lit(section).alias("section"), metric if not isinstance(metric, str) else F.lit(metric).alias("metric"),
+                        value.cast("double").alias("value"))
+
+    flat = {"test_set": ["n_samples"],
+            "rating_prediction": ["rmse", "mae", "mean_error", "std_error", "min_error", "max_error", "n_samples", "median_error"],
+            "coverage": ["coverage_ratio", "n_recommended", "n_total", "recommendation_threshold"],
+            "sparsity": ["n_users", "n_movies", "n_ratings", "max_possible", "density", "sparsity"],
+            "error_distribution": ["mean_error", "std_error", "min_error", "max_error"],
+            "baselines": ["mean_value", "mean_rmse", "median_value", "median_rmse", "neutral_value", "neutral_rmse", "best_baseline_rmse"]}
+    rows = [entry(s, m, F.col(f"{s}.{m}")) for s, names in flat.items() for m in names]
+    rows += [entry("percentiles", p, F.col(f"rating_prediction.percentiles.{p}")) for p in PERCENTILES]
+    rows += [entry("error_bins", f"error_{lo:.1f}_{hi:.1f}", F.col("error_distribution.bins")[i]["count"]) for i, (lo, hi) in enumerate(ERROR_BINS)]
+    rows += [entry("baselines", "beats_baseline", F.col("rating_prediction.rmse") < F.col("baselines.best_baseline_rmse"))]
+    segments = F.flatten(F.transform("by_engagement", lambda s: F.array(
+        *[F.struct(F.concat(F.lit("engagement_"), s["segment"]).alias("section"), F.lit(m).alias("metric"), s[m].cast("double").alias("value"))
+          for m in ("n_samples", "mae", "mean_engagement")])))
+    return report.select(F.explode(F.concat(F.array(*rows), segments)).alias("r")).select("r.*")

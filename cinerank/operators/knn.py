@@ -16,11 +16,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import clip
-from ..functions.ranking import dense_index, maybe_broadcast, top_n_per_group
+from ..functions.ranking import BROADCAST_BYTES, dense_index, top_n_per_group
 from ..schema import DEFAULT_RATING, RATING_CLIP
 from .similarity import cosine_similarity, top_neighbors
 
 
+N_BOUNDS = (1, 50)              # list lengths that a recommendation request may ask for
+SLOT_SALTS = 64                 # copies of a catalogue that is too large to broadcast
+
+
 @dataclass
 class KNNModel:
     """M4 parameters + the two fitted tables."""
@@ -47,7 +51,7 @@ def fit(cells: DataFrame, train: DataFrame, k: int = 5, k_max: int | None = None
     if k < 1:
         raise ValueError("k must be >= 1")
     if train.isEmpty():
-        raise ValueError("ratings_df cannot be empty")
+        raise ValueError("the training ratings have no rows")
     nbrs = top_neighbors(cells, max(k, k_max or k))
     return KNNModel(k, nbrs, train.select("user_id", "movie_id", "rating"),
                     use_similarity_weights)
@@ -96,17 +100,17 @@ def recommend(cells: DataFrame, nbrs: DataFrame, train: DataFrame, k: int, n: in
     default 3.0 and only the lowest ids of those can make the list, so per
     user just the first ``n + |rated| + |supported|`` catalogue positions are
     generated (never users x movies).  ``requests`` (user_id, n) restricts the
-    users and sets per-user list lengths (1..50); unknown users get no rows.
+    users and sets per-user list lengths; what :func:`rejected_requests` names
+    (lengths outside ``N_BOUNDS``, unknown users) gets no rows here.
     """
     users = cells.select("user_id").distinct()
     if requests is None:
         req = users.withColumn("n", F.lit(n))
         n_max = n
     else:
-        # List lengths outside [1, 50] are rejected like the API's bounds
         req = (requests.select("user_id", F.col("n").cast("int"))
-               .where(F.col("n").between(1, 50)).join(users, "user_id", "left_semi"))
-        n_max = 50
+               .where(F.col("n").between(*N_BOUNDS)).join(users, "user_id", "left_semi"))
+        n_max = N_BOUNDS[1]
     rated = cells.select("user_id", "movie_id")
     nb = (nbrs.where(F.col("rank") <= k).select("user_id", "neighbor_id")
           .join(req.select("user_id"), "user_id", "left_semi"))
@@ -125,9 +129,16 @@ def recommend(cells: DataFrame, nbrs: DataFrame, train: DataFrame, k: int, n: in
              .select("user_id", F.explode(F.sequence(F.lit(1).cast("bigint"), span.cast("bigint")))
                      .alias("movie_idx")))
     taken = rated.unionByName(supported.select("user_id", "movie_id"))
-    # Every user's slots start at position 1, so low positions are hot keys:
-    # look positions up in a broadcast catalogue when its (exact) size allows.
-    defaults = (slots.join(maybe_broadcast(midx, n_movies), "movie_idx").drop("movie_idx")
+    # Every user's slots start at position 1, so low positions are hot keys: look
+    # positions up in a broadcast catalogue when its (exact) size allows, else
+    # in copies of it, a salt of the user choosing the copy.
+    if n_movies * 16 <= BROADCAST_BYTES:
+        found = slots.join(F.broadcast(midx), "movie_idx")
+    else:
+        copies = midx.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(SLOT_SALTS - 1))))
+        found = slots.withColumn("_s", F.pmod(F.xxhash64("user_id"), F.lit(SLOT_SALTS)).cast("int")) \
+            .join(copies, ["movie_idx", "_s"]).drop("_s")
+    defaults = (found.drop("movie_idx")
                 .join(taken, ["user_id", "movie_id"], "left_anti")
                 .withColumn("predicted_rating", F.lit(default)))
     cands = supported.unionByName(defaults)
@@ -139,6 +150,15 @@ def recommend(cells: DataFrame, nbrs: DataFrame, train: DataFrame, k: int, n: in
                          F.col("rank").cast("bigint").alias("rank"))
 
 
+def rejected_requests(cells: DataFrame, requests: DataFrame) -> DataFrame:
+    """The requests (user_id, n) that :func:`recommend` gives no rows for, with
+    the reason."""
+    known = cells.select("user_id").distinct().withColumn("_known", F.lit(True))
+    reason = (F.when(~F.coalesce(F.col("n").between(*N_BOUNDS), F.lit(False)), f"n outside {N_BOUNDS[0]}..{N_BOUNDS[1]}")
+              .when(F.col("_known").isNull(), "unknown user"))
+    return requests.join(known, "user_id", "left").select("user_id", "n", reason.alias("reason")).where("reason IS NOT NULL")
+
+
 def _smallest_ids(df: DataFrame, col: str, count: int) -> list[int]:
     """The ``count`` smallest ids — a bounded top-k, used as padding candidates."""
     return [r[0] for r in df.select(col).distinct().orderBy(col).limit(count).collect()]
@@ -185,8 +205,11 @@ def predict_zero_fill(requests: DataFrame, cells: DataFrame, k_cap: int = 5) ->
     pool = _smallest_ids(users, "user_id", 2 * k_cap)   # fewer => all users
     k = min(k_cap, len(pool))
     req_users = known.select("user_id").distinct()
-    pos = top_neighbors(cells, max(k - 1, 1)).where(F.col("rank") <= k - 1) \
-        .join(req_users, "user_id", "left_semi")
+    asked = cells.join(req_users, "user_id", "left_semi")
+    # one more: the user itself is on the right-hand side
+    pos = cosine_similarity(asked, cells, top_k=max(k, 2)).where("user_id <> neighbor_id").drop("rank")
+    pos = top_n_per_group(pos, ["user_id"], [F.col("similarity").desc(), F.col("neighbor_id").asc()], max(k - 1, 1)) \
+        .where(F.col("rank") <= k - 1)
     pad = _pad_neighbors(req_users, pos, pool[:2 * k], k, True)
     me = req_users.select("user_id", F.col("user_id").alias("neighbor_id"))
     nb = me.unionByName(pos.select("user_id", "neighbor_id")).unionByName(

@@ -10,11 +10,12 @@ from __future__ import annotations
 import time
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.exprs import clip
+from ..functions.ranking import with_dense_index
 from ..schema import DEFAULT_RATING, K_VALUES, RATING_CLIP
 from . import knn
 
@@ -44,8 +45,8 @@ def tune_k(val: DataFrame, nbrs: DataFrame, train: DataFrame, k_values=K_VALUES,
               .withColumn("prediction", F.coalesce(clip("_p", *RATING_CLIP), F.lit(DEFAULT_RATING))))
     e = F.col("prediction") - F.col("rating")
     return scored.groupBy("_pos", "k").agg(
-        F.round(F.sqrt(F.avg(e * e)), 6).alias("rmse"),
-        F.round(F.avg(F.abs(e)), 6).alias("mae")).withColumnRenamed("_pos", "position")
+        F.sqrt(F.avg(e * e)).alias("rmse"),
+        F.avg(F.abs(e)).alias("mae")).withColumnRenamed("_pos", "position")
 
 
 def best_k(results: DataFrame, metric: str = "rmse") -> DataFrame:
@@ -56,7 +57,7 @@ def best_k(results: DataFrame, metric: str = "rmse") -> DataFrame:
     elif metric == "coverage":
         key = F.struct(-F.col(metric), F.col("position"))
     else:
-        raise ValueError(f"Unknown metric: {metric}")
+        raise ValueError(f"no such metric: {metric}")
     cols = [c for c in results.columns if c != "position"]
     if "status" in results.columns:
         results = results.where(F.col("status") == "completed")
@@ -74,9 +75,9 @@ def sweep_k(cells: DataFrame, ratings: DataFrame, user_split: DataFrame,
     p = knn.user_knn_predict(cells, ratings, user_split, valid)
     e = F.col("prediction") - F.col("target")
     res = p.groupBy("_pos", "k").agg(
-        F.round(F.sqrt(F.avg(e * e)), 6).alias("rmse"),
-        F.round(F.avg(F.abs(e)), 6).alias("mae"),
-        F.round(F.avg((F.col("prediction") >= 0.5).cast("double")), 6).alias("coverage"),
+        F.sqrt(F.avg(e * e)).alias("rmse"),
+        F.avg(F.abs(e)).alias("mae"),
+        F.avg((F.col("prediction") >= 0.5).cast("double")).alias("coverage"),
     ).withColumn("status", F.lit("completed"))
     # positions refer to the caller's list (user_knn_predict numbered the valid ones)
     pos_map = F.create_map(*[x for i, k in enumerate(valid)
@@ -95,10 +96,8 @@ def sweep_k(cells: DataFrame, ratings: DataFrame, user_split: DataFrame,
 def leaderboard(runs: DataFrame) -> DataFrame:
     """Runs sorted by rmse (nulls last), with ``leaderboard_rank``;
     the first row is the best run."""
-    w = Window.orderBy(F.col("rmse").asc_nulls_last(), F.col("k_value").asc())
-    # The run table holds one row per K tried: bounded by the K list, so a
-    # global ordering window is fine here.
-    return runs.withColumn("leaderboard_rank", F.row_number().over(w).cast("bigint"))
+    # A run log grows with the runs, so the ranks come from range partitions.
+    return with_dense_index(runs, [F.col("rmse").asc_nulls_last(), F.col("k_value").asc()], "leaderboard_rank", start=1)
 
 
 def runs_from_sweep(sweep: DataFrame, experiment: str = "knn_sweep") -> DataFrame:

@@ -216,24 +216,36 @@ def _user_knn(k_list) -> str:
 
 
 SWEEP = _user_knn(K_LIST) + """, sw AS (SELECT CAST(position AS BIGINT) AS position, CAST(k AS BIGINT) AS k,
-       round(sqrt(avg((prediction - target) ^ 2)), 6) AS rmse,
-       round(avg(abs(prediction - target)), 6) AS mae,
-       round(avg(CASE WHEN prediction >= 0.5 THEN 1.0 ELSE 0.0 END), 6) AS coverage,
+       sqrt(avg((prediction - target) ^ 2)) AS rmse,
+       avg(abs(prediction - target)) AS mae,
+       avg(CASE WHEN prediction >= 0.5 THEN 1.0 ELSE 0.0 END) AS coverage,
        'completed' AS status FROM pt GROUP BY position, k)
 """
 
-TUNE = _with(MODEL, f"ks AS (SELECT * FROM (VALUES {', '.join(f'({i}, {k})' for i, k in enumerate(K_LIST))}) t(position, k))",
-             """tk_votes AS (SELECT ks.position, ks.k, v.user_id, v.movie_id, avg(t.rating) AS p
+SPLIT_EXACT = SPLIT[SPLIT.index("train AS"):]
+SPLIT_EXACT = f"""r1h AS (SELECT *, row_number() OVER (ORDER BY {_hash32('user_id', 'movie_id')}, user_id, movie_id) - 1 AS pos,
+        count(*) OVER () AS n FROM r1),
+r1s AS (SELECT user_id, movie_id, rating, timestamp, CASE WHEN pos < floor(n * 0.8) THEN 'train' ELSE 'val' END AS split FROM r1h),
+""" + SPLIT_EXACT
+
+
+def _tune(split: str) -> str:
+    ks = ", ".join(f"({i}, {k})" for i, k in enumerate(K_LIST))
+    return _with(R1, cells_of("r1"), sims_of(), NB, split, f"ks AS (SELECT * FROM (VALUES {ks}) t(position, k))",
+                 """tk_votes AS (SELECT ks.position, ks.k, v.user_id, v.movie_id, avg(t.rating) AS p
                 FROM (SELECT DISTINCT user_id, movie_id FROM val) v CROSS JOIN ks
                 JOIN nb ON nb.user_id = v.user_id AND nb.rank <= ks.k
                 JOIN train t ON t.user_id = nb.neighbor_id AND t.movie_id = v.movie_id GROUP BY 1, 2, 3, 4)""",
-             """tk_scored AS (SELECT ks.position, ks.k, v.rating,
+                 """tk_scored AS (SELECT ks.position, ks.k, v.rating,
                   CASE WHEN tv.p IS NULL THEN 3.0 ELSE least(greatest(tv.p, 0.5), 5.0) END AS prediction
                 FROM val v CROSS JOIN ks LEFT JOIN tk_votes tv
                   ON tv.position = ks.position AND tv.user_id = v.user_id AND tv.movie_id = v.movie_id)""",
-             """tk AS (SELECT CAST(position AS BIGINT) AS position, CAST(k AS BIGINT) AS k,
-                  round(sqrt(avg((prediction - rating) ^ 2)), 6) AS rmse,
-                  round(avg(abs(prediction - rating)), 6) AS mae FROM tk_scored GROUP BY position, k)""")
+                 """tk AS (SELECT CAST(position AS BIGINT) AS position, CAST(k AS BIGINT) AS k,
+                  sqrt(avg((prediction - rating) ^ 2)) AS rmse,
+                  avg(abs(prediction - rating)) AS mae FROM tk_scored GROUP BY position, k)""")
+
+
+TUNE = _tune(SPLIT)
 
 _ERR = "abs(rating - prediction)"
 
@@ -294,6 +306,36 @@ bl AS (SELECT round(b.m, 6) AS mean_value, round(sqrt(avg((s.rating - b.m) ^ 2))
        FROM scored s CROSS JOIN base b GROUP BY b.m, b.med)"""
 
 
+RAW_BASE = BASE.replace("round(", "(").replace(", 6)", ")")
+
+
+def _flat_report() -> str:
+    """E11 as (section, metric, value), each number by its own plain definition."""
+    one = {"test_set.n_samples": "count(*)", "rating_prediction.rmse": f"sqrt(avg(({_ERR}) ^ 2))", "rating_prediction.mae": f"avg({_ERR})",
+           "rating_prediction.n_samples": "count(*)", "rating_prediction.median_error": f"quantile_cont({_ERR}, 0.5)"}
+    for section in ("rating_prediction", "error_distribution"):
+        one |= {f"{section}.mean_error": f"avg({_ERR})", f"{section}.std_error": f"stddev_pop({_ERR})",
+                f"{section}.min_error": f"min({_ERR})", f"{section}.max_error": f"max({_ERR})"}
+    one |= {f"percentiles.{n}": f"quantile_cont({_ERR}, {p})" for n, p in PCTS.items()}
+    one |= {f"error_bins.error_{lo:.1f}_{hi:.1f}": f"count_if({_ERR} >= {lo} AND {_ERR} < {hi})" for lo, hi in BINS}
+    parts = [(k, v, "scored") for k, v in one.items()]
+    parts += [(f"coverage.{c}", c, "cov") for c in ("n_recommended", "n_total")]
+    parts += [("coverage.coverage_ratio", "n_recommended / n_total", "cov"), ("coverage.recommendation_threshold", "0.5", "cov")]
+    parts += [(f"sparsity.{c}", c, "sps") for c in ("n_users", "n_movies", "n_ratings")]
+    parts += [("sparsity.max_possible", "n_users * n_movies", "sps"), ("sparsity.density", "n_ratings / (n_users * n_movies)", "sps"),
+              ("sparsity.sparsity", "1 - n_ratings / (n_users * n_movies)", "sps")]
+    parts += [(f"baselines.{c}", c, "bl") for c in ("mean_value", "mean_rmse", "median_value", "median_rmse", "neutral_value", "neutral_rmse", "best_baseline_rmse")]
+    parts += [("baselines.beats_baseline", f"CAST((SELECT sqrt(avg(({_ERR}) ^ 2)) FROM scored) < best_baseline_rmse AS INTEGER)", "bl")]
+    rows = [f"SELECT '{k.split('.', 1)[0]}' AS section, '{k.split('.', 1)[1]}' AS metric, round(CAST({v} AS DOUBLE), 6) AS value FROM {t}"
+            for k, v, t in parts]
+    rows += [f"SELECT 'engagement_' || segment, '{m}', round(CAST({v} AS DOUBLE), 6) FROM seg"
+             for m, v in (("n_samples", "n_samples"), ("mae", "mae"), ("mean_engagement", "mean_engagement"))]
+    return _with(SCORED, _coverage(0.5), RAW_BASE, "sps AS (SELECT count(DISTINCT user_id) AS n_users, count(DISTINCT movie_id) AS n_movies, count(*) AS n_ratings FROM cells)",
+                 f"pu AS (SELECT user_id, count(*) AS n, sum({_ERR}) AS se FROM scored GROUP BY user_id)",
+                 """seg AS (SELECT CASE WHEN n <= 5 THEN 'low' WHEN n <= 20 THEN 'medium' ELSE 'high' END AS segment,
+       sum(n) AS n_samples, sum(se) / sum(n) AS mae, sum(n * n) / sum(n) AS mean_engagement FROM pu GROUP BY 1)""") + "\nUNION ALL ".join(rows)
+
+
 def oracle_sql() -> dict[str, str]:
     o: dict[str, str] = {}
     o["coerce_types"] = _with(RDC) + "SELECT event_id, user_id, movie_id, rating, timestamp FROM rdc"
@@ -337,7 +379,7 @@ def oracle_sql() -> dict[str, str]:
 SELECT 'raw_rows' AS metric, CAST(raw_rows AS DOUBLE) AS actual, CAST(2000 AS DOUBLE) AS expected, raw_rows >= 2000 AS passed FROM a
 UNION ALL SELECT 'min_clean_rows', CAST(clean_rows AS DOUBLE), 1800.0, clean_rows >= 1800 FROM b
 UNION ALL SELECT 'target_sparsity', round(1.0 - clean_rows / (u * m), 6), 0.9,
-                 round(1.0 - clean_rows / (u * m), 6) >= 0.9 FROM b"""
+                 1.0 - clean_rows / (u * m) >= 0.9 FROM b"""
     latest = """d AS (SELECT *, row_number() OVER (PARTITION BY user_id, movie_id
         ORDER BY timestamp DESC, event_id DESC) AS rn FROM rdc)"""
     strict = f"SELECT user_id, movie_id, rating, timestamp FROM d WHERE rn = 1 AND {_all_in()} AND NOT coalesce(isnan(rating), true)"
@@ -399,15 +441,15 @@ FROM u CROSS JOIN m LEFT JOIN cells c ON c.user_id = u.user_id AND c.movie_id =
     o["user_mean_rating"] = _with(R1) + "SELECT user_id, round(avg(rating), 6) AS target FROM r1 GROUP BY user_id"
     o["user_knn_predict"] = _user_knn((K,)) + \
         "SELECT user_id, round(prediction, 6) AS prediction, round(target, 6) AS target FROM pt"
-    o["tune_k"] = TUNE + "SELECT position, k, rmse, mae FROM tk"
-    o["tune_best_k"] = TUNE + "SELECT k, rmse, mae FROM tk ORDER BY rmse, position LIMIT 1"
-    o["sweep_k"] = SWEEP + "SELECT * FROM sw"
-    o["best_run"] = SWEEP + "SELECT k, rmse, mae, coverage, status FROM sw ORDER BY rmse, position LIMIT 1"
-    o["run_leaderboard"] = SWEEP + """SELECT 'knn_sweep_k' || CAST(k AS VARCHAR) AS run_id, k AS k_value, rmse, mae, coverage,
-       upper(status) AS status, CAST(row_number() OVER (ORDER BY rmse ASC NULLS LAST, k ASC) AS BIGINT) AS leaderboard_rank FROM sw"""
-    o["train_report"] = TUNE + """, best AS (SELECT * FROM tk ORDER BY rmse, position LIMIT 1)
+    o["tune_k"] = TUNE + "SELECT position, k, round(rmse, 6) AS rmse, round(mae, 6) AS mae FROM tk"
+    o["tune_best_k"] = TUNE + "SELECT k, round(rmse, 6) AS rmse, round(mae, 6) AS mae FROM (SELECT * FROM tk ORDER BY rmse, position LIMIT 1)"
+    o["sweep_k"] = SWEEP + "SELECT position, k, round(rmse, 6) AS rmse, round(mae, 6) AS mae, round(coverage, 6) AS coverage, status FROM sw"
+    o["best_run"] = SWEEP + "SELECT k, round(rmse, 6) AS rmse, round(mae, 6) AS mae, round(coverage, 6) AS coverage, status FROM (SELECT * FROM sw ORDER BY rmse, position LIMIT 1)"
+    o["run_leaderboard"] = SWEEP + """SELECT 'knn_sweep_k' || CAST(k AS VARCHAR) AS run_id, k AS k_value, round(rmse, 6) AS rmse, round(mae, 6) AS mae, round(coverage, 6) AS coverage,
+       upper(status) AS status, CAST(row_number() OVER (ORDER BY sw.rmse ASC NULLS LAST, k ASC) AS BIGINT) AS leaderboard_rank FROM sw"""
+    o["train_report"] = _tune(SPLIT_EXACT) + """, best AS (SELECT * FROM tk ORDER BY rmse, position LIMIT 1)
 SELECT (SELECT CAST(count(*) AS BIGINT) FROM train) AS n_train, (SELECT CAST(count(*) AS BIGINT) FROM val) AS n_val,
-       k, false AS use_similarity_weights, rmse, mae FROM best"""
+       k, false AS use_similarity_weights, round(rmse, 6) AS rmse, round(mae, 6) AS mae FROM best"""
     o["actual_vs_predicted"] = _with(MODEL, _predict("r1", "ap")) + \
         "SELECT user_id, movie_id, rating AS actual, prediction AS predicted, abs(rating - prediction) AS abs_error FROM ap"
     o["sample_error_metrics"] = _with(
@@ -440,8 +482,24 @@ SELECT (SELECT CAST(count(*) AS BIGINT) FROM train) AS n_train, (SELECT CAST(cou
         """SELECT CASE WHEN n <= 5 THEN 'low' WHEN n <= 20 THEN 'medium' ELSE 'high' END AS segment,
        CAST(sum(n) AS BIGINT) AS n_samples, round(sum(se) / sum(n), 6) AS mae, round(sum(n * n) / sum(n), 6) AS mean_engagement
 FROM pu GROUP BY 1"""
-    o["beats_baseline"] = _with(SCORED, BASE, f"m AS (SELECT round(sqrt(avg(({_ERR}) ^ 2)), 6) AS rmse FROM scored)") + \
-        "SELECT m.rmse AS model_rmse, bl.best_baseline_rmse, m.rmse < bl.best_baseline_rmse AS beats_baseline FROM m CROSS JOIN bl"
+    o["beats_baseline"] = _with(SCORED, RAW_BASE, f"m AS (SELECT sqrt(avg(({_ERR}) ^ 2)) AS rmse FROM scored)") + \
+        """SELECT round(m.rmse, 6) AS model_rmse, round(bl.best_baseline_rmse, 6) AS best_baseline_rmse,
+       m.rmse < bl.best_baseline_rmse AS beats_baseline FROM m CROSS JOIN bl"""
+    o["evaluation_metrics"] = _flat_report()
+    o["similarity_off_grid"] = _with(R1_RAW, f"v AS (SELECT * FROM r1_raw WHERE {_all_in()})", cells_of("v"), sims_of()) + \
+        "SELECT user_id, neighbor_id, similarity FROM sim"
+    o["recommend_rejected"] = _with(R1, cells_of("r1"), "rq AS (SELECT user_id, count(*) * 7 % 61 AS n FROM events GROUP BY user_id)",
+                                    """why AS (SELECT *, CASE WHEN NOT coalesce(n BETWEEN 1 AND 50, false) THEN 'n outside 1..50'
+        WHEN user_id NOT IN (SELECT user_id FROM cells) THEN 'unknown user' END AS reason FROM rq)""") + \
+        "SELECT user_id, n, reason FROM why WHERE reason IS NOT NULL"
+    clean = _with(R1) + "SELECT user_id, movie_id, rating, timestamp FROM r1"
+    o["ratings_tsv_round_trip"] = o["ratings_csv_round_trip"] = clean
+    o["feature_store_round_trip"] = _with(R1, cells_of("r1"), sims_of()) + "SELECT user_id, neighbor_id, similarity FROM sim"
+    o["model_store_round_trip"] = o["knn_predict"]
+    o["report_round_trip"] = f"SELECT * EXCLUDE (error) FROM ({o['validation_report']})"
+    o["prepare_features_lookups"] = _with(R1, cells_of("r1"), sims_of(), NB) + \
+        """SELECT user_id, neighbor_id, similarity, CAST(rank AS BIGINT) AS rank FROM nb WHERE rank <= 3
+AND user_id IN (SELECT DISTINCT user_id FROM cells ORDER BY user_id LIMIT 3)"""
     o["gen_ratings"] = _with(f"""u AS (SELECT event_id,
         {_unif(1)} AS u1, {_unif(2)} AS u2, {_unif(3)} AS u3, {_unif(4)} AS u4, {_unif(5)} AS u5 FROM events)""") + \
         """SELECT CAST(floor(u1 * 189) + 1 AS BIGINT) AS user_id, CAST(floor(u2 * 100) + 1 AS BIGINT) AS movie_id,

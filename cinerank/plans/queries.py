@@ -13,13 +13,19 @@ from ..operators import evaluate as E
 from ..operators import features as Fe
 from ..operators import knn, quality as Q, split as S, tuning as T
 from ..schema import K_VALUES
-from ..sources import derive, synthetic
+from ..functions.ranking import stage_folder
+from ..sources import derive, files, store, synthetic
 from . import context as C
 from . import workflows as W
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _round(df: DataFrame) -> DataFrame:
+    """Doubles to 6 places, for comparison; the operators return full values."""
+    return df.select(*[F.round(c, 6).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
+
+
 # --- validation and cleaning ---------------------------------------------------
 
 def coerce_types(spark, sf):
@@ -73,11 +79,11 @@ def dedup_first(spark, sf):
 
 
 def dataset_summary(spark, sf):
-    return Q.dataset_summary(C.r1_clean(spark, sf))
+    return _round(Q.dataset_summary(C.r1_clean(spark, sf)))
 
 
 def expectations(spark, sf):
-    return Q.expectations(derive.r1_raw(spark, sf), C.r1_clean(spark, sf))
+    return _round(Q.expectations(derive.r1_raw(spark, sf), C.r1_clean(spark, sf)))
 
 
 def ingest_strict(spark, sf):
@@ -122,7 +128,7 @@ def movie_index(spark, sf):
 
 
 def matrix_density(spark, sf):
-    return Fe.matrix_density(C.r1_cells(spark, sf))
+    return _round(Fe.matrix_density(C.r1_cells(spark, sf)))
 
 
 def user_similarity(spark, sf):
@@ -149,11 +155,11 @@ def user_vector(spark, sf):
 
 
 def rating_stats(spark, sf):
-    return Fe.rating_stats(C.r1_cells(spark, sf))
+    return _round(Fe.rating_stats(C.r1_cells(spark, sf)))
 
 
 def user_profile(spark, sf):
-    return Fe.user_profile(C.r1_cells(spark, sf))
+    return _round(Fe.user_profile(C.r1_cells(spark, sf)))
 
 
 # --- model -----------------------------------------------------------------------
@@ -185,6 +191,12 @@ def recommend_all(spark, sf):
     return knn.recommend(cells, nbrs, train, C.K_DEFAULT, n=C.N_RECOMMEND)
 
 
+def recommend_rejected(spark, sf):
+    # list lengths 0..60 by the number of a raw user's events; raw id 0 is unknown
+    req = derive.table(spark, sf, "events").groupBy("user_id").agg((F.count("*") * 7 % 61).alias("n"))
+    return knn.rejected_requests(C.r1_cells(spark, sf), req)
+
+
 def predict_batch_zero_fill(spark, sf):
     cells = C.r1_cells(spark, sf)
     return knn.predict_zero_fill(derive.requests_raw(spark, sf), cells).select(
@@ -217,31 +229,39 @@ def user_knn_predict(spark, sf):
                     F.round("target", 6).alias("target"))
 
 
-def tune_k(spark, sf):
+def _tuned(spark, sf):
     cells, nbrs, train, val = C.model_parts(spark, sf, max(K_VALUES))
     return T.tune_k(val, nbrs, train, K_VALUES, unique_pairs=True)   # split of the cells
 
 
+def tune_k(spark, sf):
+    return _round(_tuned(spark, sf))
+
+
 def tune_best_k(spark, sf):
-    return T.best_k(tune_k(spark, sf), "rmse")
+    return _round(T.best_k(_tuned(spark, sf), "rmse"))
 
 
-def sweep_k(spark, sf):
+def _swept(spark, sf):
     cells = C.r1_cells(spark, sf)
     return T.sweep_k(cells, cells, C.user_split(cells), K_VALUES)
 
 
+def sweep_k(spark, sf):
+    return _round(_swept(spark, sf))
+
+
 def best_run(spark, sf):
-    return T.best_k(sweep_k(spark, sf), "rmse")
+    return _round(T.best_k(_swept(spark, sf), "rmse"))
 
 
 def run_leaderboard(spark, sf):
-    return T.leaderboard(T.runs_from_sweep(sweep_k(spark, sf)))
+    return _round(T.leaderboard(T.runs_from_sweep(_swept(spark, sf))))
 
 
 def train_report(spark, sf):
     cells = C.r1_cells(spark, sf)
-    return W.train(spark, cells, cells, tune=True).report
+    return _round(W.train(spark, cells, cells, tune=True).report)
 
 
 def actual_vs_predicted(spark, sf):
@@ -254,58 +274,58 @@ def actual_vs_predicted(spark, sf):
 
 def sample_error_metrics(spark, sf):
     cells, nbrs, train, _ = C.model_parts(spark, sf)
-    return W.sample_error_metrics(cells, nbrs, train, C.K_DEFAULT, size=10)
+    return _round(W.sample_error_metrics(cells, nbrs, train, C.K_DEFAULT, size=10))
 
 
 # --- evaluation --------------------------------------------------------------------
 
 def rating_metrics(spark, sf):
-    return E.rating_metrics(C.scored_val(spark, sf))
+    return _round(E.rating_metrics(C.scored_val(spark, sf)))
 
 
 def error_percentiles(spark, sf):
-    return E.error_percentiles(C.scored_val(spark, sf))
+    return _round(E.error_percentiles(C.scored_val(spark, sf)))
 
 
 def catalog_coverage(spark, sf):
-    return E.catalog_coverage(C.scored_val(spark, sf))
+    return _round(E.catalog_coverage(C.scored_val(spark, sf)))
 
 
 def catalog_coverage_35(spark, sf):
-    return E.catalog_coverage(C.scored_val(spark, sf), 3.5)
+    return _round(E.catalog_coverage(C.scored_val(spark, sf), 3.5))
 
 
 def coverage_verdict(spark, sf):
-    return E.coverage_verdict(E.catalog_coverage(C.scored_val(spark, sf), 3.5))
+    return _round(E.coverage_verdict(E.catalog_coverage(C.scored_val(spark, sf), 3.5)))
 
 
 def sparsity(spark, sf):
-    return E.sparsity(C.r1_clean(spark, sf))
+    return _round(E.sparsity(C.r1_clean(spark, sf)))
 
 
 def ratings_per_user_stats(spark, sf):
-    return E.ratings_per_stats(C.r1_clean(spark, sf), "user_id")
+    return _round(E.ratings_per_stats(C.r1_clean(spark, sf), "user_id"))
 
 
 def ratings_per_movie_stats(spark, sf):
-    return E.ratings_per_stats(C.r1_clean(spark, sf), "movie_id")
+    return _round(E.ratings_per_stats(C.r1_clean(spark, sf), "movie_id"))
 
 
 def error_histogram(spark, sf):
-    return E.error_histogram(C.scored_val(spark, sf))
+    return _round(E.error_histogram(C.scored_val(spark, sf)))
 
 
 def baselines(spark, sf):
-    return E.baselines(C.scored_val(spark, sf))
+    return _round(E.baselines(C.scored_val(spark, sf)))
 
 
 def engagement_segments(spark, sf):
-    return E.engagement_segments(C.scored_val(spark, sf))
+    return _round(E.engagement_segments(C.scored_val(spark, sf)))
 
 
 def beats_baseline(spark, sf):
     s = C.scored_val(spark, sf)
-    return E.beats_baseline(E.rating_metrics(s), E.baselines(s))
+    return _round(E.beats_baseline(E.rating_metrics(s), E.baselines(s)))
 
 
 def evaluation_report(spark, sf):
@@ -313,6 +333,54 @@ def evaluation_report(spark, sf):
     return W.evaluate(scored, cells)
 
 
+def evaluation_metrics(spark, sf):
+    scored, cells = C.scored_with_cells(spark, sf)
+    return _round(E.report_metrics(W.evaluate(scored, cells)))
+
+
+def similarity_off_grid(spark, sf):
+    # F1 averages duplicates, so these cells lie off the half-star grid
+    return Fe.user_similarity(rating_cells(spark, sf))
+
+
+# --- sources and sinks, written to the shared stage folder and read back -----------
+
+def ratings_tsv_round_trip(spark, sf):
+    path = f"{stage_folder(spark)}/ratings"
+    files.write_ratings(C.r1_clean(spark, sf), path, fmt="csv", sep="\t")
+    return files.read_ratings_tsv(spark, path)
+
+
+def ratings_csv_round_trip(spark, sf):
+    path = f"{stage_folder(spark)}/ratings"
+    files.write_ratings(C.r1_clean(spark, sf), path, fmt="csv")
+    return files.read_ratings_csv(spark, path)
+
+
+def feature_store_round_trip(spark, sf):
+    path = f"{stage_folder(spark)}/features"
+    cells = C.r1_cells(spark, sf)
+    store.save_features(cells, Fe.user_similarity(cells), path)
+    return store.load_similarity(path, spark)
+
+
+def model_store_round_trip(spark, sf):
+    path = f"{stage_folder(spark)}/model"
+    cells, nbrs, train, val = C.model_parts(spark, sf)
+    store.save_model(knn.KNNModel(C.K_DEFAULT, nbrs, train), path)
+    return store.load_model(path, spark).predict(val.select("user_id", "movie_id", "rating"))
+
+
+def report_round_trip(spark, sf):
+    path = f"{stage_folder(spark)}/report"
+    files.write_report(validation_report(spark, sf), path)
+    return files.read_report(spark, path).select("total_errors", "dtype_errors", "range_violations", "null_violations", "rows_retained")
+
+
+def prepare_features_lookups(spark, sf):
+    return W.prepare_features(C.r1_clean(spark, sf), f"{stage_folder(spark)}/features")[3]
+
+
 def gen_ratings(spark, sf):
     return synthetic.ratings_from_rows(derive.table(spark, sf, "events").select("event_id"))
 

@@ -37,7 +37,7 @@ def read_ratings_csv(spark: SparkSession, path: str, sep: str = ",", schema=RATI
         return reader.csv(path)
     except AnalysisException as e:
         if _not_found(e):
-            raise FileNotFoundError(f"File not found: {path}") from e
+            raise FileNotFoundError(f"no such ratings file: {path}") from e
         raise
 
 
@@ -47,12 +47,15 @@ def read_ratings_text(spark: SparkSession, path: str, sep: str = ",") -> DataFra
         return spark.read.option("header", True).option("sep", sep).csv(path)
     except AnalysisException as e:
         if _not_found(e):
-            raise FileNotFoundError(f"File not found: {path}") from e
+            raise FileNotFoundError(f"no such ratings file: {path}") from e
         raise
 
 
 def write_ratings(df: DataFrame, path: str, fmt: str = "parquet", sep: str = ",") -> None:
-    """S3: write cleaned ratings (parquet by default, or CSV with header)."""
+    """S3: write cleaned ratings (parquet by default, or CSV with header); a table
+    without rows is an error: nothing was cleaned."""
+    if df.isEmpty():
+        raise ValueError("nothing to save: no rating passed the checks")
     w = df.write.mode("overwrite")
     if fmt == "csv":
         w.option("header", True).option("sep", sep).csv(path)
@@ -87,7 +90,7 @@ def read_json_dict(spark: SparkSession, path: str) -> dict:
         rows = spark.read.text(path).collect()
     except AnalysisException as e:
         if _not_found(e):
-            raise FileNotFoundError(f"File not found: {path}") from e
+            raise FileNotFoundError(f"no such ratings file: {path}") from e
         raise
     return json.loads(rows[0][0])
 
