@@ -108,7 +108,8 @@ def test_entry_flagship(spark):
 def test_registry_has_oracles():
     q, o = entry.queries(), entry.oracle_sql()
     assert set(o) <= set(q)
-    assert set(q) - set(o) == {"evaluation_report"}
+    from cinerank.plans.queries import QUERIES
+    assert set(QUERIES) <= set(q) and set(QUERIES) - set(o) == {"evaluation_report"}
 
 
 def test_cluster_conf_sizes_partitions():

@@ -36,7 +36,12 @@ def test_scan_reads_only_needed_columns(spark):
     assert schemas == ["struct<value:double>"]
 
 
-def test_only_python_is_the_similarity_kernel(spark):
-    plan = plan_of(spark, "similar_users")
-    assert "FlatMapGroupsInPandas" in plan
+def test_only_python_is_the_grid_kernel(spark):
+    from cinerank.operators.similarity import Layout, cosine_similarity
+    from cinerank.plans.context import r1_cells
+    buf = io.StringIO()
+    with redirect_stdout(buf):
+        cosine_similarity(r1_cells(spark, SF), layout=Layout(False, 2, 2)).explain("formatted")
+    assert "FlatMapGroupsInPandas" in buf.getvalue()
+    assert "FlatMapGroupsInPandas" not in plan_of(spark, "similar_users")     # a sparse catalogue is joined
     assert "FlatMapGroupsInPandas" not in plan_of(spark, "validation_report")
