@@ -151,7 +151,8 @@ def by_key(prints: DataFrame, masks: list[np.uint64]) -> DataFrame:
     is the fingerprint's bits in the kind's mask, so it isn't shuffled with it."""
     key = F.col("fp").bitwiseAND(F.element_at(F.array(*[F.lit(int(m.astype(np.int64))) for m in masks]), F.col("kind") + 1))
     return (prints.withColumn("kind", F.explode(F.sequence(F.lit(0), F.lit(len(masks) - 1))))
-            .repartition(F.col("kind"), key).sortWithinPartitions(F.col("kind"), key, F.col("fp")))
+            # the key first: its bits decide most comparisons of the sort
+            .repartition(F.col("kind"), key).sortWithinPartitions(key, F.col("kind"), F.col("fp")))
 
 
 def _scan_blocks(prints: DataFrame, ring: Ring) -> DataFrame:
