@@ -9,6 +9,7 @@ never seen shares most n-gram vectors with the word it comes from.
 from __future__ import annotations
 
 import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -19,6 +20,10 @@ from pyspark.sql import functions as F
 from .common import map_arrow
 
 EDGES = ".,;:!?\"'()[]{}«»„“”¡¿-_*"
+#: Longer words (texts without spaces) aren't kept in memory for when they recur.
+KEPT_CHARS = 200
+#: First characters of n-grams that are taken at once.
+SLICE = 1 << 14
 
 
 def subwords(word: str, buckets: int, shortest: int = 3, longest: int = 5) -> list[int]:
@@ -28,31 +33,58 @@ def subwords(word: str, buckets: int, shortest: int = 3, longest: int = 5) -> li
     return [zlib.crc32(g.encode("utf-8", "replace")) % buckets for g in [*grams, marked + "="]]
 
 
+def subword_slices(word: str, buckets: int, shortest: int = 3, longest: int = 5) -> Iterator[np.ndarray]:
+    """What ``subwords`` gives, in another order and in parts of bounded size."""
+    marked = f"<{word}>"
+    for at in range(0, len(marked), SLICE):
+        part = marked[at:at + SLICE + longest - 1]       # the n-grams that begin in the slice, whole
+        yield np.array([zlib.crc32(part[i:i + n].encode("utf-8", "replace")) % buckets for n in range(shortest, longest + 1)
+                        for i in range(min(SLICE, len(part) - n + 1))], np.int32)
+    yield np.array([zlib.crc32((marked + "=").encode("utf-8", "replace")) % buckets], np.int32)
+
+
 def words_of(text: str | None) -> list[str]:
     return (text or "").lower().split()
 
 
 class _WordBags(dict):
-    """word -> buckets; starts anew when large."""
+    """word of up to KEPT_CHARS -> buckets; starts anew when large."""
 
     def __init__(self, buckets: int):
         super().__init__()
         self.buckets = buckets
 
     def __missing__(self, word: str) -> np.ndarray:
-        bag = self[word] = np.array(subwords(word.strip(EDGES)[:200], self.buckets), np.int32)
+        bag = self[word] = np.array(subwords(word.strip(EDGES), self.buckets), np.int32)
         return bag
 
+    def counts(self, word: str) -> tuple[np.ndarray, np.ndarray]:
+        """Of a longer word: its buckets and how often it has them."""
+        times = np.zeros(self.buckets, np.int64)
+        for part in subword_slices(word.strip(EDGES), self.buckets):
+            times += np.bincount(part, minlength=self.buckets)
+        index = np.flatnonzero(times)
+        return index.astype(np.int32), times[index]
+
 
 def text_vector(text: str | None, bags: _WordBags) -> tuple[np.ndarray, np.ndarray]:
     """Sparse mean of the words' mean bags: buckets and their weights (sum 1)."""
     words = words_of(text)
     if not words:
         return np.zeros(0, np.int32), np.zeros(0, np.float32)
-    found = [bags[w] for w in words]
+    found = [bags[w] for w in words if len(w) <= KEPT_CHARS]
     sizes = np.fromiter(map(len, found), np.int64, len(found))
+    shares = [np.repeat(1.0 / (sizes * len(words)), sizes)]
+    if len(found) < len(words):
+        dense = np.zeros(bags.buckets)                  # all long words of a text in one vector
+        for w in words:
+            if len(w) > KEPT_CHARS:
+                index, times = bags.counts(w)
+                dense[index] += times / (times.sum() * len(words))
+        found.append(np.flatnonzero(dense).astype(np.int32))
+        shares.append(dense[found[-1]])
     index, at = np.unique(np.concatenate(found), return_inverse=True)
-    weight = np.bincount(at, np.repeat(1.0 / (sizes * len(words)), sizes))
+    weight = np.bincount(at, np.concatenate(shares))
     if len(bags) > 300_000:
         bags.clear()
     return index.astype(np.int32), weight.astype(np.float32)
@@ -71,14 +103,20 @@ class ToxicityModel:
 
 
 class _Scorer(dict):
-    """Word -> mean pull of its buckets, kept for recurring words."""
+    """Word -> mean pull of its buckets, kept for recurring words of up to KEPT_CHARS."""
 
     def __init__(self, model: ToxicityModel):
         super().__init__()
         self.model = model
 
     def __missing__(self, word: str) -> float:
-        value = self[word] = float(self.model.pull[subwords(word.strip(EDGES)[:200], len(self.model.pull))].mean())
+        pull = self.model.pull
+        if len(word) > KEPT_CHARS:
+            total = n = 0
+            for part in subword_slices(word.strip(EDGES), len(pull)):
+                total, n = total + pull[part].sum(dtype=np.float64), n + len(part)
+            return float(total / n)
+        value = self[word] = float(pull[subwords(word.strip(EDGES), len(pull))].mean())
         return value
 
     def score(self, text: str | None) -> float:
