@@ -1,7 +1,8 @@
 """Operator 5, packing: cutting-stock column generation.
 
 Documents are tokenized in the tasks; what reaches the driver is only the
-histogram of piece lengths (at most capacity / unit numbers).  There a linear
+histogram of piece lengths (at most capacity numbers).  There short pieces are
+put together in bundles that fill whole units, and a linear
 program over packing patterns is solved by column generation, a knapsack dynamic
 program pricing the columns; its patterns are rounded down, the few pieces left
 get patterns of their own, and the pieces, ranked by length, take their places
@@ -102,6 +103,59 @@ def plan_patterns(histogram: dict[int, int], capacity: int) -> list[tuple[dict[i
     return [({int(s): int(a) for s, a in zip(sizes, p) if a}, k) for p, k in plan]
 
 
+def bundle_pieces(histogram: dict[int, int], capacity: int, unit: int) -> list[tuple[int, dict[int, int], int]]:
+    """[(units, bundle as {length: count}, uses)] that hold exactly the histogram's
+    pieces.  Pieces of a length go together as many as lose little to the rounding
+    up to ``unit`` (the fewest that lose under 1 in 128, or else the least share),
+    within an eighth of the capacity; what a length leaves is put in bundles with
+    others, longest first.  Longer pieces are alone."""
+    units = lambda n: -(-n // unit)
+    most = capacity // 8
+    out, rest = [], []
+    for length, n in sorted(histogram.items(), reverse=True):
+        lost = {m: (units(m * length) * unit - m * length) / (m * length) for m in range(1, max(1, min(most // length, unit)) + 1)}
+        m = next((m for m in lost if lost[m] < 1 / 128), min(lost, key=lost.get))
+        if n >= m:
+            out.append((units(m * length), {length: m}, n // m))
+        rest += [length] * (n % m)                        # under ``unit`` pieces a length
+    open_: list[tuple[int, dict[int, int]]] = []
+    for length in rest:
+        k = next((k for k, (full, _) in enumerate(open_) if full + length <= most), None)
+        full, own = (0, {}) if k is None else open_[k]
+        own[length] = own.get(length, 0) + 1
+        if k is None:
+            open_.append((length, own))
+        else:
+            open_[k] = full + length, own
+    return out + [(units(full), own, 1) for full, own in open_]
+
+
+def plan_lengths(histogram: dict[int, int], capacity: int, unit: int) -> list[tuple[dict[int, int], int]]:
+    """[(pattern as {length: count}, uses)] that place exactly the histogram's pieces."""
+    bundles: dict[int, list[list]] = {}
+    for size, own, uses in bundle_pieces(histogram, capacity, unit):
+        bundles.setdefault(size, []).append([own, uses])
+    out = []
+    for pattern, uses in plan_patterns({s: sum(n for _, n in b) for s, b in bundles.items()}, capacity // unit):
+        while uses:
+            # As many uses as the bundles at hand of every size are enough for; else one with several sorts of them.
+            times = max(1, min([uses, *(bundles[s][-1][1] // a for s, a in pattern.items())]))
+            lengths: dict[int, int] = {}
+            for size, a in pattern.items():
+                while a:
+                    own, left = bundles[size][-1]
+                    k = min(a, left // times)
+                    for length, n in own.items():
+                        lengths[length] = lengths.get(length, 0) + k * n
+                    bundles[size][-1][1] -= k * times
+                    a -= k
+                    if not bundles[size][-1][1]:
+                        bundles[size].pop()
+            out.append((lengths, times))
+            uses -= times
+    return out
+
+
 def piece_table(docs: DataFrame, path: str, capacity: int, end_id: int, payload: str,
                 id_col: str, text_col: str) -> DataFrame:
     """Tokenize whole texts and cut them every ``capacity`` tokens."""
@@ -135,16 +189,15 @@ def pack_documents(docs: DataFrame, path: str | None = None, capacity: int = 409
     A document is its text's ids and ``end_id``; null and empty texts are the
     ``end_id`` alone.  Documents are cut only every ``capacity`` tokens.  Lengths
     count as rounded up to ``unit``, so a sequence loses under ``unit`` tokens a
-    piece to that.  Repeated rows and null ids are documents of their own (ids
+    piece to that; short pieces count as bundles (see ``bundle_pieces``).  Repeated rows and null ids are documents of their own (ids
     are only carried along).  An empty table gives an empty result.  Other
     columns aren't read.
     """
-    pieces = stage(piece_table(docs, path or tokenizer_path("word_bpe_49k.json"), capacity, end_id, payload, id_col, text_col)
-                   .withColumn("units", F.ceil(F.col("length") / unit)))
-    histogram = {r.units: r["count"] for r in pieces.groupBy("units").count().collect()}   # at most capacity / unit rows
-    plan = plan_patterns(histogram, capacity // unit)
+    pieces = stage(piece_table(docs, path or tokenizer_path("word_bpe_49k.json"), capacity, end_id, payload, id_col, text_col))
+    histogram = {r.length: r["count"] for r in pieces.groupBy("length").count().collect()}   # at most capacity rows
+    plan = plan_lengths(histogram, capacity, unit)
 
-    # Where each pattern's pieces of a size start, by the size's rank: a few numbers a pattern and size.
+    # Where each pattern's pieces of a length start, by the length's rank: a few numbers a pattern and length.
     first, next_rank, sequence = [], dict.fromkeys(histogram, 0), 0
     for pattern, uses in plan:
         slot = 0
@@ -156,21 +209,21 @@ def pack_documents(docs: DataFrame, path: str | None = None, capacity: int = 409
     first.sort()
     table = np.array(first, np.int64).reshape(-1, 5)
 
-    # Ranks within a size, without one task for a frequent size: parts, their offsets, ranks in the part.
+    # Ranks within a length, without one task for a frequent one: parts, their offsets, ranks in the part.
     parts = max(16, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     light = pieces.withColumn("part", F.pmod(F.xxhash64("uid", "start"), F.lit(parts)))
-    before = Window.partitionBy("units").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (light.groupBy("units", "part").agg(F.count("*").alias("n"))
-               .select("units", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before")))
-    ranked = (light.withColumn("nth", F.row_number().over(Window.partitionBy("units", "part").orderBy("uid", "start")))
-              .join(offsets, ["units", "part"])
+    before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (light.groupBy("length", "part").agg(F.count("*").alias("n"))
+               .select("length", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before")))
+    ranked = (light.withColumn("nth", F.row_number().over(Window.partitionBy("length", "part").orderBy("uid", "start")))
+              .join(offsets, ["length", "part"])
               .withColumn("rank", F.col("before") + F.col("nth") - 1).drop("part", "before", "nth"))
 
-    carried = [(f.name, f.dataType.simpleString().replace("bigint", "long")) for f in pieces.schema if f.name != "units"]
+    carried = [(f.name, f.dataType.simpleString().replace("bigint", "long")) for f in pieces.schema]
 
     def place(batch):
-        size, rank = (batch[c].to_numpy() for c in ("units", "rank"))
-        # rows of ``table`` are sorted by size and first rank: the last row not above is the piece's
+        size, rank = (batch[c].to_numpy() for c in ("length", "rank"))
+        # rows of ``table`` are sorted by length and first rank: the last row not above is the piece's
         key = table[:, 0].astype(np.uint64) << np.uint64(44) | table[:, 1].astype(np.uint64)
         row = table[np.searchsorted(key, size.astype(np.uint64) << np.uint64(44) | rank.astype(np.uint64), side="right") - 1]
         use, slot = np.divmod(rank - row[:, 1], row[:, 2])

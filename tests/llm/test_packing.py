@@ -7,7 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from cinerank.llm.packing import op5_packing, pack_documents, plan_patterns
+from cinerank.llm.packing import op5_packing, pack_documents, plan_lengths, plan_patterns
 from cinerank.llm.tokenizing import WordEncoder, tokenizer_path
 
 PATH = tokenizer_path("word_bpe_49k.json")
@@ -92,3 +92,33 @@ def test_plans_place_every_piece(histogram):
         for s, a in pattern.items():
             placed[s] += a * uses
     assert placed == histogram
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.dictionaries(st.integers(1, 256), st.integers(1, 400), max_size=60))
+def test_bundles_place_every_piece(histogram):
+    placed = defaultdict(int)
+    for pattern, uses in plan_lengths(histogram, 256, 4):
+        assert uses > 0 and sum(n * a for n, a in pattern.items()) <= 256
+        for n, a in pattern.items():
+            placed[n] += a * uses
+    assert placed == histogram
+
+
+def test_short_and_empty_texts_are_dense(docs, whole):
+    sixteen = next(t for n in range(40) if len(whole(t := "word " * n)) == 16)      # 17 tokens with the end
+    texts = {i: None if i % 8 == 0 else "" for i in range(20_000)} | {20_000 + i: sixteen for i in range(4000)}
+    assert check(pack_documents(docs(texts.items())).collect(), texts, lambda t: ids(t, whole), 4096) > 0.95
+
+
+def ids(text, whole, known={}):
+    if text not in known:
+        known[text] = whole(text)
+    return known[text]
+
+
+@pytest.mark.parametrize("histogram", [{1: 100_000}, {17: 50_000}, {1: 30_000, 17: 9_000}, {n: 300 for n in range(1, 60)},
+                                       {n: 7 + n % 9 for n in range(1, 200)}, {33: 9_000, 65: 9_000, 129: 9_000}])
+def test_plans_of_short_pieces_are_dense(histogram):
+    plan = plan_lengths(histogram, 4096, 16)
+    assert sum(n * k for n, k in histogram.items()) > 0.94 * 4096 * sum(uses for _, uses in plan)
