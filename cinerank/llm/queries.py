@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, line_dedup, mixing, near_dedup, packing, quality, secrets, substring_dedup, token_counts, toxicity
+from . import exact_dedup, line_dedup, merkle, mixing, near_dedup, packing, quality, secrets, substring_dedup, token_counts, toxicity
 
 QUERIES = {
     "op1_quality": quality.op1_quality,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_line_dedup": line_dedup.op8_line_dedup,
     "op9_substring_dedup": substring_dedup.op9_substring_dedup,
     "op10_token_counts": token_counts.op10_token_counts,
+    "op11_merkle": merkle.op11_merkle,
 }
 
 ORACLES = {
@@ -22,4 +23,5 @@ ORACLES = {
     "op4_mixing": mixing.OP4_SQL,
     "op7_exact_dedup": exact_dedup.OP7_SQL,
     "op9_substring_dedup": substring_dedup.OP9_SQL,
+    "op11_merkle": merkle.OP11_SQL,
 }
