@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, line_dedup, merkle, mixing, near_dedup, packing, quality, secrets, substring_dedup, token_counts, toxicity
+from . import (embedding_dedup, exact_dedup, line_dedup, merkle, mixing, near_dedup, packing, quality, secrets,
+               substring_dedup, token_counts, toxicity, whitening)
 
 QUERIES = {
     "op1_quality": quality.op1_quality,
@@ -16,6 +17,8 @@ QUERIES = {
     "op9_substring_dedup": substring_dedup.op9_substring_dedup,
     "op10_token_counts": token_counts.op10_token_counts,
     "op11_merkle": merkle.op11_merkle,
+    "op12_whitening": whitening.op12_whitening,
+    "op13_embedding_dedup": embedding_dedup.op13_embedding_dedup,
 }
 
 ORACLES = {
