@@ -36,11 +36,16 @@ SIM_SCHEMA = "user_id long, neighbor_id long, similarity double"
 
 SCALE = 1_000_000               # ratings are compared in millionths
 CHUNK_RATERS = 1024             # raters of a movie that meet others in one join key
-PAIR_CHUNK = 1 << 20            # co-rating products a grid cell expands at a time
+PAIR_CHUNK = 1 << 21            # co-rating products a grid cell expands at a time
+DENSE_CELL = 1 << 23            # user pairs of a cell whose sums are one array (64 MB)
+DENSE_MATRIX = 1 << 22          # entries of a cell's users x movies matrix (32 MB)
+DENSE_FLOPS = 200               # matrix products worth one expanded co-rating
 BLOCK_USERS = 2048              # target users per grid block
 CELL_ROWS = 2_000_000           # most rating rows a grid cell may be planned to hold
 USER_ROWS = 200_000             # most ratings of one user the grid takes
-GRID_GAIN = 8                   # the grid is taken when it moves so many times fewer rows than the join makes
+GRID_GAIN = 1                   # the grid is taken when it moves so many times fewer rows than the join makes:
+                                # a moved rating is about 30 bytes, a pair made by the join about 40
+HEAD = 4                        # raters of a movie that the floors of a top-k are taken from
 
 
 def scaled(rating: Column) -> Column:
@@ -51,12 +56,36 @@ def scaled(rating: Column) -> Column:
 def _block_dot(lu, lm, lq, nl, ru, rm, rq, nr):
     """Non-zero dot products between left users (local ids below ``nl``) and
     right users (below ``nr``) of sparse integer vectors given as (user, movie,
-    value) triples: (left_idx, right_idx, dot)."""
-    order = np.argsort(rm, kind="stable")
-    rm, ru, rq = rm[order], ru[order], rq[order]
-    lo = np.searchsorted(rm, lm, "left")
-    cnt = np.searchsorted(rm, lm, "right") - lo
+    value) triples: (left_idx, right_idx, dot).
+
+    Values are divided by their common divisor first; while no sum can reach 2^53
+    doubles add them exactly, in a matrix product where most movies are rated
+    by most users and in one array of products by pair elsewhere.  Larger values are
+    added as integers.  Any way gives the exact sums.
+    """
+    if not len(lq) or not len(rq):
+        empty = np.zeros(0, np.int64)
+        return empty, empty, empty
+    unit = max(1, int(np.gcd.reduce(np.concatenate([lq, rq]))))
+    lq, rq = lq // unit, rq // unit
+    longest = min(np.bincount(lu).max(), np.bincount(ru).max())
+    exact = float(np.abs(lq).max()) * float(np.abs(rq).max()) * float(longest) < 2 ** 53
+    movies, code = np.unique(np.concatenate([lm, rm]), return_inverse=True)
+    lc, rc, nm = code[:len(lm)], code[len(lm):], len(movies)
+    pairs = float(np.bincount(lc, minlength=nm).astype(float) @ np.bincount(rc, minlength=nm))
+    if exact and max(nl, nr) * nm <= DENSE_MATRIX and nl * nr <= DENSE_CELL and float(nl) * nr * nm <= DENSE_FLOPS * pairs:
+        left, right = np.zeros((nl, nm)), np.zeros((nr, nm))
+        left[lu, lc], right[ru, rc] = lq, rq
+        dots = left @ right.T
+        li, ri = np.nonzero(dots)
+        return li, ri, dots[li, ri].astype(np.int64) * (unit * unit)
+    order = np.argsort(rc, kind="stable")
+    rc, ru, rq = rc[order], ru[order], rq[order]
+    lo = np.searchsorted(rc, lc, "left")
+    cnt = np.searchsorted(rc, lc, "right") - lo
     ends = np.cumsum(cnt)
+    whole = nl * nr <= DENSE_CELL                 # one sum a pair of users fits in an array
+    total = np.zeros(nl * nr if whole else 0, float if exact else np.int64)
     keys, dots, start = np.zeros(0, np.int64), np.zeros(0, np.int64), 0
     while start < len(cnt):
         base = ends[start - 1] if start else 0
@@ -64,15 +93,22 @@ def _block_dot(lu, lm, lq, nl, ru, rm, rq, nr):
         c = cnt[start:end]
         owner = np.repeat(np.arange(start, end), c)
         at = np.arange(int(c.sum())) + np.repeat(lo[start:end] - (np.cumsum(c) - c), c)
-        keys = np.concatenate([keys, lu[owner] * nr + ru[at]])
-        dots = np.concatenate([dots, lq[owner] * rq[at]])
-        if len(keys):                                    # integer sums: the order doesn't matter
+        key, product = lu[owner].astype(np.int64) * nr + ru[at], lq[owner] * rq[at]
+        if whole and exact:
+            total += np.bincount(key, weights=product, minlength=len(total))
+        elif whole:
+            np.add.at(total, key, product)
+        elif len(key):                                   # integer sums: the order doesn't matter
+            keys, dots = np.concatenate([keys, key]), np.concatenate([dots, product])
             order = np.argsort(keys, kind="stable")
             keys = keys[order]
             first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
             keys, dots = keys[first], np.add.reduceat(dots[order], first)
         start = end
-    return keys // nr, keys % nr, dots
+    if whole:
+        keys = np.flatnonzero(total)
+        dots = total[keys].astype(np.int64)
+    return keys // nr, keys % nr, dots * (unit * unit)
 
 
 def _top_k_local(u, v, s, k):
@@ -89,7 +125,8 @@ def _top_k_local(u, v, s, k):
 
 def _cell_kernel(symmetric: bool, top_k: int | None):
     """Kernel for one grid cell: it holds whole vectors, so it finishes the
-    similarities of its user pairs and cuts them to each user's ``top_k``."""
+    similarities of its user pairs and cuts them to each user's ``top_k`` and, where
+    rows bring one (``_f``), to those that reach the user's floor."""
     def norms(inv, q, n):
         out = np.zeros(n, np.int64)
         np.add.at(out, inv, q * q)
@@ -100,8 +137,8 @@ def _cell_kernel(symmetric: bool, top_k: int | None):
         diagonal = symmetric and bool((side == 2).all())
         lmask = (side == 2) if diagonal else (side == 0)
         rmask = lmask if diagonal else (side == 1)
-        lid, linv = np.unique(users[lmask], return_inverse=True)
-        rid, rinv = np.unique(users[rmask], return_inverse=True)
+        lid, lat, linv = np.unique(users[lmask], return_index=True, return_inverse=True)
+        rid, rat, rinv = np.unique(users[rmask], return_index=True, return_inverse=True)
         li, ri, dot = _block_dot(linv, movies[lmask], q[lmask], len(lid), rinv, movies[rmask], q[rmask], max(1, len(rid)))
         # Same operation order as on the join route and in the SQL definition.
         sim = dot / (norms(linv, q[lmask], len(lid))[li] * norms(rinv, q[rmask], len(rid))[ri])
@@ -109,7 +146,14 @@ def _cell_kernel(symmetric: bool, top_k: int | None):
             off = li != ri
             li, ri, sim = li[off], ri[off], sim[off]
         u, v, s = lid[li], rid[ri], sim
-        if symmetric and not diagonal:
+        if "_f" in pdf:
+            floor = pdf["_f"].to_numpy(np.float64)
+            reach = sim >= floor[lmask][lat][li]
+            back = sim >= floor[rmask][rat][ri]
+            u, v, s = u[reach], v[reach], s[reach]
+            if symmetric and not diagonal:
+                u, v, s = np.r_[u, rid[ri[back]]], np.r_[v, lid[li[back]]], np.r_[s, sim[back]]
+        elif symmetric and not diagonal:
             u, v, s = np.r_[u, v], np.r_[v, u], np.r_[s, s]
         u, v, s = _top_k_local(u, v, s, top_k)
         return pd.DataFrame({"user_id": u, "neighbor_id": v, "similarity": s})
@@ -118,13 +162,15 @@ def _cell_kernel(symmetric: bool, top_k: int | None):
 
 @dataclass
 class Layout:
-    """How a product is computed: ``join``, or a grid of left x right blocks."""
+    """How a product is computed: ``join``, or a grid of left x right blocks;
+    with ``floors`` a top-k drops pairs below a user's floor before they move."""
     join: bool
     left_blocks: int = 1
     right_blocks: int = 1
+    floors: bool = False
 
 
-def plan_layout(spark, left: DataFrame, right: DataFrame | None) -> Layout:
+def plan_layout(spark, left: DataFrame, right: DataFrame | None, top_k: int | None = None) -> Layout:
     """The cheaper route by counted cost (one aggregate a movie and one a user)."""
     symmetric = right is None
     sides = left.select("user_id", "movie_id", F.lit(0).alias("_s"))
@@ -149,7 +195,34 @@ def plan_layout(spark, left: DataFrame, right: DataFrame | None) -> Layout:
     longest = max(c["longest"] for c in count.values())
     if longest > USER_ROWS or GRID_GAIN * moved > pairs:
         return Layout(True)
-    return Layout(False, blocks[0], blocks[-1])
+    # Each cell may pass on top_k pairs a user; floors cost HEAD products a rating.
+    floors = symmetric and top_k is not None and count[0]["users"] * top_k * blocks[0] > 4 * HEAD * rows[0]
+    return Layout(False, blocks[0], blocks[-1], floors)
+
+
+def _with_norms(rows: DataFrame, name: str) -> DataFrame:
+    """``rows`` with its user's squared norm as ``name``."""
+    return rows.join(rows.groupBy("user_id").agg(F.sum(F.col("_q") * F.col("_q")).alias(name)), "user_id")
+
+
+def similarity_floors(rows: DataFrame, k: int, head: int | None = None) -> DataFrame:
+    """(user_id, floor): for each user with at least ``k`` partners among them, a
+    lower bound of its k-th best similarity.
+
+    An impact-ordered inverted index: each movie's postings are cut to the ``head``
+    raters of the largest normalised rating.  Products with these alone make partial dot
+    products, and a partial one is never over the whole (ratings are positive),
+    in doubles too, as the same division follows.  ``rows``: user_id, movie_id, _q.
+    """
+    normed = _with_norms(rows, "_n")
+    weight = F.col("_q") / F.sqrt("_n")
+    heads = top_n_per_group(normed, ["movie_id"], [weight.desc(), F.col("user_id").asc()], head or HEAD)
+    heads = heads.select("movie_id", F.col("user_id").alias("_v"), F.col("_q").alias("_qv"), F.col("_n").alias("_nv"))
+    partial = (normed.join(heads, "movie_id").where("user_id <> _v")
+               .groupBy("user_id", "_v").agg(F.sum(F.col("_q") * F.col("_qv")).alias("_dot"), F.max("_n").alias("_n"), F.max("_nv").alias("_nv"))
+               .select("user_id", "_v", (F.col("_dot").cast("double") / (F.sqrt("_n") * F.sqrt("_nv"))).alias("floor")))
+    return (top_n_per_group(partial, ["user_id"], [F.col("floor").desc(), F.col("_v").asc()], k)
+            .where(F.col("rank") == k).select("user_id", "floor"))
 
 
 def _joined(left: DataFrame, right: DataFrame | None) -> DataFrame:
@@ -157,9 +230,7 @@ def _joined(left: DataFrame, right: DataFrame | None) -> DataFrame:
     symmetric = right is None
 
     def side(rows: DataFrame, name: str) -> DataFrame:
-        norm = rows.groupBy("user_id").agg(F.sum(F.col("_q") * F.col("_q")).alias(f"_n{name}"))
-        return rows.join(norm, "user_id").select(F.col("user_id").alias(f"_u{name}"), "movie_id",
-                                                 F.col("_q").alias(f"_q{name}"), f"_n{name}")
+        return _with_norms(rows, f"_n{name}").select(F.col("user_id").alias(f"_u{name}"), "movie_id", F.col("_q").alias(f"_q{name}"), f"_n{name}")
 
     a = side(left, "a")
     b = side(left if symmetric else right, "b")
@@ -195,18 +266,22 @@ def _gridded(left: DataFrame, right: DataFrame | None, layout: Layout, top_k: in
     ship_package(spark)          # the cell kernel runs in the Python workers
     gl, gr = layout.left_blocks, layout.right_blocks
     symmetric = right is None
+    more = []
+    if layout.floors and symmetric and top_k is not None:
+        floors = similarity_floors(left, top_k)
+        left, more = left.join(floors, "user_id", "left").withColumn("_f", F.coalesce("floor", F.lit(0.0))), ["_f"]
     block = lambda n: F.pmod(F.xxhash64("user_id"), F.lit(n))
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     if symmetric:
         rep = left.withColumn("_b", block(gl)).withColumn("_o", every(gl)).select(
             F.least("_b", "_o").alias("_bi"), F.greatest("_b", "_o").alias("_bj"),
             F.when(F.col("_b") == F.col("_o"), 2).when(F.col("_b") < F.col("_o"), 0).otherwise(1).alias("_side"),
-            "user_id", "movie_id", "_q")
+            "user_id", "movie_id", "_q", *more)
     else:
         cols = ["_bi", "_bj", "_side", "user_id", "movie_id", "_q"]
         rep = (left.withColumn("_bi", block(gl)).withColumn("_bj", every(gr)).withColumn("_side", F.lit(0)).select(*cols)
                .unionByName(right.withColumn("_bj", block(gr)).withColumn("_bi", every(gl)).withColumn("_side", F.lit(1)).select(*cols)))
-    rep = rep.select((F.col("_bi") * gr + F.col("_bj")).alias("_cid"), "_side", "user_id", "movie_id", "_q")
+    rep = rep.select((F.col("_bi") * gr + F.col("_bj")).alias("_cid"), "_side", "user_id", "movie_id", "_q", *more)
     # Cells are alike in size: a run of cells a task, more tasks than cores.
     n_cells = gl * (gl + 1) // 2 if symmetric else gl * gr
     par = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
@@ -232,7 +307,7 @@ def cosine_similarity(cells: DataFrame, right: DataFrame | None = None, *,
     """
     lt = cells.select("user_id", "movie_id", scaled(F.col("rating")).alias("_q"))
     rt = None if right is None else right.select("user_id", "movie_id", scaled(F.col("rating")).alias("_q"))
-    layout = layout or plan_layout(cells.sparkSession, lt, rt)
+    layout = layout or plan_layout(cells.sparkSession, lt, rt, top_k)
     sims = _joined(lt, rt) if layout.join else _gridded(lt, rt, layout, top_k)
     if top_k is not None:
         # One ranked window merges what cells or partial sums have left of a user.
@@ -240,6 +315,16 @@ def cosine_similarity(cells: DataFrame, right: DataFrame | None = None, *,
     return sims
 
 
+def candidate_pairs(cells: DataFrame, k: int, layout: Layout | None = None) -> DataFrame:
+    """What a top-``k`` with floors passes on: (user_id, neighbor_id, similarity) of
+    the pairs that reach the user's floor, before any is ranked."""
+    rows = cells.select("user_id", "movie_id", scaled(F.col("rating")).alias("_q"))
+    layout = layout or plan_layout(cells.sparkSession, rows, None, k)
+    floors = similarity_floors(rows, k)
+    sims = _joined(rows, None) if layout.join else _gridded(rows, None, layout, None)
+    return sims.join(floors, "user_id", "left").where(F.col("similarity") >= F.coalesce("floor", F.lit(0.0))).drop("floor")
+
+
 def similarity_with_self(cells: DataFrame) -> DataFrame:
     """the similarity table with the diagonal kept (self = 1.0)."""
     sims = cosine_similarity(cells)

@@ -147,6 +147,46 @@ def test_every_route_gives_the_same_bits(spark, monkeypatch, chunk, grid):
     assert two[0] == two[1] == two[2] == {k: v for k, v in got[0].items() if k[0] < 9 <= k[1]}
 
 
+@pytest.mark.parametrize("limits", [{}, {"DENSE_MATRIX": 0}, {"DENSE_MATRIX": 0, "DENSE_CELL": 0}, {"DENSE_FLOPS": 1e9}])
+@pytest.mark.parametrize("scale", [500_000, 1, 10**9])
+def test_block_dot_is_exact(monkeypatch, limits, scale):
+    """Matrix product, array of sums, sorted sums; values past 2^53 in sum."""
+    for name, value in limits.items():
+        monkeypatch.setattr(Sim, name, value)
+    monkeypatch.setattr(Sim, "PAIR_CHUNK", 50)
+    rng = np.random.default_rng(3)
+    x, y = ((rng.integers(0, 11, (n, 30)) * (rng.random((n, 30)) < 0.4)).astype(object) for n in (9, 12))
+    odd = 0 if scale == 500_000 else 1                       # no common divisor
+    x, y = (np.where(m > 0, m * scale + odd, 0) for m in (x, y))
+    parts = []
+    for m in (x, y):
+        u, c = np.nonzero(m)
+        parts += [u, c, np.array([int(v) for v in m[u, c]], np.int64), len(m)]
+    li, ri, dot = Sim._block_dot(*parts)
+    want = x.dot(y.T)
+    got = np.zeros(want.shape, object)
+    got[li, ri] = [int(d) for d in dot]
+    assert (got == np.where(want < 2 ** 63, want, got)).all()
+
+
+@pytest.mark.parametrize("head", [1, 4, 100])
+def test_floors_keep_the_top_k(spark, monkeypatch, head):
+    """A top-k with floors has the rows of the full route to the bit, from fewer pairs."""
+    monkeypatch.setattr(Sim, "HEAD", head)
+    cells = spark.createDataFrame(random_cells(31, n_users=80, n_movies=60, density=0.12), "user_id long, movie_id long, rating double")
+    full = sorted(map(tuple, Sim.cosine_similarity(cells, top_k=4, layout=Sim.Layout(True)).collect()))
+    cut = Sim.cosine_similarity(cells, top_k=4, layout=Sim.Layout(False, 5, 5, floors=True))
+    assert sorted(map(tuple, cut.collect())) == full
+    passed = Sim.candidate_pairs(cells, 4, Sim.Layout(False, 5, 5))
+    pairs = {(r.user_id, r.neighbor_id): r.similarity for r in passed.collect()}
+    assert all(pairs[r[0], r[1]] == r[2] for r in full)
+    if head >= 4:
+        assert len(pairs) < Sim.cosine_similarity(cells).count()
+    floors = {r.user_id: r.floor for r in Sim.similarity_floors(cells.select("user_id", "movie_id", Sim.scaled(cells.rating).alias("_q")), 4).collect()}
+    fourth = {r[0]: r[2] for r in full if r[3] == 4}
+    assert floors and all(f <= fourth[u] for u, f in floors.items())
+
+
 def test_layout_follows_the_counted_cost(spark):
     s = "user_id long, movie_id long, rating double"
     sparse = spark.createDataFrame([(u, u // 2, 3.0) for u in range(400)], s)
