@@ -10,8 +10,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.ranking import dense_index, maybe_broadcast, top_n_per_group, with_dense_index
-from .similarity import cosine_similarity, similarity_with_self, top_neighbors
+from ..functions.exprs import with_scalars
+from ..functions.ranking import dense_index, maybe_broadcast, reliable_checkpoint, top_n_per_group, with_dense_index
+from .similarity import (Layout, candidate_pairs, cosine_similarity, plan_layout, similarity_with_self,
+                         top_neighbors)
 
 
 def rating_cells(ratings: DataFrame) -> DataFrame:
@@ -51,6 +53,44 @@ def rating_matrix(cells: DataFrame, movies: list[int] | None = None) -> DataFram
     return wide.na.fill(0.0)
 
 
+def matrix_blocks(cells: DataFrame, block_users: int = 512, block_movies: int = 2048) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """F2 beyond the pivot's limit: (blocks, user index, movie index).
+
+    The matrix as a table of compressed sparse row blocks, one row a block of
+    ``block_users`` x ``block_movies``: user_block, movie_block, rows (indexes inside
+    the block of the users that have ratings there), starts (where each one's
+    entries begin, and the end), columns and ratings.  No list of ids leaves the
+    cluster; a block holds at most block_users * block_movies entries.
+    """
+    users, _ = dense_index(cells.select("user_id").distinct(), ["user_id"], "user_idx")
+    movies, _ = dense_index(catalogue(cells), ["movie_id"], "movie_idx")
+    users, movies = (reliable_checkpoint(x) for x in (users, movies))
+    at = (cells.join(users, "user_id").join(movies, "movie_id")
+          .select(F.floor(F.col("user_idx") / block_users).alias("user_block"), F.floor(F.col("movie_idx") / block_movies).alias("movie_block"),
+                  (F.col("user_idx") % block_users).cast("int").alias("row"), (F.col("movie_idx") % block_movies).cast("int").alias("column"), "rating"))
+    lines = (at.groupBy("user_block", "movie_block", "row")
+             .agg(F.sort_array(F.collect_list(F.struct("column", "rating"))).alias("entries")))
+    blocks = lines.groupBy("user_block", "movie_block").agg(F.sort_array(F.collect_list(F.struct("row", "entries"))).alias("lines"))
+    sizes = F.transform("lines", lambda x: F.size(x["entries"]))
+    starts = F.aggregate(sizes, F.array(F.lit(0)), lambda acc, n: F.concat(acc, F.array(F.element_at(acc, -1) + n)))
+    entries = F.flatten(F.col("lines.entries"))
+    return blocks.select("user_block", "movie_block", F.col("lines.row").alias("rows"), starts.alias("starts"),
+                         F.transform(entries, lambda e: e["column"]).alias("columns"),
+                         F.transform(entries, lambda e: e["rating"]).alias("ratings")), users, movies
+
+
+def cells_of_blocks(blocks: DataFrame, users: DataFrame, movies: DataFrame, block_users: int = 512, block_movies: int = 2048) -> DataFrame:
+    """The cells (user_id, movie_id, rating) that :func:`matrix_blocks` was made from."""
+    line = blocks.select("user_block", "movie_block", "starts", "columns", "ratings", F.posexplode("rows").alias("nr", "row"))
+    first = F.get("starts", F.col("nr"))
+    size = F.get("starts", F.col("nr") + 1) - first
+    pairs = F.arrays_zip(F.slice("columns", first + 1, size).alias("column"), F.slice("ratings", first + 1, size).alias("rating"))
+    cells = line.select("user_block", "movie_block", "row", F.explode(pairs).alias("e")).select(
+        (F.col("user_block") * block_users + F.col("row")).alias("user_idx"),
+        (F.col("movie_block") * block_movies + F.col("e.column")).alias("movie_idx"), F.col("e.rating").alias("rating"))
+    return cells.join(users, "user_idx").join(movies, "movie_idx").select("user_id", "movie_id", "rating")
+
+
 def matrix_density(cells: DataFrame) -> DataFrame:
     """shape, non-zero cells, possible cells, density and sparsity."""
     s = cells.agg(F.count_distinct("user_id").cast("bigint").alias("n_users"),
@@ -79,6 +119,27 @@ def similar_users(cells: DataFrame, n: int = 5) -> DataFrame:
     return top_neighbors(cells, n)
 
 
+def similar_users_pruned(cells: DataFrame, n: int = 5) -> DataFrame:
+    """F7 by the grid with floors: the same rows as :func:`similar_users` to the bit,
+    of pairs that reach the user's floor (``similarity.similarity_floors``)."""
+    if n < 1:
+        raise ValueError("n must be >= 1")
+    layout = plan_layout(cells.sparkSession, cells, None, n)
+    return cosine_similarity(cells, top_k=n, layout=Layout(False, max(2, layout.left_blocks), max(2, layout.left_blocks), floors=True))
+
+
+def pruning_counts(cells: DataFrame, n: int = 5) -> DataFrame:
+    """What floors save in a top-``n``, one row: co_ratings (ordered pairs of ratings of
+    one movie, which a self-join would make), candidates (pairs that reach the
+    user's floor) and neighbours (pairs that are kept)."""
+    passed = reliable_checkpoint(candidate_pairs(cells, n))
+    co = cells.groupBy("movie_id").agg(F.count(F.lit(1)).alias("_n")).agg(F.coalesce(F.sum(F.col("_n") * (F.col("_n") - 1)), F.lit(0)).cast("bigint").alias("co_ratings"))
+    kept = passed.groupBy("user_id").agg(F.count(F.lit(1)).alias("_n")).agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("candidates"),
+        F.coalesce(F.sum(F.least("_n", F.lit(n))), F.lit(0)).cast("bigint").alias("neighbours"))
+    return with_scalars(co, kept)
+
+
 def similar_users_for(cells: DataFrame, requests: DataFrame, n: int = 5, max_n: int | None = None) -> DataFrame:
     """F7 for a request table (user_id): the ``n`` most similar users of just
     those users — a bipartite product of their vectors against all users, not

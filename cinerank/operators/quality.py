@@ -7,6 +7,7 @@ aggregation whatever the table size.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -28,11 +29,15 @@ def has_exact_columns(df: DataFrame, rules=RATING_RULES) -> bool:
     return set(df.columns) == {r.name for r in rules}
 
 
+def missing_columns(df: DataFrame, required) -> list[str]:
+    """V2: the required columns that ``df`` hasn't; extra columns are fine."""
+    return sorted(set(required) - set(df.columns))
+
+
 def require_columns(df: DataFrame, required) -> None:
-    """V2: required subset must be present; extra columns are fine."""
-    missing = set(required) - set(df.columns)
-    if missing:
-        raise ValueError(f"Missing columns: {sorted(missing)}")
+    """V2: required subset must be present."""
+    if missing := missing_columns(df, required):
+        raise ValueError(f"Missing columns: {missing}")
 
 
 def require_non_empty(df: DataFrame) -> None:
@@ -146,7 +151,12 @@ def validation_report(raw: DataFrame, rules=RATING_RULES) -> DataFrame:
     if not has_exact_columns(raw, rules):
         return raw.sparkSession.createDataFrame(
             [(None, None, None, None, None, COLUMNS_ERROR)], _REPORT_SCHEMA)
-    c = coerce_types(raw, rules)
+    return report_row(coerce_types(raw, rules).agg(*report_counts(rules)))
+
+
+def report_counts(rules=RATING_RULES) -> list[Column]:
+    """The counts behind V7's report, over coerced rows: for one aggregate, or for
+    ``observe`` while the rows are written."""
     dtype_err = reduce(lambda a, b: a + b, [
         F.count_if(is_missing(r.name) if r.dtype == "float64" else F.col(r.name).isNull())
         for r in rules])
@@ -154,15 +164,19 @@ def validation_report(raw: DataFrame, rules=RATING_RULES) -> DataFrame:
     not_null = reduce(lambda a, b: a & b, [
         (~is_missing(r.name) if r.dtype == "float64" else F.col(r.name).isNotNull())
         for r in rules if not r.nullable])
-    agg = c.agg(
+    return [
         dtype_err.cast("bigint").alias("dtype_errors"),
         F.count_if(~in_all).cast("bigint").alias("range_violations"),
         F.count_if(in_all & ~not_null).cast("bigint").alias("null_violations"),
         F.count_if(in_all & not_null).cast("bigint").alias("rows_retained"),
-        F.count_if(_int_failures(rules)).alias("_int_fail"),
-    )
+        F.count_if(_int_failures(rules)).cast("bigint").alias("_int_fail"),
+    ]
+
+
+def report_row(counts: DataFrame) -> DataFrame:
+    """V7's report from one row of :func:`report_counts`."""
     ok = F.col("_int_fail") == 0
-    return agg.select(
+    return counts.select(
         F.when(ok, F.col("dtype_errors") + F.col("range_violations") + F.col("null_violations"))
         .alias("total_errors"),
         *[F.when(ok, F.col(n)).alias(n) for n in
@@ -282,7 +296,8 @@ def fail_on_int_errors(raw: DataFrame, rules=RATING_RULES) -> DataFrame:
 
 
 def ingest_strict(raw: DataFrame, order_cols=("timestamp",), rules=RATING_RULES,
-                  keep=None, on_int_error: str = "fail") -> DataFrame:
+                  keep=None, on_int_error: str = "fail",
+                  observe: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Type the rows, dedup (latest), then range + null checks.  Typing
     comes first, so that times and ids compare as numbers (text '978300000' is
     older than '1100000000', and '1', '01' and '1.0' are one id); validation comes
@@ -291,14 +306,16 @@ def ingest_strict(raw: DataFrame, order_cols=("timestamp",), rules=RATING_RULES,
     ``on_int_error``: 'fail' (the reference: an unparsable int aborts the
     whole ingest) or 'drop' (such rows are removed with the range rules).
     ``raw`` may carry tie-break columns (``order_cols``); the result keeps the
-    rule columns plus ``keep``.
+    rule columns plus ``keep``.  ``observe`` may count the deduplicated rows on
+    their way; it stands after the last shuffle, so that tasks run again don't count
+    twice.
     """
     if on_int_error not in ("fail", "drop"):
         raise ValueError("on_int_error must be 'fail' or 'drop'")
     if on_int_error == "fail":
         raw = fail_on_int_errors(raw, rules)
     latest = dedup_latest(coerce_types(raw, rules), order_cols)
-    clean = validated_rows(latest, rules)
+    clean = validated_rows(observe(latest) if observe else latest, rules)
     return clean.select(*[r.name for r in rules], *(keep or []))
 
 

@@ -7,6 +7,8 @@ exploded next to it (a bounded fan-out of len(K), not a join).
 
 from __future__ import annotations
 
+import hashlib
+import json
 import time
 import uuid
 
@@ -17,7 +19,9 @@ from pyspark.sql import types as T
 from ..functions.exprs import clip
 from ..functions.ranking import with_dense_index
 from ..schema import DEFAULT_RATING, K_VALUES, RATING_CLIP
+from ..sources import commit
 from . import knn
+from .quality import dedup_first
 
 
 def _k_list(k_values):
@@ -122,10 +126,28 @@ RUN_SCHEMA = T.StructType([
 
 
 class RunLog:
-    """Append-only parquet run table: one row per (experiment, run)."""
+    """Run table with one row per (experiment, run id), shared by many writers.
+
+    Runs are staged as a Parquet folder of their own and count once a small file
+    that names the folder is published (renamed without overwriting).  A run that is
+    logged again, later or by another writer at the same time, stays what the
+    first commit made it; a writer that dies before its commit leaves nothing
+    that is read.
+    """
 
     def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path
+        self.spark, self.path = spark, path.rstrip("/")
+
+    def append(self, runs: DataFrame, commit_id: str | None = None) -> bool:
+        """Log the rows of ``runs`` (RUN_SCHEMA); False if ``commit_id`` was
+        committed before (nothing is added)."""
+        commit_id = commit_id or uuid.uuid4().hex
+        name = f"{commit_id}.json"
+        if name in commit.names(self.spark, f"{self.path}/commits"):
+            return False
+        folder = f"runs/{uuid.uuid4().hex}"
+        runs.select(*RUN_SCHEMA.fieldNames()).write.parquet(f"{self.path}/{folder}")
+        return commit.publish(self.spark, f"{self.path}/commits/{name}", {"folder": folder, "at": time.time()})
 
     def log(self, experiment: str, params: dict, metrics: dict, tags: dict,
             run_id: str | None = None) -> str:
@@ -133,11 +155,20 @@ class RunLog:
         row = (experiment, run_id, {k: str(v) for k, v in params.items()},
                {k: float(v) for k, v in metrics.items()}, {k: str(v) for k, v in tags.items()},
                time.time())
-        self.spark.createDataFrame([row], RUN_SCHEMA).write.mode("append").parquet(self.path)
+        # the commit is the run's: of two writers of one run the first one's row stays
+        key = hashlib.md5(json.dumps([experiment, run_id]).encode()).hexdigest()
+        self.append(self.spark.createDataFrame([row], RUN_SCHEMA), f"run-{key}")
         return run_id
 
     def runs(self) -> DataFrame:
-        return self.spark.read.schema(RUN_SCHEMA).parquet(self.path)
+        """Committed runs; of a run that several commits hold, the first commit's."""
+        commits = f"{self.path}/commits"
+        if not commit.names(self.spark, commits):
+            return self.spark.createDataFrame([], RUN_SCHEMA)
+        order = self.spark.read.schema("folder string, at double").json(commits)
+        rows = (self.spark.read.schema(RUN_SCHEMA).parquet(f"{self.path}/runs/*")
+                .withColumn("folder", F.regexp_extract(F.col("_metadata.file_path"), "/(runs/[0-9a-f]+)/[^/]*$", 1)))
+        return dedup_first(rows.join(order, "folder"), ("at", "folder"), ("experiment", "run_id")).select(*RUN_SCHEMA.fieldNames())
 
     def comparison(self, experiment: str) -> DataFrame:
         """M16 over the log: run_id, k_value, rmse, mae, coverage, training_time, status."""
@@ -150,6 +181,17 @@ class RunLog:
             F.col("tags")["status"].alias("status")))
 
 
+def log_rows(runs: DataFrame, experiment: str) -> DataFrame:
+    """Rows for :meth:`RunLog.append` of a run table (``runs_from_sweep``)."""
+    text = lambda c: F.col(c).cast("string")
+    metrics = F.map_from_arrays(F.array(*map(F.lit, ("rmse", "mae", "coverage"))), F.array("rmse", "mae", "coverage"))
+    return runs.select(F.lit(experiment).alias("experiment"), "run_id",
+                       F.create_map(F.lit("k_neighbors"), text("k_value")).alias("params"),
+                       F.map_filter(metrics, lambda _, v: v.isNotNull()).alias("metrics"),
+                       F.create_map(F.lit("status"), F.col("status")).alias("tags"),
+                       F.unix_timestamp().cast("double").alias("logged_at"))
+
+
 def log_sweep(log: RunLog, sweep_rows: list, experiment: str, seconds: float,
               test_size: float = 0.2, random_state: int = 42) -> list[str]:
     """Log each K of a collected sweep (a handful of rows) as one run."""

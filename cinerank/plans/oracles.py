@@ -151,7 +151,7 @@ def _rules_case(rules=REF_RULES) -> str:
     return f"CASE {whens} END"
 
 
-def _validation_report(rdc: str) -> str:
+def _validation_report(rdc: str, source: str = "rdc") -> str:
     not_null = "user_id IS NOT NULL AND movie_id IS NOT NULL AND NOT coalesce(isnan(rating), true) AND timestamp IS NOT NULL"
     return _with(rdc, f"""agg AS (SELECT
    count_if(user_id IS NULL) + count_if(movie_id IS NULL) + count_if(rating IS NULL OR isnan(rating))
@@ -159,7 +159,7 @@ def _validation_report(rdc: str) -> str:
    count_if(NOT ({_all_in()})) AS range_violations,
    count_if(({_all_in()}) AND NOT ({not_null})) AS null_violations,
    count_if(({_all_in()}) AND ({not_null})) AS rows_retained,
-   count_if(user_id IS NULL OR movie_id IS NULL OR timestamp IS NULL) AS int_fail FROM rdc)""") + """
+   count_if(user_id IS NULL OR movie_id IS NULL OR timestamp IS NULL) AS int_fail FROM {source})""") + """
 SELECT CAST(CASE WHEN int_fail = 0 THEN dtype_errors + range_violations + null_violations END AS BIGINT) AS total_errors,
        CAST(CASE WHEN int_fail = 0 THEN dtype_errors END AS BIGINT) AS dtype_errors,
        CAST(CASE WHEN int_fail = 0 THEN range_violations END AS BIGINT) AS range_violations,
@@ -500,6 +500,51 @@ FROM pu GROUP BY 1"""
     o["prepare_features_lookups"] = _with(R1, cells_of("r1"), sims_of(), NB) + \
         """SELECT user_id, neighbor_id, similarity, CAST(rank AS BIGINT) AS rank FROM nb WHERE rank <= 3
 AND user_id IN (SELECT DISTINCT user_id FROM cells ORDER BY user_id LIMIT 3)"""
+    deduped = RDC + ",\n" + latest + ",\ndd AS (SELECT user_id, movie_id, rating, timestamp FROM d WHERE rn = 1)"
+    o["ingest_strict_written"] = o["ingest_strict"]
+    o["ingest_strict_report"] = f"SELECT * EXCLUDE (error) FROM ({_validation_report(deduped, 'dd')})"
+    bad = "event_id % 89 = 0 OR event_id % 83 = 0 OR event_id % 97 = 0 OR event_id % 101 = 0"
+    o["quarantine_rows"] = _with(R1_RAW) + f"""SELECT user_id, movie_id, CASE WHEN event_id % 103 <> 0 THEN rating END AS rating, timestamp
+FROM r1_raw WHERE NOT ({bad})"""
+    o["quarantine_rejects"] = _with(R1_RAW, """t AS (SELECT event_id,
+        CASE WHEN event_id % 101 = 0 THEN 'x' ELSE CAST(user_id AS VARCHAR) END || chr(9) || CAST(movie_id AS VARCHAR) || chr(9)
+          || CASE WHEN event_id % 97 = 0 THEN 'n/a' WHEN event_id % 103 = 0 THEN '' ELSE CAST(rating AS VARCHAR) END AS three, timestamp FROM r1_raw)""") + \
+        f"""SELECT CASE WHEN event_id % 89 = 0 THEN three WHEN event_id % 83 = 0 THEN three || chr(9) || CAST(timestamp AS VARCHAR) || chr(9) || '7'
+            ELSE three || chr(9) || CAST(timestamp AS VARCHAR) END AS line,
+       CASE WHEN event_id % 89 = 0 THEN '3 fields instead of 4' WHEN event_id % 83 = 0 THEN '5 fields instead of 4'
+            WHEN event_id % 101 = 0 THEN 'user_id does not parse' ELSE 'rating does not parse' END AS reason
+FROM t WHERE {bad}"""
+    o["dedup_latest_merged"] = o["dedup_latest"]
+    o["user_index_incremental"] = _with(R1_RAW, "f AS (SELECT user_id, min(event_id % 3) AS l FROM r1_raw GROUP BY user_id)") + \
+        "SELECT user_id, CAST(row_number() OVER (ORDER BY l, user_id) - 1 AS BIGINT) AS user_idx FROM f"
+    o["dataset_summary_merged"] = o["dataset_summary"]
+    o["error_percentiles_merged"] = o["error_percentiles"]
+    o["run_log"] = o["run_leaderboard"]
+    o["run_comparison_round_trip"] = f"SELECT * EXCLUDE (leaderboard_rank) FROM ({o['run_leaderboard']})"
+    o["model_metadata"] = f"WITH t AS ({o['train_report']})" + " UNION ALL ".join(
+        f" SELECT '{name}' AS name, CAST({value} AS DOUBLE) AS value FROM t" for name, value in (
+            ("k", "k"), ("use_similarity_weights", "CASE WHEN use_similarity_weights THEN 1 ELSE 0 END"), ("default_rating", "3.0"),
+            ("n_train", "n_train"), ("n_val", "n_val"), ("train_share", "0.8"), ("rmse", "rmse"), ("mae", "mae")))
+    some = "(SELECT count(*) > 0 FROM r1_raw)"
+    o["structural_checks"] = _with(R1_RAW) + " UNION ALL ".join(
+        f"SELECT '{name}' AS name, {exact} AS exact_columns, {needed} AS required_columns, {rows} AS non_empty" for name, exact, needed, rows in (
+            ("raw", "false", "true", some), ("ratings", "true", "true", some), ("no_timestamp", "false", "false", some),
+            ("none_over_five", "true", "true", "(SELECT count(*) > 0 FROM r1_raw WHERE rating > 100)")))
+    o["similar_users_pruned"] = o["similar_users"]
+    o["similar_users_candidates"] = _with(R2, cells_of("r2"), sims_of(), """heads AS (SELECT * FROM (
+        SELECT movie_id, user_id AS v, q, n2, row_number() OVER (PARTITION BY movie_id ORDER BY q / sqrt(n2) DESC, user_id) AS rn
+        FROM sim_q JOIN sim_n2 USING (user_id)) WHERE rn <= 4)""", """part AS (
+        SELECT a.user_id, v, CAST(sum(a.q * h.q) AS DOUBLE) AS dot, max(n.n2) AS nu, max(h.n2) AS nv
+        FROM sim_q a JOIN heads h ON a.movie_id = h.movie_id AND a.user_id <> h.v JOIN sim_n2 n ON n.user_id = a.user_id GROUP BY a.user_id, v)""",
+                                          """floors AS (SELECT user_id, floor FROM (SELECT user_id, dot / (sqrt(nu) * sqrt(nv)) AS floor,
+        row_number() OVER (PARTITION BY user_id ORDER BY dot / (sqrt(nu) * sqrt(nv)) DESC, v) AS rn FROM part) WHERE rn = 5)""",
+                                          """passed AS (SELECT s.user_id, count(*) AS n FROM sim s LEFT JOIN floors f ON s.user_id = f.user_id
+        WHERE similarity >= coalesce(floor, 0.0) GROUP BY s.user_id)""",
+                                          "co AS (SELECT count(*) AS n FROM cells GROUP BY movie_id)") + """
+SELECT (SELECT CAST(sum(n * (n - 1)) AS BIGINT) FROM co) AS co_ratings, CAST(sum(n) AS BIGINT) AS candidates,
+       CAST(sum(least(n, 5)) AS BIGINT) AS neighbours FROM passed"""
+    o["matrix_blocks"] = _with(R2, cells_of("r2")) + "SELECT user_id, movie_id, rating FROM cells"
+    o["user_vector_lookup"] = f"SELECT * FROM ({o['user_vector']}) WHERE user_id = (SELECT min(user_id) FROM ({o['user_profile']}))"
     o["gen_ratings"] = _with(f"""u AS (SELECT event_id,
         {_unif(1)} AS u1, {_unif(2)} AS u2, {_unif(3)} AS u3, {_unif(4)} AS u4, {_unif(5)} AS u5 FROM events)""") + \
         """SELECT CAST(floor(u1 * 189) + 1 AS BIGINT) AS user_id, CAST(floor(u2 * 100) + 1 AS BIGINT) AS movie_id,

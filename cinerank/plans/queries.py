@@ -11,10 +11,12 @@ from pyspark.sql import functions as F
 
 from ..operators import evaluate as E
 from ..operators import features as Fe
+from ..operators import incremental as I
 from ..operators import knn, quality as Q, split as S, tuning as T
-from ..schema import K_VALUES
-from ..functions.ranking import stage_folder
+from ..schema import K_VALUES, RATING_COLUMNS
+from ..functions.ranking import reliable_checkpoint, stage_folder
 from ..sources import derive, files, store, synthetic
+from ..sources.merge import KeyedTable
 from . import context as C
 from . import workflows as W
 
@@ -381,6 +383,128 @@ def prepare_features_lookups(spark, sf):
     return W.prepare_features(C.r1_clean(spark, sf), f"{stage_folder(spark)}/features")[3]
 
 
+# --- one pass, once, and per load ------------------------------------------------------
+
+def ingest_strict_written(spark, sf):
+    # output and report from one run of the plan (observe); the rows as stored
+    folder = stage_folder(spark)
+    return W.ingest_strict(derive.rd_raw(spark, sf), ("timestamp", "event_id"), f"{folder}/clean", f"{folder}/report")
+
+
+def ingest_strict_report(spark, sf):
+    folder = stage_folder(spark)
+    W.ingest_strict(derive.rd_raw(spark, sf), ("timestamp", "event_id"), f"{folder}/clean", f"{folder}/report")
+    return files.read_report(spark, f"{folder}/report").select("total_errors", "dtype_errors", "range_violations", "null_violations", "rows_retained")
+
+
+def _quarantined(spark, sf):
+    folder = stage_folder(spark)
+    derive.rating_lines(spark, sf).write.text(f"{folder}/lines")
+    return files.read_quarantined(spark, f"{folder}/lines", f"{folder}/landed", header=False)
+
+
+def quarantine_rows(spark, sf):
+    return _quarantined(spark, sf)[0]
+
+
+def quarantine_rejects(spark, sf):
+    return _quarantined(spark, sf)[1].select("line", "reason")
+
+
+def _loads(rows: DataFrame, of: str) -> list[DataFrame]:
+    return [rows.where(F.col(of) % 3 == k) for k in range(3)]
+
+
+def dedup_latest_merged(spark, sf):
+    # V11 over three loads, one of them replayed
+    table = KeyedTable(spark, f"{stage_folder(spark)}/ratings", order_cols=derive.R1_ORDER, buckets=16)
+    loads = _loads(derive.r1_raw(spark, sf), "event_id")
+    for name, load in zip(("a", "b", "c", "b"), (*loads, loads[1])):
+        table.merge(name, load)
+    return table.read()
+
+
+def user_index_incremental(spark, sf):
+    dictionary = None
+    for load in _loads(derive.r1_raw(spark, sf), "event_id"):
+        dictionary = I.extend_dictionary(dictionary, load, "user_id", "user_idx")
+    return dictionary
+
+
+def dataset_summary_merged(spark, sf):
+    states = [reliable_checkpoint(I.distinct_state(load, ["user_id", "movie_id"])) for load in _loads(C.r1_clean(spark, sf), "user_id")]
+    return _round(I.summary_of(I.merge_distinct(*states)))
+
+
+def error_percentiles_merged(spark, sf):
+    errors = reliable_checkpoint(C.scored_val(spark, sf).select("movie_id", F.abs(F.col("rating") - F.col("prediction")).alias("error")))
+    states = [reliable_checkpoint(I.quantile_state(load, "error")) for load in _loads(errors, "movie_id")]
+    return _round(I.quantiles_of(reliable_checkpoint(I.merge_quantiles(*states)), errors, "error", E.PERCENTILES))
+
+
+def run_log(spark, sf):
+    # Every run logged twice, by two writers
+    sweep = reliable_checkpoint(T.runs_from_sweep(_swept(spark, sf)))
+    runs = T.log_rows(sweep, "knn_sweep")
+    path = f"{stage_folder(spark)}/log"
+    for writer in range(2):
+        T.RunLog(spark, path).append(runs, f"writer-{writer}")
+    return _round(T.RunLog(spark, path).comparison("knn_sweep").drop("training_time"))
+
+
+def run_comparison_round_trip(spark, sf):
+    # The comparison file
+    path = f"{stage_folder(spark)}/comparison"
+    files.write_run_comparison(T.runs_from_sweep(_swept(spark, sf)), path)
+    return _round(spark.read.option("header", True).schema("run_id string, k_value long, rmse double, mae double, coverage double, status string").csv(path))
+
+
+def model_metadata(spark, sf):
+    # M17's metadata document (S5, S6) and the model's own parameters (M4), as name and value
+    folder = stage_folder(spark)
+    cells = C.r1_cells(spark, sf)
+    W.train(spark, cells, cells, tune=True, output=f"{folder}/run")
+    meta = files.read_json_dict(spark, f"{folder}/run/metadata")
+    stored = store.load_model(f"{folder}/run/model", spark).config()
+    values = {"k": stored["k"], "use_similarity_weights": stored["use_similarity_weights"], "default_rating": stored["default_rating"],
+              "n_train": meta["training"]["n_train"], "n_val": meta["training"]["n_val"], "train_share": meta["split"]["train_share"],
+              "rmse": meta["evaluation"]["rmse"], "mae": meta["evaluation"]["mae"]}
+    return _round(spark.createDataFrame([(k, float(v)) for k, v in values.items()], "name string, value double"))
+
+
+def structural_checks(spark, sf):
+    # V1-V3 as rows: what the ingest asks of a table before it reads it
+    raw = derive.r1_raw(spark, sf)
+    found = [("raw", raw), ("ratings", raw.select(*RATING_COLUMNS)), ("no_timestamp", raw.drop("timestamp", "event_id")),
+             ("none_over_five", raw.select(*RATING_COLUMNS).where("rating > 100"))]
+    return spark.createDataFrame([(name, Q.has_exact_columns(df), not Q.missing_columns(df, RATING_COLUMNS), not df.isEmpty()) for name, df in found],
+                                 "name string, exact_columns boolean, required_columns boolean, non_empty boolean")
+
+
+def similar_users_pruned(spark, sf):
+    # F7 where each cell passes on only pairs that reach their user's floor
+    cells = C.r2_cells(spark, sf)
+    return Fe.similar_users_pruned(cells, 5)
+
+
+def similar_users_candidates(spark, sf):
+    cells = C.r2_cells(spark, sf)
+    return Fe.pruning_counts(cells, 5)
+
+
+def matrix_blocks(spark, sf):
+    # F2 for a catalogue over the pivot's limit: the cells that the blocks hold
+    return Fe.cells_of_blocks(*Fe.matrix_blocks(C.r2_cells(spark, sf)))
+
+
+def user_vector_lookup(spark, sf):
+    # F8 for one user, from the store that holds all of them
+    cells = C.r1_cells(spark, sf)
+    path = f"{stage_folder(spark)}/vectors"
+    store.save_vectors(Fe.user_vectors(cells), path)
+    return store.lookup_scan(spark, path, cells.agg(F.min("user_id")).first()[0])
+
+
 def gen_ratings(spark, sf):
     return synthetic.ratings_from_rows(derive.table(spark, sf, "events").select("event_id"))
 

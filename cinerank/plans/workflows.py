@@ -9,7 +9,7 @@ import uuid
 import warnings
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.exprs import with_scalars
@@ -25,16 +25,25 @@ from ..sources import files, store
 
 def ingest_strict(raw: DataFrame, order_cols=("timestamp",), output: str | None = None,
                   report_path: str | None = None, on_int_error: str = "fail") -> DataFrame:
-    """Dedup latest -> validate (coerce, ranges, nulls) -> save.  The
-    report is computed on the same deduplicated rows.  With the default
-    ``on_int_error='fail'`` an unparsable int id aborts the write."""
-    clean = Q.ingest_strict(raw, order_cols, on_int_error=on_int_error)
-    if output:
-        files.write_ratings(clean, output)
+    """Dedup latest -> validate (coerce, ranges, nulls) -> save.  The report is
+    about the same deduplicated rows: with an output, it is counted while they are
+    written (``observe``), so the input is scanned once; the result then reads the
+    output.  With the default ``on_int_error='fail'`` an unparsable int id aborts
+    the write."""
+    if not output:
+        clean = Q.ingest_strict(raw, order_cols, on_int_error=on_int_error)
+        if report_path:
+            deduped = Q.dedup_latest(Q.coerce_types(raw), order_cols).select(*RATING_COLUMNS)
+            files.write_report(Q.validation_report(deduped), report_path)
+        return clean
+    seen = Observation()
+    files.write_ratings(Q.ingest_strict(raw, order_cols, on_int_error=on_int_error,
+                                        observe=lambda rows: rows.observe(seen, *Q.report_counts())), output)
     if report_path:
-        deduped = Q.dedup_latest(Q.coerce_types(raw), order_cols).select(*RATING_COLUMNS)
-        files.write_report(Q.validation_report(deduped), report_path)
-    return clean
+        counts = seen.get
+        row = raw.sparkSession.createDataFrame([tuple(counts.values())], ", ".join(f"{c} bigint" for c in counts))
+        files.write_report(Q.report_row(row), report_path)
+    return raw.sparkSession.read.parquet(output)
 
 
 def ingest_simple(raw: DataFrame, output: str | None = None) -> DataFrame:

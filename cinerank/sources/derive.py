@@ -96,6 +96,19 @@ def rt_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_id")
 
 
+def rating_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R1 as tab-separated lines (one column, value), some malformed: three fields
+    where event_id % 89 = 0, five where % 83 = 0, an unparsable rating where % 97 = 0
+    or user id where % 101 = 0; the rating is empty where % 103 = 0."""
+    r = r1_raw(spark, sf_dir)
+    e = F.col("event_id")
+    user = F.when(e % 101 == 0, F.lit("x")).otherwise(F.col("user_id").cast("string"))
+    rating = F.when(e % 97 == 0, F.lit("n/a")).when(e % 103 == 0, F.lit("")).otherwise(F.col("rating").cast("string"))
+    whole = F.concat_ws("\t", user, F.col("movie_id").cast("string"), rating, F.col("timestamp").cast("string"))
+    return r.select(F.when(e % 89 == 0, F.concat_ws("\t", user, F.col("movie_id").cast("string"), rating))
+                    .when(e % 83 == 0, F.concat(whole, F.lit("\t7"))).otherwise(whole).alias("value"))
+
+
 def requests_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prediction requests: the raw event ids (no +1 shift), so id 0 — unknown
     to every model and rejected by the request rules — occurs naturally."""

@@ -7,13 +7,16 @@ data); writes are directory outputs so every task writes its own part file.
 from __future__ import annotations
 
 import json
+import uuid
 import warnings
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schema import RATINGS_SCHEMA
+from . import commit
 
 
 def _not_found(err: Exception) -> bool:
@@ -51,16 +54,61 @@ def read_ratings_text(spark: SparkSession, path: str, sep: str = ",") -> DataFra
         raise
 
 
-def write_ratings(df: DataFrame, path: str, fmt: str = "parquet", sep: str = ",") -> None:
+def read_quarantined(spark: SparkSession, path: str, landing: str, sep: str = "\t", schema=RATINGS_SCHEMA,
+                     header: bool = True) -> tuple[DataFrame, DataFrame]:
+    """S1/V4 for files with malformed lines: (rows, rejects).
+
+    One permissive scan lands both under ``landing``: the typed rows, and every
+    line that has other than the schema's fields or a value that does not parse,
+    as (file, line, reason).  Each line (but headers and blank ones) is in one of
+    the two; an empty field is a null, not an error.  ``read_ratings_tsv`` (fail on
+    the first such line) stays the default.
+    """
+    names = [f.name for f in schema.fields]
+    typed = T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields] + [T.StructField("_line", T.StringType(), True)])
+    try:
+        scan = (spark.read.schema(typed).option("header", header).option("sep", sep).option("mode", "PERMISSIVE")
+                .option("columnNameOfCorruptRecord", "_line").csv(path))
+    except AnalysisException as e:
+        if _not_found(e):
+            raise FileNotFoundError(f"no such ratings file: {path}") from e
+        raise
+    parts = F.split("_line", f"\\Q{sep}\\E", -1)
+    why = F.when(F.size(parts) != len(names), F.concat(F.size(parts).cast("string"), F.lit(f" fields instead of {len(names)}")))
+    for i, f in enumerate(schema.fields):
+        value = F.get(parts, F.lit(i))
+        why = why.when((value != "") & value.try_cast(f.dataType).isNull(), F.lit(f"{f.name} does not parse"))
+    landed = scan.withColumn("_file", F.col("_metadata.file_name")).withColumn("_rejected", F.col("_line").isNotNull())
+    # All columns are read and landed: a pruned CSV scan doesn't check what it skips.
+    (landed.withColumn("_reason", F.when(F.col("_rejected"), F.coalesce(why, F.lit("malformed"))))
+     .select(*names, "_line", "_file", "_reason", "_rejected")
+     .write.mode("overwrite").partitionBy("_rejected").parquet(landing))
+    stored = spark.read.schema(T.StructType(typed.fields + [T.StructField(c, T.StringType()) for c in ("_file", "_reason")]
+                                            + [T.StructField("_rejected", T.BooleanType())])).parquet(landing)
+    return (stored.where(~F.col("_rejected")).select(*names),
+            stored.where("_rejected").select(F.col("_file").alias("file"), F.col("_line").alias("line"), F.col("_reason").alias("reason")))
+
+
+def write_ratings(df: DataFrame, path: str, fmt: str = "parquet", sep: str = ",") -> int:
     """S3: write cleaned ratings (parquet by default, or CSV with header); a table
-    without rows is an error: nothing was cleaned."""
-    if df.isEmpty():
-        raise ValueError("nothing to save: no rating passed the checks")
-    w = df.write.mode("overwrite")
+    without rows is an error: nothing was cleaned, and what lies at ``path`` stays.
+
+    The rows are counted while they are written, to a folder beside ``path`` that
+    takes its place at the end: the plan runs once.  Returns their number.
+    """
+    spark, seen = df.sparkSession, Observation()
+    staged = f"{path.rstrip('/')}.staged-{uuid.uuid4().hex}"
+    w = df.observe(seen, F.count(F.lit(1)).alias("n")).write
     if fmt == "csv":
-        w.option("header", True).option("sep", sep).csv(path)
+        w.option("header", True).option("sep", sep).csv(staged)
     else:
-        w.parquet(path)
+        w.parquet(staged)
+    n = seen.get["n"]
+    if not n:
+        commit.file_system(spark, staged).delete(commit.hadoop_path(spark, staged), True)
+        raise ValueError("nothing to save: no rating passed the checks")
+    commit.move_over(spark, staged, path)
+    return n
 
 
 def write_report(report: DataFrame, path: str) -> bool:

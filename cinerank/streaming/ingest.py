@@ -24,6 +24,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import quality as Q
 from ..schema import RATING_COLUMNS, RATING_RULES, string_schema
+from ..sources.merge import KeyedTable
 
 
 def read_stream(spark: SparkSession, source_dir: str, sep: str = "\t",
@@ -35,7 +36,28 @@ def read_stream(spark: SparkSession, source_dir: str, sep: str = "\t",
     return r.csv(source_dir)
 
 
-def _land(landing_dir: str, report_dir: str, rules=RATING_RULES):
+#: Columns and order of a current table that micro-batches are merged into.
+MERGE_ORDER = ("timestamp", "epoch", "valid")
+
+
+def current_table(spark: SparkSession, path: str, buckets: int = 64) -> KeyedTable:
+    """The table for ``merge_into``: the latest row of each pair over all batches,
+    valid or not."""
+    return KeyedTable(spark, path, order_cols=MERGE_ORDER, buckets=buckets)
+
+
+def merged_ratings(table: KeyedTable) -> DataFrame:
+    """The cleaned ratings of a merged table: as :func:`current_ratings`, without
+    deduplicating all that ever landed."""
+    return table.read().where("valid").select(*RATING_COLUMNS)
+
+
+def _land(landing_dir: str, report_dir: str, rules=RATING_RULES, merge_into: KeyedTable | None = None):
+    def merge(batch: DataFrame, epoch_id: int) -> None:
+        typed = batch.sparkSession.read.parquet(f"{landing_dir}/_epoch={epoch_id}")
+        rows = typed.where(F.col("user_id").isNotNull() & F.col("movie_id").isNotNull()).withColumn("epoch", F.lit(epoch_id).cast("long"))
+        merge_into.merge(f"epoch-{epoch_id}", rows)          # a batch run again has the same id
+
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
         # Invalid rows are landed too (flagged): an older valid rating must not
         # resurface when the latest one for the pair is invalid.
@@ -44,14 +66,17 @@ def _land(landing_dir: str, report_dir: str, rules=RATING_RULES):
             f"{landing_dir}/_epoch={epoch_id}")
         Q.validation_report(batch, rules).withColumn("epoch", F.lit(epoch_id)) \
             .write.mode("overwrite").json(f"{report_dir}/_epoch={epoch_id}")
+        if merge_into is not None:
+            merge(batch, epoch_id)
     return per_batch
 
 
 def start_ingest(stream: DataFrame, landing_dir: str, report_dir: str, checkpoint_dir: str,
-                 available_now: bool = True, processing_time: str | None = None) -> StreamingQuery:
+                 available_now: bool = True, processing_time: str | None = None, merge_into: KeyedTable | None = None) -> StreamingQuery:
     """Start the landing query.  ``checkpoint_dir`` must be on shared storage
-    on a cluster (it holds the source offsets and the commit log)."""
-    w = (stream.writeStream.foreachBatch(_land(landing_dir, report_dir))
+    on a cluster (it holds the source offsets and the commit log).  With
+    ``merge_into`` each batch is merged into that table as well (:func:`current_table`)."""
+    w = (stream.writeStream.foreachBatch(_land(landing_dir, report_dir, merge_into=merge_into))
          .option("checkpointLocation", checkpoint_dir))
     w = w.trigger(availableNow=True) if available_now else w.trigger(
         processingTime=processing_time or "1 minute")

@@ -54,3 +54,21 @@ def test_stream_batch_with_bad_int(spark):
     assert rep.error == "Datatype conversion failed"
     # the unparsable id can never be keyed; the valid row of the batch is kept
     assert sorted(tuple(r) for r in S.current_ratings(spark, landing).collect()) == [(2, 1, 3.0, t)]
+
+
+def test_stream_merges_into_a_current_table(spark):
+    """The merged table after each batch equals the dedup over all that landed."""
+    root = tempfile.mkdtemp(prefix="cinerank-stream-")
+    src, landing, reports, ckpt = (os.path.join(root, d) for d in ("in", "landing", "reports", "ckpt"))
+    os.makedirs(src)
+    table = S.current_table(spark, os.path.join(root, "current"), buckets=4)
+    t = 978300000
+    for name, rows in (("a", [(1, 1, 4.0, t), (1, 2, 3.5, t), ("x", 1, 1.0, t), (3, 1, 2.0, t)]),
+                       ("b", [(1, 1, 9.0, t + 5), (1, 2, 5.0, t + 5), (3, 1, 1.0, t - 5)]), ("c", [(1, 1, 4.5, t + 9)])):
+        write(os.path.join(src, f"{name}.tsv"), rows)
+        q = S.start_ingest(S.read_stream(spark, src, max_files_per_trigger=1), landing, reports, ckpt, merge_into=table)
+        q.awaitTermination(120)
+        got = sorted(tuple(r) for r in S.merged_ratings(table).collect())
+        assert got == sorted(tuple(r) for r in S.current_ratings(spark, landing).collect())
+    assert got == [(1, 1, 4.5, t + 9), (1, 2, 5.0, t + 5), (3, 1, 2.0, t)]
+    assert table.manifest()["loads"] == ["epoch-0", "epoch-1", "epoch-2"]
