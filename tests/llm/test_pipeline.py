@@ -7,7 +7,7 @@ import pytest
 import test_line_dedup as line_cases
 import test_mixing as mixing_cases
 import test_near_dedup as near_cases
-import test_quality as quality_cases
+import test_quality_rules as quality_cases
 from tokenizers import Tokenizer
 
 import corpus_pipeline as P
@@ -68,7 +68,7 @@ def test_quality_rules(stages):
 
 def test_line_dedup(stages):
     _, before, after, _ = stages[1]
-    want = line_cases.brute([(r.doc_id, r.text) for r in before], 4, 0.9)
+    want = line_cases.brute([(r.doc_id, r.text) for r in before], 0.9)
     assert sorted(((r.doc_id, r.text) for r in after), key=repr) == sorted(((i, t) for i, t, *_ in want), key=repr)
 
 
