@@ -81,6 +81,18 @@ def arrow_schema(spark: SparkSession, schema: str | StructType) -> pa.Schema:
     return to_arrow_schema(StructType.fromDDL(schema) if isinstance(schema, str) else schema)
 
 
+def shielded(docs: DataFrame, *apart: str) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with its columns, but those of ``apart``, under names that can't clash
+    with an operator's own, and these names by column."""
+    names = {c: c if c in apart else f"c{i}" for i, c in enumerate(docs.columns)}
+    return docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()]), names
+
+
+def restored(names: dict[str, str], skip: tuple[str, ...] = ()) -> list[Column]:
+    """The caller's columns of a shielded table, under their names."""
+    return [F.col(n).alias(c) for c, n in names.items() if c not in skip]
+
+
 def row_key(id_col: Column, text: Column, nulls: int) -> tuple[Column, Column]:
     """(doc, row), two longs that stand for a row's id (``nulls`` for a null one)
     and text: the join key of results with the table they were made from."""

@@ -12,6 +12,7 @@ import numpy as np
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .common import map_arrow, skew_join, stage
 
@@ -81,7 +82,7 @@ def text_measures(text: str) -> dict:
 MEASURES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
 
 
-def quality_rules(docs: DataFrame, max_docs: int = 100, max_share: float = 0.05, min_left: float = 0.5,
+def quality_rules(docs: DataFrame, min_docs: int = 5, max_share: float = 0.1, max_docs: int = 1000, min_left: float = 0.5,
                   id_col: str = "doc_id", host_col: str = "source", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: ``id_col``, host, text_md5, the base measures,
     base_failed, n_lines, n_removed_lines, n_left_words, removed_lines (their
@@ -90,14 +91,16 @@ def quality_rules(docs: DataFrame, max_docs: int = 100, max_share: float = 0.05,
     * Base: fails with under 10 words, or when words in 5-word windows that
       occur twice or more are over 20 in 100.
     * A host's documents are its distinct texts (exact copies count once, they
-      are the dedup stages' business).  A line is removed when over ``max_docs`` of
-      them and over ``max_share`` of them have it, compared as words joined by one
-      space with A-Z lower-cased; lines without words are not counted.
+      are the dedup stages' business).  A line is removed when over ``max_share`` of
+      them have it, ``min_docs`` at least, or when over ``max_docs`` have it, however
+      large the host is.  Lines are compared as words joined by one space with A-Z
+      lower-cased; lines without words are not counted.
     * kept: base_failed is false and at least ``min_left`` of the words are left.
 
     Null texts count as empty (no words: base_failed).  Null hosts form a host of
-    their own.  Repeated rows each get their row.  An empty table gives an
-    empty result.  Other columns aren't read.
+    their own.  Repeated rows each get their row.  Texts may be of any length (each is
+    measured in time linear in it).  An empty table gives an empty result.  Other
+    columns, whatever their names, aren't read.
     """
     rows = docs.select(F.col(id_col).alias("id"),
                        F.coalesce(F.concat(F.lit("="), F.col(host_col).cast("string")), F.lit("null")).alias("host"),
@@ -119,8 +122,8 @@ def quality_rules(docs: DataFrame, max_docs: int = 100, max_share: float = 0.05,
     hosts = classes.groupBy("host").agg(F.count("*").alias("_docs"))
     frequent = (classes.select("host", F.explode(F.array_distinct("line_hash")).alias("hash"))
                 .groupBy("host", "hash").agg(F.count("*").alias("_n"))
-                .where(F.col("_n") > max_docs)
-                .join(hosts, "host").where(F.col("_n") > F.lit(max_share) * F.col("_docs"))
+                .where(F.col("_n") >= min(min_docs, max_docs + 1))
+                .join(hosts, "host").where(((F.col("_n") >= min_docs) & (F.col("_n") > F.lit(max_share) * F.col("_docs"))) | (F.col("_n") > max_docs))
                 .select(F.xxhash64("host", "hash").alias("_line"), "host", "hash", "_n"))
     lines = stage(classes.select("host", "text_md5", F.explode(F.arrays_zip("line_no", "line_hash", "line_size")).alias("l"))
                   .select(F.xxhash64("host", "l.line_hash").alias("_line"), F.col("host").alias("_h"),
@@ -145,18 +148,31 @@ def quality_rules(docs: DataFrame, max_docs: int = 100, max_share: float = 0.05,
 
 
 def apply_rules(docs: DataFrame, verdicts: DataFrame, host_col: str = "source", text_col: str = "text") -> DataFrame:
-    """``docs`` (its columns) without the rejected documents and without the
-    removed lines.  ``verdicts`` is ``quality_rules``' result; as it depends on host
-    and text alone, they are its key."""
+    """``docs`` (its columns, whatever their names) without the rejected documents and
+    without the removed lines.  ``verdicts`` is ``quality_rules``' result; as it
+    depends on host and text alone, they are its key.  A null text has no words and
+    is rejected; an empty table stays empty."""
     rule = (verdicts.groupBy(F.col("host").alias("_host"), F.col("text_md5").alias("_md5"))
             .agg(F.first("kept").alias("_kept"), F.first("removed_lines").alias("_gone")))
-    cut = F.filter(F.split(text_col, "\n", -1), lambda line, i: ~F.array_contains("_gone", i))
-    keyed = (docs.withColumn("_host", F.coalesce(F.concat(F.lit("="), F.col(host_col).cast("string")), F.lit("null")))
-             .withColumn("_md5", F.md5(F.coalesce(F.col(text_col), F.lit("")))))
-    return (keyed.join(rule.where("not _kept or size(_gone) > 0"), ["_host", "_md5"], "left")
-            .where(F.coalesce("_kept", F.lit(True)))
-            .withColumn(text_col, F.when(F.size("_gone") > 0, F.array_join(cut, "\n")).otherwise(F.col(text_col)))
-            .select(*docs.columns))
+    text = F.col(text_col)
+    # The caller's columns in a struct of their own: their names can't clash with ours.
+    rows = docs.select(F.coalesce(F.concat(F.lit("="), F.col(host_col).cast("string")), F.lit("null")).alias("_host"),
+                       F.md5(F.coalesce(text, F.lit(""))).alias("_md5"), text.alias("_text"),
+                       F.struct(*[F.col(c) for c in docs.columns if c != text_col], F.lit(0).alias(text_col)).alias("_own"))
+    met = (rows.join(rule.where("not _kept or size(_gone) > 0"), ["_host", "_md5"], "left")
+           .where(F.coalesce("_kept", F.lit(True))).select("_own", "_text", "_gone"))
+
+    def cut(batch):
+        out = []
+        for text, gone in zip(batch["_text"].to_pylist(), batch["_gone"].to_pylist()):
+            if gone:
+                gone = set(gone)
+                text = "\n".join(line for i, line in enumerate(text.split("\n")) if i not in gone)
+            out.append(text)
+        return {"_own": batch["_own"], "_text": out}
+
+    done = map_arrow(met, cut, StructType(met.schema.fields[:2]))
+    return done.select(*[F.col("_text").alias(c) if c == text_col else F.col("_own")[c].alias(c) for c in docs.columns])
 
 
 def op1_quality(spark, sf_dir: str) -> DataFrame:
@@ -181,7 +197,7 @@ lines AS (
 hosts AS (SELECT source, count(DISTINCT md5(text)) AS docs FROM d GROUP BY source),
 freq AS (
   SELECT lines.source, norm FROM lines JOIN hosts ON lines.source IS NOT DISTINCT FROM hosts.source
-  GROUP BY lines.source, norm, docs HAVING count(DISTINCT h) > 100 AND count(DISTINCT h) > 0.05 * docs),
+  GROUP BY lines.source, norm, docs HAVING (count(DISTINCT h) >= 5 AND count(DISTINCT h) > 0.1 * docs) OR count(DISTINCT h) > 1000),
 per_line AS (
   SELECT rid, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines,
          count(freq.norm) AS n_removed, coalesce(sum(CASE WHEN freq.norm IS NOT NULL THEN w END), 0) AS gone

@@ -2,10 +2,11 @@ import random
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from cinerank.llm.quality import apply_rules, quality_rules, repeated_words
 
-LIMITS = dict(max_docs=3, max_share=0.2)
+LIMITS = dict(min_docs=4, max_share=0.2, max_docs=1000)
 
 
 def words(text):
@@ -19,7 +20,7 @@ def brute_repeat(text, size=5):
     return len({i + k for i, x in enumerate(wins) if seen[x] > 1 for k in range(size)})
 
 
-def brute(rows, max_docs, max_share, min_left=0.5):
+def brute(rows, min_docs=5, max_share=0.1, max_docs=1000, min_left=0.5):
     norm = lambda line: b" ".join(line.encode().split()).lower()
     per_host = defaultdict(set)
     for _, t, h in rows:
@@ -30,7 +31,7 @@ def brute(rows, max_docs, max_share, min_left=0.5):
         t = t or ""
         lines = [x for x in t.split("\n") if x.encode().split()]
         n = len(words(t))
-        bad = {k: c > max_docs and c > max_share * len(per_host[h]) for k, c in freq.items()}
+        bad = {k: c > max_docs or c >= min_docs and c > max_share * len(per_host[k[0]]) for k, c in freq.items()}
         gone = [k for k, x in enumerate(t.split("\n")) if bad.get((h, norm(x)))]
         left = n - sum(len(x.split()) for k, x in enumerate(t.encode().split(b"\n")) if k in gone)
         failed = n < 10 or 100 * brute_repeat(t) > 20 * n
@@ -60,6 +61,40 @@ def test_brute_force(docs):
     assert result(quality_rules(docs(rows, extra=True), **LIMITS)) == brute(rows, **LIMITS)
 
 
+@pytest.mark.parametrize("limits", [dict(min_docs=3, max_share=0.9, max_docs=10), dict(min_docs=50, max_share=0.1, max_docs=30), dict(min_docs=5, max_share=0.0, max_docs=4)])
+def test_each_limit_acts_alone(docs, limits):
+    rows = corpus()
+    assert result(quality_rules(docs(rows), **limits)) == brute(rows, **limits)
+
+
+def test_footer_of_a_small_host(docs):
+    """A footer in all documents of a 40-document host goes; one of a few doesn't."""
+    rows = [(i, f"this is document number {i} of the host with words enough {i}\nall rights reserved" + ("\nfor a few only" if i < 4 else ""), "h") for i in range(40)]
+    df = docs(rows)
+    got = {r.doc_id: r.text for r in apply_rules(df, quality_rules(df)).collect()}
+    assert len(got) == 40 and not any("rights" in t for t in got.values()) and sum("few only" in t for t in got.values()) == 4
+
+
+def test_lines_go_on_the_table(spark):
+    """The limits act on sf0.01 (the SQL row means something)."""
+    got = quality_rules(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+    assert got.where("n_removed_lines > 0").count() > 10
+
+
+def test_own_columns_and_long_texts(docs):
+    """The caller's columns come back whatever their names; many lines of a long text go."""
+    rows = [(i, f"alpha {i} beta gamma delta epsilon zeta eta theta iota kappa {i}\ncommon line\n" + "\n".join(f"v{i} {k}" for k in range(30_000 if i == 3 else 2))
+             + "\ncommon line" * (20_000 if i == 3 else 1), "h") for i in range(12)]
+    df = docs(rows)
+    for c in ("_host", "_md5", "_kept", "_gone", "_own", "_text", "host", "kept", "_rows", "line"):
+        df = df.withColumn(c, F.concat(F.lit("mine "), F.col("doc_id").cast("string")))
+    got = apply_rules(df, quality_rules(df))
+    assert got.columns == df.columns
+    for r in got.collect():
+        assert "common" not in r.text and all(r[c] == f"mine {r.doc_id}" for c in ("_host", "_md5", "_kept", "_gone", "_own", "_text", "host", "kept", "_rows", "line"))
+        assert r.text == rows[r.doc_id][1].replace("\ncommon line", "")
+
+
 def test_rules_take_effect(docs):
     rows = corpus()
     df = docs(rows)
