@@ -1,8 +1,8 @@
 """Operator 2, secret scans: corpus-wide ownership frequency.
 
 Candidates are found text by text; their values' hashes are then counted over
-the whole corpus by distinct repositories and owners.  Values that many owners
-have are copied examples; a value that one owner has looks live.
+the whole corpus by distinct repositories and owners.  Values that many owners or
+repositories have are copied examples; a value that one owner has in few looks live.
 """
 
 from __future__ import annotations
@@ -48,7 +48,7 @@ def candidates(text: str) -> list[tuple[int, int, int, str]]:
     return sorted(found)
 
 
-def scan_secrets(docs: DataFrame, example_owners: int = 3, id_col: str = "doc_id", text_col: str = "text",
+def scan_secrets(docs: DataFrame, example_owners: int = 3, example_repos: int = 8, live_repos: int = 2, id_col: str = "doc_id", text_col: str = "text",
                  owner_col: str = "source", repo_cols: tuple[str, ...] = ("source", "lang")) -> DataFrame:
     """One row per row of ``docs``: ``id_col`` and secrets, an array of (start,
     end, kind, n_owners, n_repos, verdict) by start and kind; offsets are code
@@ -57,13 +57,20 @@ def scan_secrets(docs: DataFrame, example_owners: int = 3, id_col: str = "doc_id
     Every base span is in it (assign, access, hex).  A mixed token (20 or more
     characters of the base64 alphabets with a digit, a capital and a small
     letter, 3.5 or more bits a character, clear of base spans) is added as
-    ``owned`` when exactly one owner has its value.  verdict, of a span's
-    value: ``live`` (one owner), ``example`` (``example_owners`` or more),
-    ``shared`` (between).  Owners and repositories are distinct values of
-    ``owner_col`` and ``repo_cols``; null is one value.
+    ``owned`` when its value is live.  verdict, of a span's value, by both counts:
+
+    * ``live``: one owner has it, in at most ``live_repos`` repositories;
+    * ``example``: ``example_owners`` or more have it, or ``example_repos`` or
+      more repositories, be they one owner's: it is copied around;
+    * ``shared``: all between.
+
+    Owners and repositories are distinct values of ``owner_col`` and
+    ``repo_cols``; null is one value.
 
     Null texts are empty: no secrets.  Repeated rows each get their row, and
-    count as one repository.  An empty table gives an empty result.
+    count as one repository.  Texts may be of any length (patterns are linear in
+    it).  An empty table gives an empty result; other columns, whatever their names,
+    aren't read.
     """
     rows = docs.select(F.monotonically_increasing_id().alias("uid"), F.col(id_col).alias("id"),
                        F.to_json(F.struct(F.col(owner_col).alias("o"))).alias("owner"),
@@ -86,11 +93,12 @@ def scan_secrets(docs: DataFrame, example_owners: int = 3, id_col: str = "doc_id
              .groupBy("hash", "owner").agg(F.sum("_rows").alias("_rows"), F.count("*").alias("_repos"))
              .groupBy("hash").agg(F.sum("_rows").alias("_rows"), F.sum("_repos").alias("n_repos"),
                                   F.count("*").alias("n_owners")))
-    verdict = (F.when(F.col("n_owners") == 1, "live")
-               .when(F.col("n_owners") >= example_owners, "example").otherwise("shared"))
+    copied = (F.col("n_owners") >= example_owners) | (F.col("n_repos") >= example_repos)
+    verdict = (F.when(copied, "example")
+               .when((F.col("n_owners") == 1) & (F.col("n_repos") <= live_repos), "live").otherwise("shared"))
     known = skew_join(hits.drop("owner", "repo"), stage(usage), "hash", "_rows").withColumn("verdict", verdict)
     kind = F.element_at(F.array(*map(F.lit, KINDS)), F.col("kind") + 1)
-    per_doc = (known.where("kind < 3 or n_owners = 1")
+    per_doc = (known.where("kind < 3 or verdict = 'live'")
                .groupBy("uid")
                .agg(F.sort_array(F.collect_list(F.struct("start", F.col("kind").alias("nr"), "end", kind.alias("kind"),
                                                          "n_owners", "n_repos", "verdict"))).alias("secrets")))
@@ -112,4 +120,6 @@ def op2_secrets(spark, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", *[count("kind", k).alias(f"n_{k}") for k in KINDS[:3]],
         F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("secrets")).alias("spans"),
+        # of each span, in the order of spans: owners:repositories of its value
+        F.array_join(F.transform("secrets", lambda s: F.concat_ws(":", s["n_owners"].cast("string"), s["n_repos"].cast("string"))), ",").alias("owners_repos"),
         *[count("verdict", v).alias(f"n_{v}") for v in ("live", "shared", "example")])

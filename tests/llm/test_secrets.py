@@ -1,5 +1,9 @@
 import hashlib
+import math
 import re
+from collections import defaultdict
+
+from pyspark.sql import functions as F
 
 from cinerank.llm.secrets import candidates, op2_secrets, scan_secrets
 
@@ -43,11 +47,62 @@ def test_ownership(docs):
     assert scan_secrets(docs([])).collect() == []
 
 
+def test_verdict_by_owners_and_repositories(spark):
+    """One owner's value in few repositories is live, in some shared, in many an example;
+    several owners' as well by their number."""
+    keys = [f"{k}{k.upper()}3dE6gH9jK2mN5pQ8sT1xY" for k in "abcdefgh"]
+    uses = {0: [("s0", "l0")], 1: [("s0", "l0"), ("s0", "l1")], 2: [("s0", f"l{i}") for i in range(3)], 3: [("s0", f"l{i}") for i in range(8)],
+            4: [("s0", "l0"), ("s1", "l0")], 5: [("s0", "l0"), ("s1", "l0"), (None, "l0")], 6: [("s0", "l0")] * 9}
+    rows = [(100 * k + n, f"x {keys[k]} y", lang, source) for k, at in uses.items() for n, (source, lang) in enumerate(at)]
+    df = spark.createDataFrame([(i, t, l, s, len(t)) for i, t, l, s in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    for c in ("uid", "owner", "repo", "hits", "hash", "verdict", "n_owners", "secrets", "kind", "_rows"):
+        df = df.withColumn(c, F.lit("clash"))
+    got = {r.doc_id: r.secrets for r in scan_secrets(df).collect()}
+    assert [[h.verdict for h in got[100 * k]] for k in range(7)] == [["live"], ["live"], [], [], [], [], ["live"]]
+    base = df.withColumn("text", F.concat(F.lit("secret="), F.trim("text")))
+    said = {r.doc_id: r.secrets[0] for r in scan_secrets(base.withColumn("text", F.regexp_replace("text", " y|x ", ""))).collect()}
+    assert [said[100 * k].verdict for k in range(7)] == ["live", "live", "shared", "example", "shared", "example", "live"]
+    assert [(said[100 * k].n_owners, said[100 * k].n_repos) for k in range(7)] == [(1, 1), (1, 2), (1, 3), (1, 8), (2, 2), (3, 3), (1, 1)]
+
+
+def test_long_text(docs):
+    text = "word " * 400_000 + f"token = {KEY} " + "a" * 100_000
+    (row,) = scan_secrets(docs([(1, text)])).collect()
+    assert [(s.kind, s.start) for s in row.secrets] == [(k, m) for m, k, _ in ((s, ("assign", "access", "hex", "owned")[k], e) for s, k, e in base(text))]
+
+
+def brute_spans(rows):
+    """Every span with the counts of its value and its verdict, over all rows."""
+    found, owners, repos = {}, defaultdict(set), defaultdict(set)
+    for i, text, lang, source in rows:
+        text = text or ""
+        own = base(text)
+        spans = [(s, k, e, (re.fullmatch(r".*?[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", text[s:e], re.S)[1] if k == 0 else text[s:e])) for s, k, e in own]
+        for m in re.finditer("[A-Za-z0-9+/_=-]{20,}", text):
+            v = m[0]
+            share = [v.count(c) / len(v) for c in set(v)]
+            if all(re.search(p, v) for p in ("[0-9]", "[A-Z]", "[a-z]")) and -sum(p * math.log2(p) for p in share) >= 3.5 \
+                    and not any(s < m.end() and m.start() < e for s, _, e in own):
+                spans.append((m.start(), 3, m.end(), v))
+        found[i] = sorted(spans)
+        for *_, v in spans:
+            owners[v].add(source)
+            repos[v].add((source, lang))
+
+    def verdict(v):
+        a, b = len(owners[v]), len(repos[v])
+        return "example" if a >= 3 or b >= 8 else "live" if a == 1 and b <= 2 else "shared"
+
+    return {i: [(s, k, e, len(owners[v]), len(repos[v]), verdict(v)) for s, k, e, v in spans if k < 3 or verdict(v) == "live"] for i, spans in found.items()}
+
+
 def test_query_against_brute_force(spark):
     import pandas as pd
 
     sf = "/root/testdata/sf0.01"
-    texts = dict(pd.read_parquet(f"{sf}/documents.parquet")[["doc_id", "text"]].values)
+    table = pd.read_parquet(f"{sf}/documents.parquet")
+    texts = dict(table[["doc_id", "text"]].values)
+    spans = brute_spans(table[["doc_id", "text", "lang", "source"]].values.tolist())
     names = ("assign", "access", "hex")
     rows = op2_secrets(spark, sf).collect()
     assert len(rows) == len(texts)
@@ -57,3 +112,7 @@ def test_query_against_brute_force(spark):
         assert r.base_sha256 == hashlib.sha256(said.encode()).hexdigest()
         assert (r.n_assign, r.n_access, r.n_hex) == tuple(sum(k == x for _, k, _ in want) for x in range(3))
         assert not said or set(said.split(",")) <= set(r.spans.split(","))
+        own = spans[r.doc_id]
+        assert r.spans == ",".join(f"{(*names, 'owned')[k]}:{s}:{e}" for s, k, e, *_ in own)
+        assert r.owners_repos == ",".join(f"{a}:{b}" for *_, a, b, _ in own)
+        assert (r.n_live, r.n_shared, r.n_example) == tuple(sum(v == x for *_, v in own) for x in ("live", "shared", "example"))
