@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, skew_join, stage
+from .common import WORD, restored, shielded, skew_join, stage
 
 #: Hex digits of the seeded hash that make a bucket: a source has at most 16**4
 #: buckets, and only the documents of one bucket are ever sorted together.
@@ -89,10 +89,13 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0), s
 
     Reruns agree: ties of the hash are ordered by size and text; rows equal in
     these change places without effect.  Sources without words have target 0.
-    An empty table gives an empty result.
+    Texts may be of any length (words are counted by Spark, row by row); all other
+    columns are kept, whatever their names.  An empty table gives an empty result.
     """
     own = ["size", "source_size", "target", "taken"]
-    rows = (docs.drop(*own).withColumn("_key", _key(F.col(source_col)))
+    docs, names = shielded(docs.drop(*own))
+    id_col, source_col, text_col = names[id_col], names[source_col], names[text_col]
+    rows = (docs.withColumn("_key", _key(F.col(source_col)))
             .withColumn("_hash", F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit("null")))))
             .withColumn("_bucket", F.substring("_hash", 1, BUCKET_DIGITS)))
     sized = rows.withColumn("size", word_count(F.col(text_col)))
@@ -134,23 +137,25 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0), s
     last = (joined.where("_bucket = _end").withColumn("size", word_count(F.col(text_col)))
             .withColumn("_left", F.col("_missing") - F.col("_before") - F.coalesce(F.sum("size").over(sofar), F.lit(0)))
             .withColumn("_extra", F.greatest(F.lit(0).cast("long"), F.least(F.col("size"), F.col("_left")))).drop("_left"))
-    kept = [c for c in docs.columns if c not in own]
     return (clear.unionByName(last)
             .withColumn("taken", F.col("_whole") * F.col("size") + F.col("_extra"))
-            .select(*kept, *own))
+            .select(*restored(names), *own))
 
 
 def repeat_texts(mixed: DataFrame, text_col: str = "text") -> DataFrame:
     """One row per repetition of a mixed document, with its text; the text of a
     repetition taken in part ends after the words taken.  Documents of which
-    nothing is taken are not in the mix."""
+    nothing is taken (null and empty texts) are not in the mix.  All other columns
+    are kept, whatever their names."""
+    mixed, names = shielded(mixed, "size", "taken")
+    text = F.col(names[text_col])
     words = F.col("taken") - (F.col("_copy") - 1) * F.col("size")
-    pieces = F.regexp_extract_all(F.col(text_col), F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0))
+    pieces = F.regexp_extract_all(text, F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0))
     cut = F.array_join(F.slice(pieces, F.lit(1), words.cast("int")), "")
     return (mixed.where("taken > 0")
             .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.ceil(F.col("taken") / F.col("size")))))
-            .withColumn(text_col, F.when(words >= F.col("size"), F.col(text_col)).otherwise(cut))
-            .drop("_copy"))
+            .withColumn(names[text_col], F.when(words >= F.col("size"), text).otherwise(cut))
+            .select(*restored(names)))
 
 
 def op4_mixing(spark, sf_dir: str) -> DataFrame:

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_schema, connected_components, joined_words, map_arrow, skew_join, stage
+from .common import arrow_schema, connected_components, joined_words, map_arrow, restored, shielded, skew_join, stage
 
 BITS = 64
 #: Fingerprints of a key that a task compares with each other; further ones of
@@ -278,11 +278,13 @@ def near_dedup(docs: DataFrame, shingle: int = 4, max_distance: int = 4, id_col:
 
 
 def keep_one(docs: DataFrame, verdicts: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` (its columns) with one row of each component."""
-    key = F.coalesce(F.col(id_col).cast("string"), F.lit("null"))
-    kept = verdicts.where("kept").select(key.alias("_id"), F.col("text_md5").alias("_md5")).distinct()
-    return (docs.withColumn("_id", key).withColumn("_md5", F.md5(F.coalesce(F.col(text_col), F.lit(""))))
-            .join(kept, ["_id", "_md5"], "left_semi").dropDuplicates(["_id", "_md5"]).select(*docs.columns))
+    """``docs`` (its columns, whatever their names) with one row of each component;
+    of rows equal in id and text one.  An empty table stays empty."""
+    key = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("null"))
+    kept = verdicts.where("kept").select(key(id_col).alias("_id"), F.col("text_md5").alias("_md5")).distinct()
+    rows, names = shielded(docs)
+    return (rows.withColumn("_id", key(names[id_col])).withColumn("_md5", F.md5(F.coalesce(F.col(names[text_col]), F.lit(""))))
+            .join(kept, ["_id", "_md5"], "left_semi").dropDuplicates(["_id", "_md5"]).select(*restored(names)))
 
 
 def op6_near_dedup(spark, sf_dir: str) -> DataFrame:

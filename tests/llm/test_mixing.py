@@ -2,6 +2,7 @@ from collections import defaultdict
 from fractions import Fraction
 
 import pytest
+from pyspark.sql import functions as F
 
 from cinerank.llm import mixing
 from cinerank.llm.mixing import mix_sources, repeat_texts
@@ -74,3 +75,17 @@ def test_repetitions_have_the_words_taken(docs):
 def test_empty_table(docs):
     assert mix_sources(docs([])).collect() == []
     assert repeat_texts(mix_sources(docs([(1, None), (2, "")]))).collect() == []
+
+
+def test_own_columns_come_back(docs):
+    """Columns with the operators' internal names keep the caller's values."""
+    names = ("_whole", "_end", "_before", "_missing", "_key", "_hash", "_bucket", "_extra", "_copy", "_rows", "c0", "c1", "c9")
+    df = docs([(i, "word " * (i + 1), f"s{i % 3}") for i in range(20)])
+    for c in names:
+        df = df.withColumn(c, F.concat(F.lit("mine "), F.col("doc_id").cast("string")))
+    mixed = mix_sources(df)
+    again = repeat_texts(mixed)
+    for out in (mixed, again):
+        assert out.columns[:len(df.columns)] == df.columns
+        assert all(r[c] == f"mine {r.doc_id}" for r in out.collect() for c in names)
+    assert sum(len(r.text.split()) for r in again.collect()) == sum(r.taken for r in mixed.collect())

@@ -131,3 +131,15 @@ def test_empty_table(docs):
     df = docs([])
     assert N.near_dedup(df).collect() == [] and N.keep_one(df, N.near_dedup(df)).collect() == []
     assert N.near_dedup(docs([(1, "a")])).select(F.col("kept")).first().kept
+
+
+def test_kept_rows_have_their_own_columns(docs):
+    df = docs([(i, f"alpha beta gamma delta epsilon zeta {i // 2}", "s") for i in range(10)] + [(3, "alpha beta gamma delta epsilon zeta 1", "s"), (None, "other words", "s")])
+    names = ("_id", "_md5", "kept", "text_md5", "c0", "c1", "fp")
+    for c in names:
+        df = df.withColumn(c, F.concat(F.lit("mine "), F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))))
+    got = N.keep_one(df, N.near_dedup(df))
+    assert got.columns == df.columns
+    rows = got.collect()
+    assert len(rows) == len({(r.doc_id, r.text) for r in rows}) and any(r.doc_id is None for r in rows)
+    assert all(r[c] == f"mine {'none' if r.doc_id is None else r.doc_id}" for r in rows for c in names)
