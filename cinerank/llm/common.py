@@ -59,16 +59,17 @@ def joined_words(text: str | None, lower: bool = False) -> tuple[bytes, np.ndarr
     return joined, starts, ends
 
 
-def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], dict | None], schema: str | StructType) -> DataFrame:
+def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], dict | None], schema: str | StructType, max_rows: int | None = None) -> DataFrame:
     """``mapInArrow`` where ``fn`` turns one record batch into columns (a dict
-    of sequences, in the order of ``schema``); batches stay small, so memory is
-    bounded by one batch of texts, never by a partition."""
+    of sequences, in the order of ``schema``); batches stay small (``max_rows``, where
+    a row becomes many), so memory is bounded by one batch of texts, never by a
+    partition."""
     ship_package(df.sparkSession)
     target = arrow_schema(df.sparkSession, schema)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in text_slices(batch):
+            for part in text_slices(batch, max_rows=max_rows):
                 out = fn(part)
                 if out is not None:
                     yield pa.RecordBatch.from_arrays(
@@ -114,11 +115,11 @@ def unpack_text(data: bytes | None) -> str | None:
     return None if data is None else zstandard.ZstdDecompressor().decompress(data).decode("utf-8", "surrogatepass")
 
 
-def text_slices(batch: pa.RecordBatch, max_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def text_slices(batch: pa.RecordBatch, max_bytes: int = 8 << 20, max_rows: int | None = None) -> Iterator[pa.RecordBatch]:
     """Cut a batch in runs of rows of about ``max_bytes`` (a longer row alone),
     so that a batch of very long texts isn't worked on all at once."""
     row = max(1, batch.nbytes // max(1, batch.num_rows))
-    step = max(1, max_bytes // row)
+    step = min(max(1, max_bytes // row), max_rows or batch.num_rows or 1)
     for at in range(0, batch.num_rows, step):
         yield batch.slice(at, step)
 

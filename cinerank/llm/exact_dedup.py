@@ -81,6 +81,7 @@ WITH t AS (
   SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS norm
   FROM documents)
 SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
-       doc_id IS NOT DISTINCT FROM max(doc_id) OVER w AS kept, sha256(norm) AS text_sha256
+       doc_id IS NOT DISTINCT FROM max(doc_id) OVER w AND row_number() OVER (PARTITION BY norm, doc_id) = 1 AS kept,
+       sha256(norm) AS text_sha256
 FROM t WINDOW w AS (PARTITION BY norm)
 """

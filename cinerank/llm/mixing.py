@@ -83,8 +83,8 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0), s
     * target: the source's words in the mix, at most ``max_epochs`` source_size;
     * taken: the document's words in the mix.  Every document is taken
       floor(target / source_size) times; the words then missing are taken once
-      more from the documents in the order of a seeded md5 of the id, the last of
-      them in part.  So a source's taken words are its rounded target, and no
+      more from the documents in the order of a seeded md5 of the id (of the text
+      where it is null), the last of them in part.  So a source's taken words are its rounded target, and no
       document is taken more than ceil(max_epochs) times.
 
     Reruns agree: ties of the hash are ordered by size and text; rows equal in
@@ -96,7 +96,8 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0), s
     docs, names = shielded(docs.drop(*own))
     id_col, source_col, text_col = names[id_col], names[source_col], names[text_col]
     rows = (docs.withColumn("_key", _key(F.col(source_col)))
-            .withColumn("_hash", F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit("null")))))
+            .withColumn("_hash", F.md5(F.concat(F.lit(f"{seed}:"), 
+                                                         F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("null:"), F.md5(F.coalesce(F.col(text_col), F.lit(""))))))))
             .withColumn("_bucket", F.substring("_hash", 1, BUCKET_DIGITS)))
     sized = rows.withColumn("size", word_count(F.col(text_col)))
     # One scan: words by source and bucket, combined in the map tasks.
@@ -166,7 +167,7 @@ def op4_mixing(spark, sf_dir: str) -> DataFrame:
 OP4_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
-         md5('0:' || coalesce(doc_id::VARCHAR, 'null')) AS h
+         md5('0:' || coalesce(doc_id::VARCHAR, 'null:' || md5(coalesce(text, '')))) AS h
   FROM documents),
 s AS (
   SELECT source, sum(size)::BIGINT AS source_size,

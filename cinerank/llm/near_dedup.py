@@ -212,7 +212,8 @@ def _dense_links(members: DataFrame, ring: Ring) -> DataFrame:
                 column.append(x)
         return {k: np.concatenate(v) for k, v in out.items()}
 
-    nodes = map_arrow(members.repartition(F.xxhash64("kind", "a", "b")), expand, "kind int, key long, far int, node long, fp long")
+    nodes = map_arrow(members.repartition(F.xxhash64("kind", "a", "b")), expand, "kind int, key long, far int, node long, fp long",
+                      max_rows=1000)                        # hundreds of rows a fingerprint
     schema = "a long, b long"
     target = arrow_schema(members.sparkSession, schema)
 

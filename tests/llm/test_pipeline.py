@@ -11,6 +11,7 @@ import test_quality_rules as quality_cases
 from tokenizers import Tokenizer
 
 import corpus_pipeline as P
+from cinerank.functions.ranking import stage_tables
 from cinerank.llm.tokenizing import tokenizer_path
 
 
@@ -116,7 +117,9 @@ def test_run(spark, tmp_path, stages):
     df = spark.createDataFrame([(r.doc_id, r.text, r.lang, r.source, r.n_chars) for r in stages[0][1]],
                                "doc_id long, text string, lang string, source string, n_chars long")
     df.write.parquet(f"{tmp_path}/documents.parquet")
+    made = set(stage_tables(spark))
     got = P.run(spark, str(tmp_path)).collect()
+    assert len(set(stage_tables(spark)) - made) == 1                    # what it leaves is its result
     key = lambda rows: sorted((str(p.doc_id), p.start, p.length, p.ids_crc32) for p in rows)
     assert key(got) == key(stages[4][2])
 
