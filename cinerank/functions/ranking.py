@@ -54,12 +54,14 @@ def stage_tables(spark) -> list[str]:
     return list(_STAGES.get(spark.sparkContext.applicationId, ()))
 
 
-def release_stages(spark) -> None:
-    """Delete this application's stage tables.  Call it when the results made so
-    far have been written or read: a DataFrame that still reads a stage table
-    can't be evaluated afterwards."""
+def release_stages(spark, keep: tuple[str, ...] = ()) -> None:
+    """Delete this application's stage tables, but those of ``keep``.  Call it when the
+    results made so far have been written or read: a DataFrame that still reads a
+    stage table can't be evaluated afterwards."""
     sc = spark.sparkContext
-    for path in _STAGES.pop(sc.applicationId, ()):
+    paths = _STAGES.pop(sc.applicationId, [])
+    _STAGES[sc.applicationId] = [p for p in paths if p in keep]
+    for path in (p for p in paths if p not in keep):
         folder = sc._jvm.org.apache.hadoop.fs.Path(path)
         folder.getFileSystem(sc._jsc.hadoopConfiguration()).delete(folder, True)
 
