@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cinerank.functions.ranking import release_stages, stage_tables
 from cinerank.llm.common import stage
 from cinerank.llm.line_dedup import dedup_lines
 from cinerank.llm.mixing import mix_sources, repeat_texts
@@ -65,9 +66,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages' result, as stored in the shared folder; the stage tables made on the
+    way to it are deleted."""
+    before = tuple(stage_tables(spark))
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for nr, (_, step) in enumerate(STAGES, 1):
-        docs = step(spark, docs, sf_dir)
-        if nr < len(STAGES):
-            docs = stage(docs)
+    for _, step in STAGES:
+        docs = stage(step(spark, docs, sf_dir))
+        release_stages(spark, keep=(*before, stage_tables(spark)[-1]))
     return docs
