@@ -12,7 +12,6 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.exprs import with_scalars
 from ..functions.ranking import reliable_checkpoint
 from ..operators import evaluate as E
 from ..operators import features as Fe
