@@ -61,3 +61,23 @@ def test_blocks_do_not_follow_the_users(spark):
     few, many = (Sim.plan_layout(spark, spark.createDataFrame([(u, m, 3.0) for u in range(n) for m in range(12)], SCHEMA), None)
                  for n in (5_000, 10_000))
     assert not few.join and not many.join and few.left_blocks == many.left_blocks
+
+
+def test_only_pairs_that_may_count_are_multiplied_exactly():
+    """Of 4,000 x 4,000 pairs a top-5 passes on a few a user; sums past 2^24 keep their bits."""
+    for rows in (dense_rows(4000, 40), [(u, m, r + m / 7e5) for u, m, r in dense_rows(4000, 40)]):
+        a, b = (Sim._Block(0, *(packed(part, 0, 0)[c] for c in ("users", "sizes", "movies", "q", "floors"))) for part in (rows, rows[::-1]))
+        floor, looked, best = np.zeros(a.n), 0, []
+        for li, ri, dot in Sim._near_tiles(a, b, b.codes_in(a), True, floor, 5):
+            looked += len(li)
+            sim = dot / (a.norms[li] * b.norms[ri])
+            best = [Sim._cut([*best, (li, b.users[ri], sim)], floor, 5)]
+        assert looked < 60 * a.n
+        x = np.zeros((a.n, 40), np.int64)
+        x[a.of, a.movies] = a.q
+        for u in range(0, a.n, 997):
+            sim = (x @ x[u]) / (a.norms[u] * a.norms)
+            sim[u] = 0
+            want = np.lexsort((a.users, -sim))[:5]
+            own = best[0][0] == u
+            assert (best[0][1][own] == a.users[want]).all() and (best[0][2][own] == sim[want]).all()
