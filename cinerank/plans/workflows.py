@@ -73,8 +73,10 @@ def prepare_features(ratings: DataFrame, output_dir: str | None = None, n_lookup
         sims = store.load_similarity(output_dir)
     stats = Fe.rating_stats(cells).first().asDict()
     first_users = cells.select("user_id").distinct().orderBy("user_id").limit(n_lookup)
-    # The looked-up users' pairs alone are ranked, not all users' and then most dropped.
-    lookups = Fe.top_neighbors(cells, n_lookup, sims=sims.join(F.broadcast(first_users), "user_id", "left_semi"))
+    # The looked-up users' pairs alone are ranked, not all users' and then most dropped, and
+    # of a store only their chunks are unpacked.
+    asked = store.load_similarity(output_dir, users=[r[0] for r in first_users.collect()]) if output_dir else sims
+    lookups = Fe.top_neighbors(cells, n_lookup, sims=asked.join(F.broadcast(first_users), "user_id", "left_semi"))
     return cells, sims, stats, lookups
 
 
