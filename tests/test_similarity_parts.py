@@ -1,6 +1,9 @@
 """A top-k on the join route by parts of the users: same rows, less on disk at a time."""
 
+import io
 import os
+import re
+from contextlib import redirect_stdout
 
 import pytest
 
@@ -38,3 +41,16 @@ def test_a_stage_table_leaves_no_shuffle_files(spark):
     assert df.count() == 5000 and spark.conf.get(key, None) == conf
     stay = set(shuffle_files(spark)) - before
     assert len(stay) <= 1, stay                   # of the count itself
+
+
+def test_all_pairs_are_not_collected_before_they_are_moved(spark):
+    """A table of pairs that hardly repeat only spills: pairs go straight to where they are summed."""
+    cells = spark.createDataFrame(dense_rows(60, 80, 5, 0.1), SCHEMA)
+    buf = io.StringIO()
+    with redirect_stdout(buf):
+        Sim.cosine_similarity(cells, layout=Sim.Layout(True, pairs=9.0 * Sim.TASK_PAIRS)).explain()
+    plan = buf.getvalue()
+    moved = re.findall(r"Exchange hashpartitioning\(_ua[^)]*, _ub[^)]*\), \w+", plan)
+    assert len(moved) == 1 and moved[0].endswith("BY_NUM") and ", 9)" in moved[0], moved
+    below = plan[plan.index(moved[0]) + len(moved[0]):]
+    assert "HashAggregate(keys=[_ua" not in below
